@@ -8,6 +8,7 @@ longest document and not by the Arrow batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,17 +27,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
-
-    Only where no folder is configured (tests, local runs) one below the warehouse is set.
-    """
+    """Cut the lineage with a reliable checkpoint in the folder the cluster names."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        place = sc.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
-        sc.setCheckpointDir(place)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: spark.checkpoint.dir.
+
+    Only where it is unset, as in tests, one below the warehouse is taken.
+    """
+    place = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return place or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Written once as Parquet to the shared folder and read back: lineage ends there, and a
+    lost executor costs no recomputation of what came before."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions_of(df: DataFrame) -> int:
     """Shuffle partitions set for the session, used where an operator deals out rows itself."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -187,6 +201,17 @@ def ragged(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Arra
     return pa.ListArray.from_arrays(pa.array(off), pa.array(values, kind))
 
 
+def among(batch: pa.RecordBatch, name: str, c: Chunk, doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each key is in its own document's list in the batch's column `name`."""
+    rows = batch.column(batch.schema.get_field_index(name)).slice(c.first_row, len(c))
+    sizes = np.array([0 if x is None else x for x in rows.value_lengths().to_pylist()], np.int64)
+    have = rows.flatten().to_numpy(zero_copy_only=False).view(U)
+    if not len(have) or not len(key):
+        return np.zeros(len(key), bool)
+    salt = lambda d: (d.astype(U) + U(1)) * U(0x9FB21C651E98DF25)
+    return np.isin(key ^ salt(doc), have ^ salt(np.repeat(np.arange(len(c)), sizes)))
+
+
 def list_of(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
     """Row i of a list column of numbers as an array; null is empty."""
     col = batch.column(batch.schema.get_field_index(name))
@@ -194,9 +219,9 @@ def list_of(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
     return np.zeros(0, np.int64) if v is None else v.to_numpy(zero_copy_only=False)
 
 
-def empty_text_as_null_safe(df: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id and text alone: other columns, whatever their names, never reach an operator's joins."""
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def id_and_text(df: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id and text alone, of rows with an id: other columns never reach an operator's joins."""
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
 
 
 # --------------------------------------------------------------------------- components

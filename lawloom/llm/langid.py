@@ -14,7 +14,7 @@ bucket.  Prediction is one map over all rows with the learned table in the closu
 Defined results: a null text or one without a letter is `und` with score 0; without any
 labelled rows everything is `und`; with a single language it is predicted for each text
 with a letter, score 1; equal losses go to the language that sorts first; extra columns are
-ignored, repeated rows are all returned.
+ignored, repeated rows are all returned, rows without a doc_id are left out.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Chunk, chunks, owner
+from .common import Chunk, chunks, id_and_text, owner
 
 BUCKETS = 1 << 12
 MAX_TRAIN = 4000
@@ -99,7 +99,7 @@ class Model:
 
 def training_rows(docs: DataFrame, max_train: int) -> tuple[DataFrame, list[str]]:
     """Labelled rows, each language thinned by a hash of the id to about max_train rows."""
-    rows = docs.where("lang IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(counts)
     if not langs:
@@ -187,7 +187,7 @@ def predict(docs: DataFrame, model: Model | None, ambiguous: float = AMBIGUOUS)
                 ["doc_id", "lang_pred", "score", "runner_up", "gap", "ambiguous"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(emit, schema)
+    return id_and_text(docs).mapInArrow(emit, schema)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -11,12 +11,12 @@
 
 Defined results: a null or empty text is one empty line; equal lines of one document count
 once towards `min_docs`; the largest doc_id holding a key keeps all its lines; rows with
-the same doc_id are one holder but are each rewritten; extra columns are ignored.
+the same doc_id are one holder but are each rewritten; rows without a doc_id are left out;
+extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, checkpointed, chunks, empty_text_as_null_safe, list_of, mix, partitions_of
+from .common import U, checkpointed, chunks, id_and_text, list_of, mix, partitions_of
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -151,7 +151,7 @@ def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_dropped and kept_text for each row of `docs` (doc_id, text)."""
-    docs = empty_text_as_null_safe(docs)
+    docs = id_and_text(docs)
     shards = shards or 2 * partitions_of(docs)
     keys = line_keys(docs, min_chars).withColumn("shard", F.pmod(F.col("key"), F.lit(shards)).cast("int"))
     stats = checkpointed(keys.groupBy("key").agg(F.countDistinct("doc_id").alias("n"), F.max("doc_id").alias("last")).withColumn("shard", F.pmod(F.col("key"), F.lit(shards)).cast("int")))
@@ -176,7 +176,3 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     drops = ask.groupBy("shard", "copy").cogroup(index.groupBy("shard", "copy")).applyInPandas(probe, "doc_id long, key long")
     drops = drops.groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
     return rewrite(docs.join(drops.hint("shuffle_hash"), "doc_id", "left"), min_chars)
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

@@ -39,7 +39,7 @@ RULES = (
     Rule("few_words", "n_words", low=10),
     Rule("mean_word_length", "mean_word_chars", low=2.0, high=25.0, min_words=10),
     Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("shouting", "upper_ratio", high=0.5, min_words=10),
+    Rule("shouting", "upper_ratio", high=0.4, min_words=10),
     Rule("marks", "mark_ratio", high=0.3, min_words=10),
     Rule("no_stop_words", "stop_ratio", low=0.01, min_words=150),
     Rule("repeated_lines", "dup_line_ratio", high=0.5),
@@ -49,28 +49,29 @@ RULES = (
 
 def metrics(docs: DataFrame) -> DataFrame:
     """doc_id with counts and ratios of the whole text, all as built-in expressions."""
-    stops = sorted({w for ws in STOP_WORDS.values() for w in ws})
+    stops = [F.xxhash64(F.lit(x)) for x in sorted({x for ws in STOP_WORDS.values() for w in ws for x in (w, w.capitalize())})]
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    d = d.select("*", F.btrim("text", F.lit(" \t\n\x0b\x0c\r")).alias("bare"))
     d = d.select(
         "doc_id",
         "text",
-        F.filter(F.split("text", SPACE + "+"), lambda w: w != "").alias("words"),
+        F.when(F.col("bare") == "", F.array().cast("array<string>")).otherwise(F.split("bare", SPACE + "+")).alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
+    left = lambda chars: F.length(F.regexp_replace("text", f"[^{chars}]+", ""))  # noqa: E731  characters of a class
     d = d.select(
-        "*",
+        "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", SPACE + "+", "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        left("#*$%&|<>").cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).alias("n_upper"),
-        F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).alias("n_letters"),
-        (F.length("text") - F.length(F.translate("text", "!?", ""))).alias("n_marks"),
-        F.size(F.filter("words", lambda w: F.lower(w).isin(stops))).alias("n_stop"),
+        left("A-Z").alias("n_upper"),
+        left("!?").alias("n_marks"),
         F.size(F.filter("lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•·–]"))).alias("n_bullets"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("h"),
-    ).drop("text", "words", "lines")
+    )
+    d = d.select("*", F.size(F.filter("h", lambda x: x.isin(stops))).alias("n_stop"))
     return repeated_words(d)
 
 
@@ -103,7 +104,7 @@ def ratio(a: str, b: str) -> Column:
 RATIOS = {
     "mean_word_chars": ("word_chars", "n_words"),
     "symbol_ratio": ("n_symbols", "n_words"),
-    "upper_ratio": ("n_upper", "n_letters"),
+    "upper_ratio": ("n_upper", "word_chars"),
     "mark_ratio": ("n_marks", "n_words"),
     "stop_ratio": ("n_stop", "n_words"),
     "dup_line_ratio": ("n_dup_lines", "n_lines"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lines, mixing, quality
+from . import doubling, langid, lines, mixing, ngram_join, quality, suffix
 from .common import table
 
 
@@ -28,10 +28,22 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "runner_up", "gap", "ambiguous")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_strings(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op3_quality_rules, op4_language_id, op8_line_dedup)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling.dedup_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
