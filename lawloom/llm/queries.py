@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doubling, langid, lines, mixing, ngram_join, quality, suffix
+from . import doubling, fingerprint, langid, lines, mixing, ngram_join, quality, suffix
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_to_targets(documents(spark, sf_dir)).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = quality.quality_rules(documents(spark, sf_dir))
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -44,6 +48,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.dedup_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
