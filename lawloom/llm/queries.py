@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doubling, fingerprint, langid, lines, mixing, ngram_join, quality, suffix
+from . import doubling, fingerprint, langid, lines, mixing, ngram_join, pii, quality, suffix
 from .common import table
 
 
@@ -44,10 +44,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_secret")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.dedup_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
