@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doubling, fingerprint, langid, lines, mixing, ngram_join, pii, quality, suffix
+from . import doubling, fingerprint, langid, lines, mixing, ngram_join, pieces, pii, quality, suffix
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.dedup_strings(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(documents(spark, sf_dir))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, sf_dir))
 
@@ -53,6 +57,6 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.dedup_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op6_sentence_pieces, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup)}
 
 ORACLES: dict[str, str] = {}
