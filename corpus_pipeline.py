@@ -1,15 +1,63 @@
-"""A corpus pipeline of five stages over `documents`."""
+"""A corpus pipeline over `documents`: each stage works on all that the one before kept.
+
+1. language  - documents without a recognisable language go (error-correcting output codes)
+2. lines     - lines found in three documents or more stay in the last one only
+3. near      - of each group of near-duplicate documents the one of the least doc_id stays
+4. mixing    - documents are sampled so that sources, languages and topics meet their shares
+5. pieces    - the texts become SentencePiece ids
+
+All but the last stage return the columns of `documents`; n_chars follows the text.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lawloom.llm import langid, lines, mixing, ngram_join, pieces
+from lawloom.llm.common import table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = langid.fit(docs.where(~langid.held_out()))
+    return langid.identified(docs.select(*COLUMNS), model)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    first = ngram_join.jaccard_components(docs, width=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first.hint("shuffle_hash"), "doc_id", "left_semi").select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    even = {"source": 0.9, "lang": 0.9, "topic": 0.9}
+    return mixing.mix_to_targets(docs, alphas=even, keep=0.8).where("sampled").select(*COLUMNS)
+
+
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", language),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mix", mix),
+    ("sentence_pieces", sentence_pieces),
+]
 
-STAGES: list = []
-ORACLE_SQL: str | None = None
+ORACLE_SQL: str | None = None  # learned, iterative and sampled stages have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

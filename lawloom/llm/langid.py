@@ -190,6 +190,22 @@ def predict(docs: DataFrame, model: Model | None, ambiguous: float = AMBIGUOUS)
     return id_and_text(docs).mapInArrow(emit, schema)
 
 
+def identified(docs: DataFrame, model: Model | None, least_gap: float = AMBIGUOUS) -> DataFrame:
+    """The rows of `docs`, all columns, that get a language: not those without a letter, nor
+    those whose runner-up is nearer than least_gap."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            for c in chunks(batch):
+                lost = np.sort(model.losses(trigram_counts(c)), 1) if model else np.zeros((len(c), 0))
+                clear = lost[:, 1] - lost[:, 0] >= least_gap if lost.shape[1] > 1 else np.full(len(c), lost.shape[1] == 1)
+                keep[c.first_row : c.first_row + len(c)] = clear & [has_letter(c.text(i)) for i in range(len(c))]
+            yield batch.filter(pa.array(keep))
+
+    return docs.where("doc_id IS NOT NULL").mapInArrow(emit, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fifth of the documents that is never learned from."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0

@@ -12,7 +12,7 @@
 Defined results: a null or empty text is one empty line; equal lines of one document count
 once towards `min_docs`; the largest doc_id holding a key keeps all its lines; rows with
 the same doc_id are one holder but are each rewritten; rows without a doc_id are left out;
-extra columns are ignored.
+extra columns stay as they are (n_lines and n_dropped are replaced).
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import U, checkpointed, chunks, id_and_text, list_of, mix, partitions_of
 
@@ -130,27 +131,33 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
-    """Apply each document's `drops` to its text."""
+    """Apply each document's `_drops` to its text; the other columns stay as they are."""
+    own = [f for f in docs.schema if f.name not in ("_drops", "n_lines", "n_dropped")]
+    schema = T.StructType([*own, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            texts, n_lines, n_dropped = [], [], []
             for c in chunks(batch):
-                for i, doc in enumerate(c.ids):
+                for i in range(len(c)):
                     lines = c.text(i).split(b"\n")
-                    drops = set(list_of(batch, "drops", c.first_row + i).tolist())
+                    drops = set(list_of(batch, "_drops", c.first_row + i).tolist())
                     kept = lines
                     if drops:
                         kept = [x for x in lines if not (long_enough(k := line_key(x), min_chars) and hash_key(k) in drops)]
-                    out.append((doc, len(lines), len(lines) - len(kept), b"\n".join(kept).decode()))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["doc_id", "n_lines", "n_dropped", "kept_text"])
+                    texts.append(b"\n".join(kept).decode())
+                    n_lines.append(len(lines))
+                    n_dropped.append(len(lines) - len(kept))
+            columns = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in own}
+            columns |= {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.mapInArrow(emit, "doc_id long, n_lines long, n_dropped long, kept_text string")
+    return docs.mapInArrow(emit, schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None) -> DataFrame:
-    """doc_id, n_lines, n_dropped and kept_text for each row of `docs` (doc_id, text)."""
+    """The rows of `docs` with their text rewritten, and n_lines and n_dropped of each."""
+    whole = docs.where("doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string")).drop("_drops")
     docs = id_and_text(docs)
     shards = shards or 2 * partitions_of(docs)
     keys = line_keys(docs, min_chars).withColumn("shard", F.pmod(F.col("key"), F.lit(shards)).cast("int"))
@@ -174,5 +181,5 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     index = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.get(copies, F.col("shard")) - 1)))
     ask = keys.withColumn("copy", F.pmod(F.xxhash64("doc_id"), F.get(copies, F.col("shard"))).cast("int"))
     drops = ask.groupBy("shard", "copy").cogroup(index.groupBy("shard", "copy")).applyInPandas(probe, "doc_id long, key long")
-    drops = drops.groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
-    return rewrite(docs.join(drops.hint("shuffle_hash"), "doc_id", "left"), min_chars)
+    drops = drops.groupBy("doc_id").agg(F.collect_set("key").alias("_drops"))
+    return rewrite(whole.join(drops.hint("shuffle_hash"), "doc_id", "left"), min_chars)

@@ -45,7 +45,7 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return lines.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
