@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ U = np.uint64
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data set, read by Spark alone (the folder may be in any store)."""
+    # where the package isn't installed, Python workers find it beside this checkout
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -23,6 +23,8 @@ rows without a doc_id are left out; extra columns are ignored.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,7 +101,7 @@ def bucketed(docs: DataFrame, bucket_docs: int) -> DataFrame:
     copy (own: false) of the document after its last one in descending order of ids."""
     low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = max(1, ((high or 0) - (low or 0) + 1) * bucket_docs // max(n, 1))
-    docs = docs.withColumn("bucket", F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low or 0)) / F.lit(width)).cast("long"))
+    docs = docs.withColumn("bucket", F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(Decimal(low or 0))) / F.lit(Decimal(width))).cast("long"))
     heads = docs.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).withColumn("region", F.floor(F.col("bucket") / 512))
     # the next bucket above that isn't empty; beyond the highest comes the lowest
     regions = heads.groupBy("region").agg(F.min("bucket").alias("lowest"))
@@ -109,8 +111,10 @@ def bucketed(docs: DataFrame, bucket_docs: int) -> DataFrame:
     if n // bucket_docs <= MAX_BROADCAST:
         up = F.broadcast(up)
     places = F.array(F.struct(F.col("bucket"), F.lit(True).alias("own")), F.struct(F.col("up").alias("bucket"), F.lit(False).alias("own")))
-    rows = docs.join(up, "doc_id", "left").select("doc_id", "text", F.explode(F.filter(places, lambda p: p["bucket"].isNotNull())).alias("p"))
-    return rows.select("doc_id", "text", "p.bucket", "p.own").repartition(partitions_of(docs), "bucket")
+    rows = docs.join(up, "doc_id", "left").select("doc_id", "text", F.explode(places).alias("p"))
+    rows = rows.select("doc_id", "text", "p.bucket", "p.own").where("bucket IS NOT NULL")
+    # no lambda below this exchange: its variables would keep the plan from sharing it
+    return rows.repartition(2 * partitions_of(docs), "bucket")
 
 
 def fingerprints(docs: DataFrame, draws: int = DRAWS, strata: int = STRATA, bucket_docs: int = BUCKET_DOCS) -> DataFrame:

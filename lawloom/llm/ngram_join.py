@@ -33,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, checkpointed, chunks, components, id_and_text, materialised, mix, prefix, span, to_long, words_of
+from .common import U, Chunk, checkpointed, chunks, components, id_and_text, materialised, mix, prefix, ragged, span, to_long, words_of
 
 SHINGLE, PERCENT = 4, 85
-BITS = 1024
+MAX_BITS = 1 << 18
 FIRST = 3  # prefix n-grams of the first star step
 SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 5_000, 10, 50_000
+MAX_BROADCAST = 500_000  # pairs whose ids are broadcast
+MANY = 50  # pairs a class in contested tiles, beyond which another star step comes first
 
 
 def shingles(c: Chunk, width: int) -> list[np.ndarray]:
@@ -70,26 +72,41 @@ def profile(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n, whole, tokens, bits = [], [], [], [], []
             for c in chunks(batch):
-                for i, s in enumerate(shingles(c, width)):
-                    ids.append(c.ids[i])
-                    n.append(len(s))
-                    whole.append(int(to_long(mix(s.copy()).sum(keepdims=True))[0]) if len(s) else 0)
-                    late = np.isin(s, frequent) if len(frequent) else np.zeros(len(s), bool)
-                    order = np.concatenate([s[~late], s[late]])
-                    tokens.append(to_long(order[: len(s) - least_overlap(len(s), percent) + 1] if len(s) else s))
-                    b = np.zeros(BITS, np.uint8)
-                    b[(mix(s.copy()) % U(BITS)).astype(np.int64)] = 1
-                    bits.append(np.packbits(b).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(whole, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                ["doc_id", "n", "whole", "tokens", "bits"],
-            )
+                sets = shingles(c, width)
+                n = np.array([len(x) for x in sets], np.int64)
+                flat = np.concatenate(sets)
+                doc = np.repeat(np.arange(len(c)), n)
+                late = among_sorted(flat, frequent)
+                # in the fixed order: frequent ones last, by hash within
+                order = np.lexsort((flat, late, doc))
+                start = np.cumsum(n) - n
+                place = np.arange(len(flat)) - np.repeat(start, n)
+                size = np.where(n > 0, n + percent * n // -100 + 1, 0)  # n - least overlap + 1
+                lead = place < np.repeat(size, n)
+                code = mix(flat.copy())
+                whole = np.zeros(len(c), U)
+                np.add.at(whole, doc, code)
+                # a bitmap of four bits or more for each shingle, its size a power of two
+                wide = np.minimum(np.maximum(1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64), 64), MAX_BITS)
+                base = np.cumsum(wide) - wide
+                bits = np.zeros(int(wide.sum()), np.uint8)
+                bits[base[doc] + (code & (wide[doc] - 1).astype(U)).astype(np.int64)] = 1
+                words = np.packbits(bits).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c.ids, pa.int64()), pa.array(n), pa.array(to_long(whole)), ragged(to_long(flat[order][lead]), size, pa.int64()), ragged(words, wide // 64, pa.int64())],
+                    ["doc_id", "n", "whole", "tokens", "bits"],
+                )
 
     return docs.mapInArrow(emit, "doc_id long, n long, whole long, tokens array<long>, bits array<long>")
 
 
+def among_sorted(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     total = docs.count()
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(7)), 11).cast("double") * F.lit(2.0**-53)
@@ -111,7 +128,14 @@ def band(n: str, percent: int) -> Column:
 
 
 def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose exact sets link."""
+    """The pairs (a, b) whose exact sets link.
+
+    Only the texts of documents in pairs are shuffled: their ids are broadcast if they are
+    few, by a count, and joined otherwise.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    few = pairs.count() <= MAX_BROADCAST
+    docs = docs.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "doc_id", "left_semi")
     left = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -146,13 +170,20 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
 def room(a: str, b: str, percent: int) -> Column:
     """Whether sizes and bitmaps of rows `a` and `b` leave room for a link.
 
-    Each bit that only one set has stands for a shingle that the other lacks.
+    Each bit that only one set has stands for a shingle that the other lacks.  Sizes of sets
+    that may link differ by less than a factor of two, so a larger bitmap is folded once.
     """
-    lacks = lambda x, y: F.aggregate(F.zip_with(F.col(x), F.col(y), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, v: s + v)
+
+    def folded(x: Column, y: Column) -> Column:
+        half = F.size(y)
+        return F.when(F.size(x) > half, F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(x)
+
+    lacks = lambda x, y: F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, v: s + v)
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    most = F.least(na - lacks(f"{a}.bits", f"{b}.bits"), nb - lacks(f"{b}.bits", f"{a}.bits"))
+    ba, bb = F.col(f"{a}.bits"), F.col(f"{b}.bits")
+    most = F.least(na - lacks(ba, bb), nb - lacks(bb, ba))
     sizes = (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
-    return sizes & (most * 100 >= (na + nb - most) * percent)
+    return F.when(sizes, most * 100 >= (na + nb - most) * percent).otherwise(F.lit(False))
 
 
 def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, star_rounds: int = 4) -> DataFrame:
@@ -164,42 +195,45 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     reps = materialised(some.join(classes.withColumnRenamed("rep", "doc_id"), ["whole", "n", "doc_id"]).dropDuplicates(["doc_id"]).select("doc_id", "n", "tokens", "bits").withColumn("band", band("n", percent)))
 
     # 1. star step over the first tokens
-    short = reps.select("doc_id", "n", "band", F.explode(F.slice("tokens", 1, FIRST)).alias("token"))
+    short = reps.select("doc_id", "band", F.explode(F.slice("tokens", 1, FIRST)).alias("token"))
     hubs = short.groupBy("token", "band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("hub < top")
     pairs = short.join(hubs, ["token", "band"]).where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = materialised(linked(pairs, docs, width, percent))
-    tried = materialised(pairs)
-
-    # 2. tiles that still hold several components: a set is in the tiles of its own band and the one below
-    base = reps.select("doc_id", "tokens", "band")
+    tried = materialised(with_room(pairs, reps, percent))
+    links = materialised(linked(tried, docs, width, percent))
+
+    # 2. contested tiles; they only become fewer as components merge
+    comp = components(links).withColumnRenamed("node", "doc_id")
+    rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), F.explode("tokens").alias("token"))
+    lone = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
+    held = rows.join(lone, "token").select("doc_id", "token", "band", "comp")
+    # a set is in the tiles of its own band and of the one below
+    held = materialised(held.select("doc_id", "token", "comp", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
     for r in range(star_rounds + 1):
-        comp = components(links)
-        now = base.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "tokens", "band", F.coalesce("component", "doc_id").alias("comp"))
-        rows = now.select("doc_id", "comp", "band", F.explode("tokens").alias("token")).select("doc_id", "comp", "token", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile"))
-        contested = rows.groupBy("token", "tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        held = materialised(rows.join(contested, ["token", "tile"]).select("doc_id", "comp", "token", "tile", "low"))
-        tiles = held
-        if r == star_rounds:
+        size = held.groupBy("token", "tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
+        held = materialised(held.join(size.select("token", "tile", "low", "size"), ["token", "tile"]))
+        ahead = held.agg(F.sum("size"), F.countDistinct("doc_id")).first()
+        if r == star_rounds or (ahead[0] or 0) <= MANY * max(ahead[1], 1):
             break
         # the tile's least component against the least class of each other component
         heads = held.groupBy("token", "tile", "comp").agg(F.min("doc_id").alias("doc_id"), F.min("low").alias("low"))
         hub = heads.where("comp = low").select("token", "tile", F.col("doc_id").alias("b"))
         fresh = heads.where("comp > low").join(hub, ["token", "tile"]).select(F.col("doc_id").alias("a"), "b").distinct()
         fresh = materialised(with_room(fresh.join(tried, ["a", "b"], "left_anti"), reps, percent))
-        if fresh.isEmpty():
-            break
         found = materialised(linked(fresh, docs, width, percent))
         tried = tried.union(fresh)
         if found.isEmpty():
             break
-        links = links.union(found)
+        links = materialised(links.union(found))
+        comp = components(links).withColumnRenamed("node", "doc_id")
+        held = held.select("doc_id", "token", "tile").join(comp, "doc_id", "left").select("doc_id", "token", "tile", F.coalesce("component", "doc_id").alias("comp"))
 
     # 3. all remaining pairs of different components within contested tiles
-    sides = tiles.join(reps.select("doc_id", "n", "bits"), "doc_id")
+    sides = held.join(reps.select("doc_id", "n"), "doc_id").select("doc_id", "n", "token", "tile", "comp")
     a, b = sides.alias("a"), sides.alias("b")
-    meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile"))
-    rest = a.join(b, meet & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp")) & room("a", "b", percent))
-    rest = rest.select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile")) & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp"))
+    fits = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
+    rest = a.join(b, meet & fits).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
 
     comp = components(links)

@@ -41,6 +41,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 UNIT = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 BLOCK_BYTES = 16 << 20
+NONE = (1 << 18) - 1  # stands for no piece in a packed edge
 MAX_UNIT = 60  # characters of a unit that Spark encodes; boundaries are bits of a long
 
 
@@ -183,10 +184,13 @@ def lattice(units: DataFrame, v: Vocabulary) -> DataFrame:
     """(unit, edges): for each unit the substrings that are pieces, and its single characters.
 
     An edge has its ends s and e, the ids it stands for, rank and score (null for a character
-    without a piece), the bits of its ends and of the boundaries inside it.
+    without a piece), the bits of its ends and of the boundaries inside it.  Edges are grouped
+    as one number each (6, 6, 18 and 18 bits), which keeps the grouping small.
     """
+    if len(v.texts) >= NONE or len(v.rank) >= NONE:
+        raise ValueError(f"a vocabulary of {NONE} pieces or more needs wider edges")
     spark = units.sparkSession
-    table = spark.createDataFrame([(p, i, v.rank[p], float(v.score[p])) for p, i in v.ids.items()], "piece string, id int, rank int, score double")
+    table = spark.createDataFrame([(p, v.rank[p] << 18 | i) for p, i in v.ids.items()], "piece string, code long")
     n = F.length("unit")
     subs = F.flatten(
         F.transform(
@@ -195,20 +199,30 @@ def lattice(units: DataFrame, v: Vocabulary) -> DataFrame:
         )
     )
     rows = units.select("unit", F.explode(subs).alias("x")).select("unit", "x.s", "x.e", "x.piece")
-    hits = rows.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    code = F.hex(F.encode("piece", "utf-8"))
-    raw = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(F.lit(v.byte_ids), F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")))
-    bit = lambda k: F.expr(f"shiftleft(1L, {k})")
-    edge = F.struct(
-        "s",
-        "e",
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(raw).alias("ids"),
-        "rank",
-        "score",
-        bit("s").bitwiseOR(bit("e")).alias("ends"),
-        (bit("e") - 1).bitwiseAND(F.bitwise_not(bit("s + 1") - 1)).alias("inner"),
-    )
-    return hits.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    hits = rows.join(F.broadcast(table), "piece", "left").where("code IS NOT NULL OR e = s + 1")
+    edge = F.shiftleft(F.col("s").cast("long"), 42).bitwiseOR(F.shiftleft(F.col("e").cast("long"), 36)).bitwiseOR(F.coalesce("code", F.lit(NONE << 18 | NONE)))
+    grouped = hits.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+    one = F.lit(1).cast("long")
+    bit = lambda k: F.call_function("shiftleft", one, k)
+    part = lambda x, low, bits: F.shiftright(x, low).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+    def unpacked(x: Column) -> Column:
+        s, e, rank, i = part(x, 42, 6), part(x, 36, 6), part(x, 18, 18), part(x, 0, 18)
+        code = F.hex(F.encode(F.substring("unit", s + 1, F.lit(1)), "utf-8"))
+        raw = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(F.lit(v.byte_ids), F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")))
+        score = F.lit(None).cast("double") if v.merges else F.get(F.lit(sorted(set(v.score.values()), reverse=True)), rank)
+        return F.struct(
+            s.alias("s"),
+            e.alias("e"),
+            F.when(i != NONE, F.array(i)).otherwise(raw).alias("ids"),
+            F.when(i != NONE, rank).alias("rank"),
+            F.when(i != NONE, score).alias("score"),
+            bit(s).bitwiseOR(bit(e)).alias("ends"),
+            (bit(e) - 1).bitwiseAND(F.bitwise_not(bit(s + 1) - 1)).alias("inner"),
+        )
+
+    return grouped.select("unit", F.transform("edges", unpacked).alias("edges"))
 
 
 def merge_fold(edges: Column, n: Column) -> Column:
@@ -233,7 +247,7 @@ def viterbi_fold(edges: Column, n: Column) -> Column:
     def step(best: Column, e: Column) -> Column:
         into = F.transform(
             F.filter(edges, lambda x: x["e"] == e),
-            lambda x: F.struct((F.get(best, x["s"])["score"] + F.coalesce(x["score"], F.lit(-1e6))).alias("score"), (-x["s"]).alias("s"), F.get(best, x["s"])["cuts"].bitwiseOR(F.shiftleft(F.lit(1).cast("long"), e)).alias("cuts")),
+            lambda x: F.struct((F.get(best, x["s"])["score"] + F.coalesce(x["score"], F.lit(-1e6))).alias("score"), (-x["s"]).alias("s"), F.get(best, x["s"])["cuts"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e)).alias("cuts")),
         )
         top = F.array_max(into)
         return F.concat(best, F.array(F.struct(top["score"].alias("score"), top["cuts"].alias("cuts"))))
@@ -258,7 +272,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     v = vocabulary or load()
     docs = id_and_text(docs)
     parts = partitions_of(docs)
-    named = docs.mapInArrow(name_units, "block long, unit string").repartition(parts, "unit")
+    named = docs.mapInArrow(name_units, "block long, unit string").repartition(4 * parts, "unit")
     # with the block, so that both uses read the same columns and share one shuffle
     words = named.groupBy("unit").agg(F.min("block").alias("block")).where("block IS NOT NULL").select("unit")
     answers = named.join(encoded_units(words, v), "unit").select("block", "unit", "ids")

@@ -59,4 +59,56 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op6_sentence_pieces, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup)}
 
-ORACLES: dict[str, str] = {}
+
+def _quoted(words) -> str:
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_STOPS = _quoted(sorted({x for ws in quality.STOP_WORDS.values() for w in ws for x in (w, w.capitalize())}))
+_COUNTS = {
+    "n_upper": "length(regexp_replace(t, '[^A-Z]+', '', 'g'))",
+    "n_marks": "length(regexp_replace(t, '[^!?]+', '', 'g'))",
+    "n_stop": f"len(list_filter(w, lambda x: x in ({_STOPS})))",
+    "n_bullets": r"len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•·–]')))",
+}
+
+
+def _rules_sql() -> str:
+    broken = []
+    for r in quality.RULES:
+        a, b = quality.RATIOS.get(r.metric, (None, None))
+        value = r.metric if a is None else f"(case when {b} > 0 then {a}::double / {b} else 0 end)"
+        if r.low is not None:
+            broken.append(f"({value} < {r.low} and n_words >= {r.min_words})")
+        if r.high is not None:
+            broken.append(f"({value} > {r.high} and n_words >= {r.min_words})")
+    return " or ".join(broken)
+
+
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": rf"""
+with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as l from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as k from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from d)),
+again as (select doc_id, k from win group by all having count(*) > 1),
+covered as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 5)) as p from win join again using (doc_id, k)) group by 1),
+m as (select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as n_symbols,
+    len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words, {", ".join(f"{v} as {k}" for k, v in _COUNTS.items())}
+  from d left join covered using (doc_id)),
+b as (select *, n_words < 10 or n_repeat_words * 100 > n_words * 20 as base_failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({_rules_sql()}) as kept from b""",
+    "op8_line_dedup": """
+with l as (select doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select doc_id, unnest(s) as line, unnest(range(1, len(s) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as s from documents))),
+h as (select k, max(doc_id) as last from l where length(k) >= 20 group by 1 having count(distinct doc_id) >= 3),
+x as (select doc_id, i, line, coalesce(doc_id < last, false) as gone from l left join h using (k))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256 from x group by 1""",
+    "op10_substring_dedup": rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents),
+win as (select doc_id, i, row_number() over (partition by array_to_string(w[i:i + 19], ' ') order by doc_id, i) as r from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d)),
+gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from win where r > 1),
+x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
+y as (select doc_id, count(*) as n_words, count(g.i) as n_removed, string_agg(word, ' ' order by x.i) filter (g.i is null) as kept from x left join gone g using (doc_id, i) group by 1)
+select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join y using (doc_id)""",
+}

@@ -17,8 +17,10 @@ what can be equal:
    there, by the same two-stage suffix array.
 
 Very frequent keys (a list of bounded length, from a bounded sample of documents; it only
-steers the work) are dealt by key and run, and their open runs window by window, so that no
-key's rows meet in one task.
+steers the work) are dealt by key and run.  Their open runs are split by where the short
+string lies in the window, and dealt by the 84 or more bytes that a part's windows share; a
+part whose shared bytes are frequent too is dealt window by window.  So no group that grows
+with the corpus meets in one task.
 
 Defined results: a null or empty text has no bytes; strings never cross documents; rows of
 equal doc_id do not count as earlier than each other; rows without a doc_id are left out;
@@ -31,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,35 +59,42 @@ def words8(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def sort_directly(at: np.ndarray, key: np.ndarray, depth: int) -> np.ndarray:
+def word_ranks(text: np.ndarray) -> np.ndarray:
+    """Rank of the eight bytes from each position among all of them, equal if they are."""
+    key = words8(text)
+    order = np.argsort(key)
+    ordered = key[order]
+    out = np.empty(len(key), np.int64)
+    out[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+    return out
+
+
+def sort_directly(at: np.ndarray, word: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes `at` in order of their first `depth` bytes: eight bytes at a time, and only
     those that are still tied take part in the next step."""
-    n = len(key)
-    order = at[np.argsort(key[at], kind="stable")]
-    first = key[order]
-    rank = np.concatenate([[0], np.cumsum(first[1:] != first[:-1])]) if len(order) else np.zeros(0, np.int64)
-    tied = np.zeros(len(order), bool)
+    n = len(word)
+    if not len(at):
+        return at
+    order = at[np.argsort(word[at])]
+    first = word[order]
+    rank = np.concatenate([[0], np.cumsum(first[1:] != first[:-1])])
+    where = np.arange(len(order))
     for k in range(8, depth, 8):
         same = rank[1:] == rank[:-1]
-        tied[:] = False
-        tied[1:] |= same
-        tied[:-1] |= same
-        where = np.flatnonzero(tied)
+        tied = np.append(False, same) | np.append(same, False)
+        where, rank = where[tied], rank[tied]
         if not len(where):
             break
         far = order[where] + k
-        more = np.where(far < n, key[np.minimum(far, n - 1)], U(0))
-        by = np.lexsort((more, rank[where]))
+        both = (rank << 32) | np.where(far < n, word[np.minimum(far, n - 1)] + 1, 0)
+        by = np.argsort(both)
         order[where] = order[where][by]
-        r, m = rank[where], more[by]
-        split = (m[1:] != m[:-1]) & (r[1:] == r[:-1])
-        bump = np.zeros(len(order), np.int64)
-        bump[where[1:][split]] = 1
-        rank = rank + np.cumsum(bump)
+        both = both[by]
+        rank = np.cumsum(np.append(True, both[1:] != both[:-1]))
     return order
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int = LENGTH, word: np.ndarray | None = None) -> np.ndarray:
     """Suffixes of `text` (bytes) in order of at least their first `depth` bytes."""
     n = len(text)
     if n == 0:
@@ -98,7 +106,7 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     sign[-1] = -1
     change = np.flatnonzero(sign)
     small = sign[change[np.searchsorted(change, np.arange(n))]] > 0
-    ordered = sort_directly(np.flatnonzero(small), words8(text), depth + 8)
+    ordered = sort_directly(np.flatnonzero(small), word_ranks(text) if word is None else word, depth + 8)
     head = text[ordered]
     cut = np.searchsorted(head, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -125,20 +133,19 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.ndarray:
+def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH, word: np.ndarray | None = None) -> np.ndarray:
     """Common prefix of each suffix with the one before it in `sa`, up to `most` bytes."""
     n, out = len(text), np.zeros(len(sa), np.int64)
-    padded = np.concatenate([text, np.zeros(most + 1, np.uint8)])
-    key = words8(padded)
+    padded = np.concatenate([text, np.zeros(most + 9, np.uint8)])
+    word = np.append(word_ranks(text) if word is None else word, -1)
     alive = np.arange(1, len(sa))
     k = 0
     while k < most and len(alive):
-        same = key[np.minimum(sa[alive] + k, n)] == key[np.minimum(sa[alive - 1] + k, n)]
+        same = word[np.minimum(sa[alive] + k, n)] == word[np.minimum(sa[alive - 1] + k, n)]
         ends = alive[~same]
         left = np.full(len(ends), True)
         for j in range(8):  # the last, partial step byte by byte
-            a, b = np.minimum(sa[ends] + k + j, n), np.minimum(sa[ends - 1] + k + j, n)
-            left &= padded[a] == padded[b]
+            left &= padded[sa[ends] + k + j] == padded[sa[ends - 1] + k + j]
             out[ends] += left
         alive = alive[same]
         out[alive] += 8
@@ -150,8 +157,9 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH) -> np.
 
 def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes in order, class of each): suffixes of a class share their first `length` bytes."""
-    sa = suffix_array(text, length)
-    return sa, np.cumsum(common_prefixes(text, sa, length) < length)
+    word = word_ranks(text)
+    sa = suffix_array(text, length, word)
+    return sa, np.cumsum(common_prefixes(text, sa, length, word) < length)
 
 
 # ------------------------------------------------------------ runs
@@ -194,9 +202,11 @@ def runs_of(c: Chunk, length: int, anchor: int) -> tuple[np.ndarray, ...]:
     return doc, at, end - at, key[at], span(sums, at, end + length - 1), within
 
 
-ROW = "p long, kind byte, doc_id long, key long, run long, at int, n int"
-FRESH, REPEATED, OPEN, WITHIN = 0, 1, 2, 3
-NAMES = ["p", "kind", "doc_id", "key", "run", "at", "n"]
+ROW = "kind byte, doc_id long, key long, run long, at int, n int"
+FRESH, REPEATED, OPEN, WITHIN, OFTEN = 0, 1, 2, 3, 4
+NAMES = ["kind", "doc_id", "key", "run", "at", "n"]
+# rows that only pass through are dealt by document, those of frequent keys by key and run
+DEALT = f"CASE WHEN kind IN ({REPEATED}, {WITHIN}) THEN doc_id WHEN kind = {OFTEN} THEN key ^ run ELSE key END"
 
 
 def first_of(key: np.ndarray, run: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -226,27 +236,27 @@ def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) ->
                 continue
             ids, at, n, key, run = (np.concatenate(x) for x in zip(*got, strict=True))
             late = ids > first_of(key, run, ids)
-            p = np.where(np.isin(key, frequent), mix(key ^ run), key).view(np.int64)
-            p = np.where(late, ids, p)
-            kind = np.where(late, REPEATED, FRESH)
+            kind = np.where(late, REPEATED, np.where(np.isin(key, frequent), OFTEN, FRESH))
+            key, run = np.where(late, U(0), key), np.where(late, U(0), run)
             own = np.concatenate(within)
             zero = np.zeros(len(own), np.int64)
-            columns = [np.concatenate(x) for x in ((p, own), (kind, zero + WITHIN), (ids, own), (to_long(key), zero), (to_long(run), zero), (at, zero), (n, zero))]
-            yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(columns, (pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], NAMES)
+            columns = [np.concatenate(x) for x in ((kind, zero + WITHIN), (ids, own), (to_long(key), zero), (to_long(run), zero), (at, zero), (n, zero))]
+            yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(columns, (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], NAMES)
 
     return docs.mapInArrow(emit, ROW)
 
 
-def judge(frequent: np.ndarray) -> Callable:
-    """A partition's fresh runs become repeated, open, or nothing; other rows pass through."""
+def judge() -> Callable:
+    """A partition's runs become repeated, open, or nothing; other rows pass through."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
         t = pa.Table.from_batches(held)
-        kind, doc, key, run, at, n = (t.column(x).to_numpy() for x in NAMES[1:])
-        fresh = np.flatnonzero(kind == FRESH)
+        kind, doc, key, run, at, n = (t.column(x).to_numpy() for x in NAMES)
+        often = kind == OFTEN
+        fresh = np.flatnonzero((kind == FRESH) | often)
         if len(fresh):
             k, r, d = key[fresh], run[fresh], doc[fresh]
             first = first_of(k, r, d)
@@ -256,21 +266,18 @@ def judge(frequent: np.ndarray) -> Callable:
             least, most = np.minimum.reduceat(rs, edge), np.maximum.reduceat(rs, edge)
             mixed = np.empty(len(k), bool)
             mixed[by] = np.repeat(least != most, np.diff(np.append(edge, len(ks))))
-            mixed |= np.isin(k, frequent.view(np.int64))
+            mixed |= often[fresh]
             kind = kind.copy()
             kind[fresh] = np.where(d > first, REPEATED, np.where(mixed, OPEN, FRESH))
         keep = kind != FRESH
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (kind, doc, key, at, n)], ["kind", "doc_id", "key", "at", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (kind, doc, key, at, n, often)], ["kind", "doc_id", "key", "at", "n", "often"])
 
     return emit
 
 
 def frequent_keys(docs: DataFrame, length: int, anchor: int) -> np.ndarray:
-    """Keys of many documents of a sample of about SAMPLE_DOCS documents, chosen by a hash of
-    the id.  The list only decides how rows are dealt, never what is removed."""
-    total = docs.count()
-    u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(5)), 11).cast("double") * F.lit(2.0**-53)
-    sample = docs.where(u < SAMPLE_DOCS / max(total, 1))
+    """Keys of many documents of the sample.  The list only decides how rows are dealt, never
+    what is removed."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,71 +286,153 @@ def frequent_keys(docs: DataFrame, length: int, anchor: int) -> np.ndarray:
                 some = np.unique(key ^ mix(doc.astype(U) + U(1)), return_index=True)[1]
                 yield pa.RecordBatch.from_arrays([pa.array(to_long(key[some]))], ["key"])
 
-    top = sample.mapInArrow(emit, "key long").groupBy("key").count().where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "key").limit(MAX_FREQUENT)
+    return top_keys(sampled(docs).mapInArrow(emit, "key long"))
+
+
+def sampled(docs: DataFrame) -> DataFrame:
+    """About SAMPLE_DOCS documents, chosen by a hash of the id."""
+    u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(5)), 11).cast("double") * F.lit(2.0**-53)
+    return docs.where(u < SAMPLE_DOCS / max(docs.count(), 1))
+
+
+def top_keys(rows: DataFrame) -> np.ndarray:
+    top = rows.groupBy("key").count().where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "key").limit(MAX_FREQUENT)
     return np.array([r["key"] for r in top.collect()], np.int64).view(U)
 
 
 # ------------------------------------------------------------ open runs
 
 
-def open_bytes(told: DataFrame, length: int) -> DataFrame:
-    """(doc_id, key, at, bytes) of the open runs listed with each document; a frequent key's
-    run gives one row for each window, keyed by the window."""
+def segments(part: bytes, n: int, key: U, length: int, anchor: int, steps: int = 4) -> tuple[np.ndarray, ...]:
+    """(first window, end, subkey) of the parts of a run: windows in which the short string
+    of hash `key` lies in the same quarter; the subkey is the hash of the bytes they share."""
+    sums = prefix(BYTE_CODE[np.frombuffer(part, np.uint8)])
+    i = np.arange(len(part) - anchor + 1)
+    place = np.flatnonzero(span(sums, i, i + anchor) == key)
+    win = np.arange(n)
+    at = place[np.minimum(np.searchsorted(place, win), len(place) - 1)]
+    free = length - anchor
+    wide = free // steps
+    quarter = (at - win) // wide
+    a = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (quarter[1:] != quarter[:-1])))
+    b = np.append(a[1:], n)
+    left = quarter[a] * wide
+    right = np.maximum(free - np.minimum(left + wide - 1, free), 0)
+    return a, b, mix(span(sums, at[a] - left, at[a] + anchor + right) + quarter[a].astype(U))
+
+
+def frequent_parts(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) -> np.ndarray:
+    """Subkeys of many documents of the same sample, among the runs of frequent keys."""
+    if not len(frequent):
+        return frequent
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in chunks(batch):
+                doc, at, n, key, _, _ = runs_of(c, length, anchor)
+                found: dict[int, set] = {}
+                for k in np.flatnonzero(np.isin(key, frequent)):
+                    subs = segments(c.data[at[k] : at[k] + n[k] + length - 1].tobytes(), n[k], key[k], length, anchor)[2]
+                    found.setdefault(int(doc[k]), set()).update(to_long(subs).tolist())
+                yield pa.RecordBatch.from_arrays([pa.array([x for v in found.values() for x in v], pa.int64())], ["key"])
+
+    return top_keys(sampled(docs).mapInArrow(emit, "key long"))
+
+
+def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) -> DataFrame:
+    """(kind, doc_id, key, at, n, bytes) of the open runs listed with each document.  A frequent
+    key's run gives its parts by subkey; a part whose subkey is in `parts` gives a row for each
+    window, keyed by the window's hash and without bytes.  Windows that a batch itself shows to
+    be repeated are marked at once."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
             lists = batch.column(batch.schema.get_field_index("open"))
             ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            out: list[tuple] = []
+            runs: list[tuple] = []
+            wins: list[tuple] = []
             for i, doc in enumerate(ids):
                 data = (texts[i].as_py() or "").encode()
                 for o in lists[i].as_py():
                     a, n = o["at"], o["n"]
-                    if o["often"]:
-                        h = span(prefix(BYTE_CODE[np.frombuffer(data[a : a + n + length - 1], np.uint8)]), np.arange(n), np.arange(n) + length)
-                        out += [(doc, int(k), a + j, data[a + j : a + j + length]) for j, k in enumerate(to_long(h).tolist())]
-                    else:
-                        out.append((doc, o["key"], a, data[a : a + n + length - 1]))
-                if len(out) > 20_000:
-                    yield packed(out)
-                    out = []
-            yield packed(out)
-
-    def packed(out: list[tuple]) -> pa.RecordBatch:
-        x = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(x, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["doc_id", "key", "at", "bytes"])
-
-    return told.mapInArrow(emit, "doc_id long, key long, at int, bytes binary")
-
-
-def sort_shard(length: int) -> Callable:
-    """applyInPandas body: windows of a shard that a smaller document also has."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pieces = pdf["bytes"].tolist()
-        text = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8)  # 0xFF isn't in UTF-8
-        size = np.array([len(b) for b in pieces])
-        start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
-        sa, cls = repeat_classes(text, length)
-        piece = np.searchsorted(start, sa, "right") - 1
-        off = sa - start[piece]
-        ok = off + length <= size[piece]
-        cls, piece, off = cls[ok], piece[ok], off[ok]
-        doc = pdf["doc_id"].to_numpy()[piece]
-        edge = np.flatnonzero(np.append(True, cls[1:] != cls[:-1])) if len(cls) else np.zeros(0, np.int64)
-        first = np.repeat(np.minimum.reduceat(doc, edge), np.diff(np.append(edge, len(cls)))) if len(cls) else doc
-        late = doc > first
-        doc, at = doc[late], pdf["at"].to_numpy()[piece[late]] + off[late]
-        by = np.lexsort((at, doc))
-        doc, at = doc[by], at[by]
-        new = np.ones(len(doc), bool)
-        new[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)
-        a = np.flatnonzero(new)
-        b = np.append(a[1:], len(doc)) - 1
-        return pd.DataFrame({"doc_id": doc[a], "at": at[a].astype(np.int32), "n": (at[b] - at[a] + 1).astype(np.int32)}) if len(doc) else pd.DataFrame({"doc_id": [], "at": [], "n": []}).astype({"doc_id": "int64", "at": "int32", "n": "int32"})
-
-    return run
+                    part = data[a : a + n + length - 1]
+                    if not o["often"]:
+                        runs.append((doc, o["key"], a, n, part))
+                        continue
+                    first, stop, sub = segments(part, n, np.array([o["key"]]).view(U)[0], length, anchor)
+                    for x, y, key, hot in zip(first.tolist(), stop.tolist(), to_long(sub).tolist(), np.isin(sub, parts).tolist(), strict=True):
+                        if hot:
+                            k = np.arange(x, y)
+                            wins.append((np.full(y - x, doc), to_long(span(prefix(BYTE_CODE[np.frombuffer(part, np.uint8)]), k, k + length)), a + k))
+                        else:
+                            runs.append((doc, key, a + x, y - x, part[x : y + length - 1]))
+            if runs:
+                doc, key, at, n, part = zip(*runs, strict=True)
+                yield packed(np.full(len(runs), FRESH), doc, key, at, n, part)
+            if wins:
+                doc, key, at = (np.concatenate(x) for x in zip(*wins, strict=True))
+                late = doc > first_of(key, key, doc)
+                yield packed(np.where(late, REPEATED, FRESH), doc, np.where(late, 0, key), at, np.ones(len(doc)), [None] * len(doc))
+
+    def packed(*columns) -> pa.RecordBatch:
+        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(v).astype(t.to_pandas_dtype()) if t != pa.binary() else v, t) for v, t in zip(columns, kinds, strict=True)], ["kind", "doc_id", "key", "at", "n", "bytes"])
+
+    return told.mapInArrow(emit, "kind byte, doc_id long, key long, at int, n int, bytes binary")
+
+
+def sorted_shard(doc: np.ndarray, at: np.ndarray, pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """(doc, at, n) of the stretches of windows in `pieces` that a smaller document also has."""
+    text = np.frombuffer(b"\xff".join(pieces) + b"\xff", np.uint8)  # 0xFF isn't in UTF-8
+    size = np.array([len(b) for b in pieces])
+    start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
+    sa, cls = repeat_classes(text, length)
+    piece = np.searchsorted(start, sa, "right") - 1
+    off = sa - start[piece]
+    ok = off + length <= size[piece]
+    cls, piece, off = cls[ok], piece[ok], off[ok]
+    own = doc[piece]
+    edge = np.flatnonzero(np.append(True, cls[1:] != cls[:-1]))
+    first = np.repeat(np.minimum.reduceat(own, edge), np.diff(np.append(edge, len(cls))))
+    late = own > first
+    d, a = own[late], at[piece[late]] + off[late]
+    by = np.lexsort((a, d))
+    d, a = d[by], a[by]
+    new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (a[1:] > a[:-1] + 1))) if len(d) else np.zeros(0, np.int64)
+    last = np.append(new[1:], len(d))[: len(new)] - 1
+    return d[new], a[new], a[last] - a[new] + 1
+
+
+def sort_shards(length: int, shard_bytes: int) -> Callable:
+    """A partition's pieces, all those of a key together, in shards of about shard_bytes."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if not held:
+            return
+        t = pa.Table.from_batches(held)
+        kind, doc, key, at, n = (t.column(x).to_numpy() for x in ("kind", "doc_id", "key", "at", "n"))
+        parts = t.column("bytes").combine_chunks()
+        del held, t
+        answer = lambda d, a, k: pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.asarray(a).astype(np.int32)), pa.array(np.asarray(k).astype(np.int32))], ["doc_id", "at", "n"])
+        done = kind == REPEATED
+        wins = np.flatnonzero(~done & parts.is_null().to_numpy(zero_copy_only=False))
+        done[wins] = doc[wins] > first_of(key[wins], key[wins], doc[wins])
+        yield answer(doc[done], at[done], n[done])
+        runs = np.flatnonzero((kind == FRESH) & parts.is_valid().to_numpy(zero_copy_only=False))
+        runs = runs[np.argsort(key[runs], kind="stable")]
+        a = 0
+        while a < len(runs):
+            b, size = a, 0
+            while b < len(runs) and (size < shard_bytes or key[runs[b]] == key[runs[b - 1]]):
+                size += int(n[runs[b]]) + length
+                b += 1
+            some = runs[a:b]
+            yield answer(*sorted_shard(doc[some], at[some], parts.take(pa.array(some)).to_pylist(), length))
+            a = b
+
+    return emit
 
 
 def cut(told: DataFrame, length: int) -> DataFrame:
@@ -387,25 +476,14 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     docs = id_and_text(docs)
     parts = partitions_of(docs)
     frequent = frequent_keys(docs, length, anchor)
-    rows = run_rows(docs, length, anchor, frequent).repartition(parts, "p")
-    judged = materialised(rows.mapInArrow(judge(frequent), "kind byte, doc_id long, key long, at int, n int"))
-    often = F.col("key").isin([int(k) for k in frequent.view(np.int64)]) if 0 < len(frequent) <= 2000 else F.lit(False)
-    if len(frequent) > 2000:
-        names = F.broadcast(docs.sparkSession.createDataFrame([(int(k),) for k in frequent.view(np.int64)], "key long").withColumn("hot", F.lit(True)))
-        opened = judged.where(F.col("kind") == OPEN).join(names, "key", "left").withColumn("often", F.coalesce("hot", F.lit(False)))
-    else:
-        opened = judged.where(F.col("kind") == OPEN).withColumn("often", often)
-    opened = opened.groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n", "often")).alias("open"))
-    pieces = materialised(open_bytes(docs.join(opened.hint("shuffle_hash"), "doc_id"), length))
-    # equal windows have equal keys, so a shard is any set of keys; lone keys have no equals
-    total = pieces.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
-    shards = max(parts, -(-int(total) // shard_bytes))
-    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
-    first = pieces.groupBy("key", "bytes").agg(F.min("doc_id").alias("first"))
-    late = pieces.join(first, ["key", "bytes"]).where("doc_id > first").select("doc_id", "at", (F.length("bytes") - length + 1).cast("int").alias("n"))
-    kept = pieces.join(first, ["key", "bytes"]).where("doc_id = first").select(shard, "doc_id", "at", "bytes")
-    sorted_ = kept.groupBy("shard").applyInPandas(sort_shard(length), "doc_id long, at int, n int")
-    found = judged.where(F.col("kind") == REPEATED).select("doc_id", "at", "n").union(late).union(sorted_)
+    rows = run_rows(docs, length, anchor, frequent).repartition(parts, F.expr(DEALT))
+    judged = materialised(rows.mapInArrow(judge(), "kind byte, doc_id long, key long, at int, n int, often boolean"))
+    opened = judged.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n", "often")).alias("open"))
+    pieces = open_bytes(docs.join(opened.hint("shuffle_hash"), "doc_id"), length, anchor, frequent_parts(docs, length, anchor, frequent))
+    # equal windows have equal keys, so all that can be equal is in one partition
+    pieces = pieces.repartition(parts, F.expr(f"CASE WHEN kind = {REPEATED} THEN doc_id ELSE key END"))
+    sorted_ = pieces.mapInArrow(sort_shards(length, shard_bytes), "doc_id long, at int, n int")
+    found = judged.where(F.col("kind") == REPEATED).select("doc_id", "at", "n").union(sorted_)
     drops = found.select("doc_id", F.struct("at", "n").alias("s"), F.lit(False).alias("w"))
     own = judged.where(F.col("kind") == WITHIN).select("doc_id", F.lit(None).cast("struct<at:int,n:int>").alias("s"), F.lit(True).alias("w"))
     drops = drops.union(own).groupBy("doc_id").agg(F.collect_list("s").alias("drops"), F.max("w").alias("within"))
