@@ -203,11 +203,14 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
 
     # 2. contested tiles; they only become fewer as components merge
     comp = components(links).withColumnRenamed("node", "doc_id")
-    rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), F.explode("tokens").alias("token"))
+    rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), "n", F.posexplode("tokens").alias("pos", "token"))
+    # shingles of the set from this one on in the fixed order: if it is the first that two sets
+    # share, they share no more than that
+    rows = rows.withColumn("left", F.col("n") - F.col("pos"))
     lone = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    held = rows.join(lone, "token").select("doc_id", "token", "band", "comp")
+    held = rows.join(lone, "token").select("doc_id", "token", "band", "comp", "left")
     # a set is in the tiles of its own band and of the one below
-    held = materialised(held.select("doc_id", "token", "comp", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
+    held = materialised(held.select("doc_id", "token", "comp", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
     for r in range(star_rounds + 1):
         size = held.groupBy("token", "tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
         held = materialised(held.join(size.select("token", "tile", "low", "size"), ["token", "tile"]))
@@ -225,14 +228,15 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
             break
         links = materialised(links.union(found))
         comp = components(links).withColumnRenamed("node", "doc_id")
-        held = held.select("doc_id", "token", "tile").join(comp, "doc_id", "left").select("doc_id", "token", "tile", F.coalesce("component", "doc_id").alias("comp"))
+        held = held.select("doc_id", "token", "tile", "left").join(comp, "doc_id", "left").select("doc_id", "token", "tile", "left", F.coalesce("component", "doc_id").alias("comp"))
 
     # 3. all remaining pairs of different components within contested tiles
-    sides = held.join(reps.select("doc_id", "n"), "doc_id").select("doc_id", "n", "token", "tile", "comp")
+    sides = held.join(reps.select("doc_id", "n"), "doc_id").select("doc_id", "n", "token", "tile", "comp", "left")
     a, b = sides.alias("a"), sides.alias("b")
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile")) & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp"))
     fits = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-    rest = a.join(b, meet & fits).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    ahead = F.least("a.left", "b.left") * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    rest = a.join(b, meet & fits & ahead).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
 
