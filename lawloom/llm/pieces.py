@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding as a relational lattice.
 
-Texts are cut into units that no piece can cross (a run of blanks with the word after it,
-a run of blanks, a newline).  Documents are read in blocks; each block names its distinct
-units, and the distinct units of the corpus are encoded once:
+Texts are cut into words (a run of blanks with the word after it, a run of blanks, a
+newline), and words into units between characters that stand side by side in no piece: no
+piece can cross there, so units are encoded on their own.  Documents are read in blocks; each
+block names its distinct units, and the distinct units of the corpus are encoded once:
 
 1. explode each unit's substrings up to the longest piece's length,
 2. equi-join them with the piece table (a broadcast: its size is the vocabulary's),
@@ -25,7 +26,7 @@ a doc_id are left out; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,8 +40,8 @@ from .common import id_and_text, partitions_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-UNIT = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
-BLOCK_BYTES = 16 << 20
+WORD = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
+BLOCK_BYTES = 12 << 20
 NONE = (1 << 18) - 1  # stands for no piece in a packed edge
 MAX_UNIT = 60  # characters of a unit that Spark encodes; boundaries are bits of a long
 
@@ -57,6 +58,16 @@ class Vocabulary:
     texts: list[bytes] = field(default_factory=list)  # what each id stands for
     longest: int = 16
 
+    def __post_init__(self) -> None:
+        """The characters of longer pieces, and which of them stand side by side in one."""
+        wide = [p for p in self.ids if len(p) > 1]
+        self.alphabet = np.array(sorted({ord(c) for p in wide for c in p}), np.uint32)
+        at = {int(c): i for i, c in enumerate(self.alphabet)}
+        self.side = np.zeros((len(at) + 1, len(at) + 1), bool)  # the last stands for any other
+        for p in wide:
+            for a, b in zip(p, p[1:], strict=False):
+                self.side[at[ord(a)], at[ord(b)]] = True
+
 
 def load(model: str = MODEL, merges: bool = True) -> Vocabulary:
     """Read a model file with the library; merges: byte-pair rather than unigram scores."""
@@ -125,8 +136,28 @@ def encode_unit(unit: str, v: Vocabulary) -> list[int]:
     return out
 
 
-def units_of(text: str) -> list[str]:
-    return UNIT.findall(BLANK + text.replace(" ", BLANK)) if text else []
+def words_of(text: str) -> list[str]:
+    return WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []
+
+
+def units_of(words: list[str], v: Vocabulary) -> tuple[list[str], np.ndarray]:
+    """The units of all words in a row, and for each word the index of its first one (and the
+    number of all at the end)."""
+    text = "".join(words)
+    start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    if len(v.alphabet):
+        at = np.minimum(np.searchsorted(v.alphabet, code), len(v.alphabet) - 1)
+        at[v.alphabet[at] != code] = len(v.alphabet)
+        apart = ~v.side[at[:-1], at[1:]]
+    else:
+        apart = np.ones(max(len(code) - 1, 0), bool)
+    edge = np.ones(len(code) + 1, bool)
+    edge[1:-1] = apart
+    edge[start] = True
+    cut = np.flatnonzero(edge)
+    places = cut.tolist()
+    return [text[a:b] for a, b in zip(places, places[1:], strict=False)], np.searchsorted(cut, start)
 
 
 def decode(ids: np.ndarray, v: Vocabulary) -> bytes:
@@ -158,12 +189,26 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int],
         yield name(), ids, texts
 
 
-def name_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, _, texts in blocks(batches):
-        found = list({u for t in texts for u in units_of(t) if len(u) <= MAX_UNIT})
-        for a in range(0, len(found), 50_000):
-            part = found[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "unit"])
+def sliced(x: list, size: int = 50_000) -> Iterator[list]:
+    for a in range(0, len(x), size):
+        yield x[a : a + size]
+
+
+def name_units(v: Vocabulary) -> Callable:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, _, texts in blocks(batches):
+            words: set[str] = set()
+            for t in texts:
+                words.update(words_of(t))
+            units: set[str] = set()
+            for part in sliced(list(words)):
+                units.update(units_of(part, v)[0])
+            del words
+            found = [u for u in units if len(u) <= MAX_UNIT]
+            for part in sliced(found):
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "unit"])
+
+    return emit
 
 
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,77 +222,154 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([press.compress(sink.getvalue())], pa.binary())], ["block", "packed"])
 
 
+def pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A partition's rows of block, unit and ids as compressed rows, one for each block in each
+    million rows; in order of the units, which compress best so."""
+    press = zstandard.ZstdCompressor(level=3)
+    held: list[pa.RecordBatch] = []
+
+    def packed() -> pa.RecordBatch:
+        t = pa.Table.from_batches(held).sort_by([("block", "ascending"), ("unit", "ascending")])
+        block = t["block"].to_numpy()
+        edge = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
+        rows = t.select(["unit", "ids"]).combine_chunks()
+        out = []
+        for a, b in zip(edge, [*edge[1:], len(block)], strict=True):
+            part = rows.slice(a, b - a)
+            sizes = part["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+            flat = part["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
+            text = "\n".join(part["unit"].to_pylist()).encode()
+            # a unit holds a newline only if it is one
+            head = np.array([b - a, len(flat)], np.int64).tobytes()
+            out.append(press.compress(head + sizes.astype(np.uint8).tobytes() + flat.view(np.uint8).reshape(-1, 4).T.tobytes() + text))
+        return pa.RecordBatch.from_arrays([pa.array(block[edge], pa.int64()), pa.array(out, pa.binary())], ["block", "answers"])
+
+    n = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= 1_000_000:
+            yield packed()
+            held, n = [], 0
+    if held:
+        yield packed()
+
+
+def unpack_answers(blob: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """The units of a compressed row with their ids."""
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n, m = np.frombuffer(data, np.int64, 2).tolist()
+    ends = np.cumsum(np.frombuffer(data, np.uint8, n, 16).astype(np.int64)).tolist()
+    flat = np.frombuffer(data, np.uint8, 4 * m, 16 + n).reshape(4, m).T.copy().view(np.uint32).ravel().astype(np.int32)
+    units = data[16 + n + 4 * m :].decode().split("\n")
+    if len(units) > n:  # the newline itself is a unit: two empty ones stand for it
+        k = units.index("")
+        units[k : k + 2] = ["\n"]
+    return zip(units, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True)
+
+
 # ------------------------------------------------------------ the lattice
 
 
+def _part(x: Column, low: int, bits: int) -> Column:
+    return F.shiftright(x, low).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def _bit(k: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), k)
+
+
+# fields of an edge, packed as one number: rank, first character, end, id
+def rank_of(x: Column) -> Column:
+    return _part(x, 30, 18)
+
+
+def start_of(x: Column) -> Column:
+    return _part(x, 24, 6)
+
+
+def end_of(x: Column) -> Column:
+    return _part(x, 18, 6)
+
+
+def id_of(x: Column) -> Column:
+    return _part(x, 0, 18)
+
+
 def lattice(units: DataFrame, v: Vocabulary) -> DataFrame:
     """(unit, edges): for each unit the substrings that are pieces, and its single characters.
 
-    An edge has its ends s and e, the ids it stands for, rank and score (null for a character
-    without a piece), the bits of its ends and of the boundaries inside it.  Edges are grouped
-    as one number each (6, 6, 18 and 18 bits), which keeps the grouping small.
+    An edge is one number (`rank_of`, `start_of`, `end_of`, `id_of`), which keeps the grouping
+    small; edges are in order of rank, then of their start.
     """
     if len(v.texts) >= NONE or len(v.rank) >= NONE:
         raise ValueError(f"a vocabulary of {NONE} pieces or more needs wider edges")
     spark = units.sparkSession
-    table = spark.createDataFrame([(p, v.rank[p] << 18 | i) for p, i in v.ids.items()], "piece string, code long")
-    n = F.length("unit")
-    subs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), n - 1),
-            lambda s: F.transform(F.sequence(F.lit(1), F.least(F.lit(v.longest), n - s)), lambda k: F.struct(s.alias("s"), (s + k).alias("e"), F.substring("unit", s + 1, k).alias("piece"))),
-        )
-    )
-    rows = units.select("unit", F.explode(subs).alias("x")).select("unit", "x.s", "x.e", "x.piece")
+    table = spark.createDataFrame([(p, v.rank[p] << 30 | i) for p, i in v.ids.items()], "piece string, code long")
+    # two plain generators rather than nested lambdas, which Spark would interpret
+    at = units.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
+    at = at.select("unit", "s", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + v.longest, F.length("unit")))).alias("e"))
+    rows = at.select("unit", "s", "e", F.expr("substring(unit, s + 1, e - s)").alias("piece"))
     hits = rows.join(F.broadcast(table), "piece", "left").where("code IS NOT NULL OR e = s + 1")
-    edge = F.shiftleft(F.col("s").cast("long"), 42).bitwiseOR(F.shiftleft(F.col("e").cast("long"), 36)).bitwiseOR(F.coalesce("code", F.lit(NONE << 18 | NONE)))
-    grouped = hits.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    edge = F.shiftleft(F.col("s").cast("long"), 24).bitwiseOR(F.shiftleft(F.col("e").cast("long"), 18)).bitwiseOR(F.coalesce("code", F.lit(NONE << 30 | NONE)))
+    return hits.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+
+def wide_edges(edges: Column) -> Column:
+    """Edges of two characters or more: rank, start, the bits of both ends and those inside."""
+    some = F.filter(edges, lambda x: end_of(x) > start_of(x) + 1)
+    return F.transform(
+        some,
+        lambda x: F.struct(
+            rank_of(x).alias("rank"),
+            start_of(x).alias("s"),
+            _bit(start_of(x)).bitwiseOR(_bit(end_of(x))).alias("ends"),
+            (_bit(end_of(x)) - 1).bitwiseAND(F.bitwise_not(_bit(start_of(x) + 1) - 1)).alias("inner"),
+        ),
+    )
 
-    one = F.lit(1).cast("long")
-    bit = lambda k: F.call_function("shiftleft", one, k)
-    part = lambda x, low, bits: F.shiftright(x, low).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
 
-    def unpacked(x: Column) -> Column:
-        s, e, rank, i = part(x, 42, 6), part(x, 36, 6), part(x, 18, 18), part(x, 0, 18)
-        code = F.hex(F.encode(F.substring("unit", s + 1, F.lit(1)), "utf-8"))
-        raw = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(F.lit(v.byte_ids), F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")))
-        score = F.lit(None).cast("double") if v.merges else F.get(F.lit(sorted(set(v.score.values()), reverse=True)), rank)
-        return F.struct(
-            s.alias("s"),
-            e.alias("e"),
-            F.when(i != NONE, F.array(i)).otherwise(raw).alias("ids"),
-            F.when(i != NONE, rank).alias("rank"),
-            F.when(i != NONE, score).alias("score"),
-            bit(s).bitwiseOR(bit(e)).alias("ends"),
-            (bit(e) - 1).bitwiseAND(F.bitwise_not(bit(s + 1) - 1)).alias("inner"),
-        )
+def joins(mask: Column, x: Column) -> Column:
+    """Whether an edge joins two adjacent parts: its ends are boundaries, and one is inside."""
+    return (mask.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1)
+
+
+def merge_in_order(wide: Column) -> Column:
+    """Boundaries (bits 0 to 61) after one pass over the edges in order of rank and start, each
+    of which loses the boundary inside it if it joins two parts.  That is the result of all
+    merges unless a merge lets an edge of a better rank join; bit 62 says that one did."""
 
-    return grouped.select("unit", F.transform("edges", unpacked).alias("edges"))
+    def step(mask: Column, x: Column) -> Column:
+        after = mask.bitwiseAND(F.bitwise_not(x["inner"]))
+        late = F.exists(wide, lambda y: (y["rank"] < x["rank"]) & joins(after, y))
+        return F.when(joins(mask, x), F.when(late, after.bitwiseOR(F.lit(1 << 62))).otherwise(after)).otherwise(mask)
 
+    return F.aggregate(wide, F.lit((1 << 62) - 1), step)
 
-def merge_fold(edges: Column, n: Column) -> Column:
-    """Boundaries (bits) after all merges: in each step the edge of the best rank, leftmost
-    among equals, that joins two adjacent parts loses the boundary inside it."""
-    wide = F.filter(edges, lambda x: x["inner"] != 0)
-    start = F.shiftleft(F.lit(1).cast("long"), 62) - 1
+
+def merge_fold(wide: Column, n: Column) -> Column:
+    """Boundaries after all merges: in each step the edge of the best rank, leftmost among
+    equals, that joins two adjacent parts loses the boundary inside it."""
 
     def step(mask: Column, _: Column) -> Column:
-        can = F.filter(wide, lambda x: (mask.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(mask.bitwiseAND(x["inner"])) == 1))
-        best = F.array_min(F.transform(can, lambda x: F.struct(x["rank"].alias("rank"), x["s"].alias("s"), x["inner"].alias("inner"))))
+        best = F.array_min(F.transform(F.filter(wide, lambda x: joins(mask, x)), lambda x: F.struct(x["rank"].alias("rank"), x["s"].alias("s"), x["inner"].alias("inner"))))
         return F.when(best.isNull(), mask).otherwise(mask.bitwiseAND(F.bitwise_not(best["inner"])))
 
-    return F.when(F.size(wide) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, step))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.lit((1 << 62) - 1), step)
 
 
-def viterbi_fold(edges: Column, n: Column) -> Column:
+def viterbi_fold(edges: Column, n: Column, v: Vocabulary) -> Column:
     """Boundaries (bits) of the path of the highest sum of scores: an array of the best (score,
     boundaries) for each position, extended position by position; leftmost edges win ties."""
     first = F.array(F.struct(F.lit(0.0).cast("double").alias("score"), F.lit(1).cast("long").alias("cuts")))
+    by_rank = {v.rank[p]: x for p, x in v.score.items()}
+    scores = F.lit([by_rank[r] for r in sorted(by_rank)])  # ranks count from 0 without gaps
 
     def step(best: Column, e: Column) -> Column:
         into = F.transform(
-            F.filter(edges, lambda x: x["e"] == e),
-            lambda x: F.struct((F.get(best, x["s"])["score"] + F.coalesce(x["score"], F.lit(-1e6))).alias("score"), (-x["s"]).alias("s"), F.get(best, x["s"])["cuts"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), e)).alias("cuts")),
+            F.filter(edges, lambda x: end_of(x) == e),
+            lambda x: F.struct((F.get(best, start_of(x))["score"] + F.coalesce(F.get(scores, rank_of(x)), F.lit(-1e6))).alias("score"), (-start_of(x)).alias("s"), F.get(best, start_of(x))["cuts"].bitwiseOR(_bit(e)).alias("cuts")),
         )
         top = F.array_max(into)
         return F.concat(best, F.array(F.struct(top["score"].alias("score"), top["cuts"].alias("cuts"))))
@@ -258,10 +380,22 @@ def viterbi_fold(edges: Column, n: Column) -> Column:
 def encoded_units(units: DataFrame, v: Vocabulary) -> DataFrame:
     """(unit, ids) for distinct units of at most MAX_UNIT characters."""
     d = lattice(units, v)
-    fold = merge_fold if v.merges else viterbi_fold
-    d = d.select("unit", "edges", fold(F.col("edges"), F.length("unit")).alias("cuts"))
-    kept = F.filter("edges", lambda x: (F.col("cuts").bitwiseAND(x["ends"]) == x["ends"]) & (F.col("cuts").bitwiseAND(x["inner"]) == 0))
-    return d.select("unit", F.flatten(F.transform(kept, lambda x: x["ids"])).alias("ids"))
+    if v.merges:
+        d = d.select("unit", "edges", wide_edges(F.col("edges")).alias("wide"))
+        d = d.select("unit", "edges", "wide", merge_in_order(F.col("wide")).alias("cuts"))
+        d = d.select("unit", "edges", F.when(F.col("cuts") < F.lit(1 << 62), F.col("cuts")).otherwise(merge_fold(F.col("wide"), F.length("unit"))).alias("cuts"))
+    else:
+        d = d.select("unit", "edges", viterbi_fold(F.col("edges"), F.length("unit"), v).alias("cuts"))
+    # an edge is on the path if the next boundary after its start is its end
+    on = lambda x: F.call_function("shiftright", F.col("cuts"), start_of(x)).bitwiseAND(_bit(end_of(x) - start_of(x) + 1) - 1) == _bit(end_of(x) - start_of(x)).bitwiseOR(F.lit(1).cast("long"))
+    path = F.sort_array(F.transform(F.filter("edges", on), lambda x: F.struct(start_of(x).alias("s"), id_of(x).alias("i"))))
+
+    def ids(x: Column) -> Column:
+        code = F.hex(F.encode(F.substring("unit", x["s"] + 1, F.lit(1)), "utf-8"))
+        raw = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)), lambda k: F.get(F.lit(v.byte_ids), F.conv(F.substring(code, k, F.lit(2)), 16, 10).cast("int")))
+        return F.when(x["i"] != NONE, F.array(x["i"])).otherwise(raw)
+
+    return d.select("unit", F.flatten(F.transform(path, ids)).alias("ids"))
 
 
 # ------------------------------------------------------------ documents
@@ -272,27 +406,29 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     v = vocabulary or load()
     docs = id_and_text(docs)
     parts = partitions_of(docs)
-    named = docs.mapInArrow(name_units, "block long, unit string").repartition(4 * parts, "unit")
+    named = docs.mapInArrow(name_units(v), "block long, unit string").repartition(4 * parts, "unit")
     # with the block, so that both uses read the same columns and share one shuffle
     words = named.groupBy("unit").agg(F.min("block").alias("block")).where("block IS NOT NULL").select("unit")
-    answers = named.join(encoded_units(words, v), "unit").select("block", "unit", "ids")
+    answers = named.join(encoded_units(words, v), "unit").select("block", "unit", "ids").mapInArrow(pack_answers, "block long, answers binary")
     packed = docs.mapInArrow(pack, "block long, packed binary")
 
     def put(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = dict(zip(right["unit"], range(len(right)), strict=True))
-        flat = [np.asarray(x, np.int32) for x in right["ids"]]
+        known = {u: ids for blob in right["answers"] for u, ids in unpack_answers(blob)}
         out: list[tuple] = []
         for blob in left["packed"]:
             t = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
-            for doc, text in zip(t["doc_id"].to_pylist(), t["text"].to_pylist(), strict=True):
-                at = []
-                for u in units_of(text):
-                    k = known.get(u)
-                    if k is None:
-                        k = known[u] = len(flat)
-                        flat.append(np.array(encode_unit(u, v), np.int32))
-                    at.append(k)
-                ids = np.concatenate([flat[k] for k in at]) if at else np.zeros(0, np.int32)
+            texts = t["text"].to_pylist()
+            index: dict[str, int] = {}
+            inside = [np.array([index.setdefault(w, len(index)) for w in words_of(x)], np.int32) for x in texts]
+            flat: list[np.ndarray] = []
+            for some in sliced(list(index)):
+                units, first = units_of(some, v)
+                parts = [known[u] if u in known else np.array(encode_unit(u, v), np.int32) for u in units]
+                edges = first.tolist()
+                flat += [parts[a] if b == a + 1 else np.concatenate(parts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+            del index
+            for doc, text, at in zip(t["doc_id"].to_pylist(), texts, inside, strict=True):
+                ids = np.concatenate([flat[k] for k in at.tolist()]) if len(at) else np.zeros(0, np.int32)
                 out.append((doc, len(ids), ids, decode(ids, v) == text.replace(BLANK, " ").encode()))
         return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids", "round_trip"])
 
