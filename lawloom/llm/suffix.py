@@ -339,11 +339,20 @@ def frequent_parts(docs: DataFrame, length: int, anchor: int, frequent: np.ndarr
     return top_keys(sampled(docs).mapInArrow(emit, "key long"))
 
 
+def stretches(d: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(doc, first, number) of the runs of adjacent windows among windows (d, a)."""
+    by = np.lexsort((a, d))
+    d, a = d[by], a[by]
+    new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (a[1:] > a[:-1] + 1))) if len(d) else np.zeros(0, np.int64)
+    last = np.append(new[1:], len(d))[: len(new)] - 1
+    return d[new], a[new], a[last] - a[new] + 1
+
+
 def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) -> DataFrame:
     """(kind, doc_id, key, at, n, bytes) of the open runs listed with each document.  A frequent
     key's run gives its parts by subkey; a part whose subkey is in `parts` gives a row for each
     window, keyed by the window's hash and without bytes.  Windows that a batch itself shows to
-    be repeated are marked at once."""
+    be repeated are marked at once, adjacent ones in one row."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,7 +382,10 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
             if wins:
                 doc, key, at = (np.concatenate(x) for x in zip(*wins, strict=True))
                 late = doc > first_of(key, key, doc)
-                yield packed(np.where(late, REPEATED, FRESH), doc, np.where(late, 0, key), at, np.ones(len(doc)), [None] * len(doc))
+                d, a, n = stretches(doc[late], at[late])
+                yield packed(np.full(len(d), REPEATED), d, np.zeros(len(d)), a, n, [None] * len(d))
+                doc, key, at = doc[~late], key[~late], at[~late]
+                yield packed(np.full(len(doc), FRESH), doc, key, at, np.ones(len(doc)), [None] * len(doc))
 
     def packed(*columns) -> pa.RecordBatch:
         kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
@@ -397,11 +409,7 @@ def sorted_shard(doc: np.ndarray, at: np.ndarray, pieces: list[bytes], length: i
     first = np.repeat(np.minimum.reduceat(own, edge), np.diff(np.append(edge, len(cls))))
     late = own > first
     d, a = own[late], at[piece[late]] + off[late]
-    by = np.lexsort((a, d))
-    d, a = d[by], a[by]
-    new = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (a[1:] > a[:-1] + 1))) if len(d) else np.zeros(0, np.int64)
-    last = np.append(new[1:], len(d))[: len(new)] - 1
-    return d[new], a[new], a[last] - a[new] + 1
+    return stretches(d, a)
 
 
 def sort_shards(length: int, shard_bytes: int) -> Callable:
