@@ -7,9 +7,8 @@ least a together with its t is a sample.  Two texts agree in a sample with a pro
 equal to their generalised Jaccard likeness.  The gammas come from tables of quantiles, so
 a draw costs one hash and two look-ups.
 
-Each of the DRAWS draws splits the words into STRATA by further bits of its hash and keeps
-a sample of each stratum: DRAWS * STRATA samples for the work of DRAWS.  Samples of strata
-that are empty in both texts say nothing and are left out of the rate.
+A fingerprint has DRAWS samples, each an independent draw over all words of the text, so
+the rate of equal samples estimates that likeness whatever the weights are.
 
 One shuffle deals the documents to buckets of adjacent ids, where the window for the next
 document, the word counts and the samples are all computed without another exchange; the
@@ -31,7 +30,8 @@ from pyspark.sql import functions as F
 
 from .common import id_and_text, partitions_of
 
-DRAWS, STRATA = 4, 16
+DRAWS = 64
+AT_ONCE = 4  # draws computed in one row; the generated code of more is too long to be compiled
 BUCKET_DOCS = 256  # documents of a bucket, on average
 MAX_BROADCAST = 100_000  # rows of the list of bucket heads that is broadcast; more are joined
 CELLS = 1024  # cells of the quantile tables
@@ -55,38 +55,40 @@ def _bits(h: Column, low: int, n: int) -> Column:
     return F.shiftrightunsigned(h, low).bitwiseAND(F.lit((1 << n) - 1))
 
 
-def samples(counts: DataFrame, keys: list[str], draws: int = DRAWS, strata: int = STRATA) -> DataFrame:
-    """keys and `samples`, an array of draws * strata numbers (0: empty stratum), from rows
-    of keys, term (a 64-bit hash) and weight."""
+def samples(counts: DataFrame, keys: list[str], draws: int = DRAWS) -> DataFrame:
+    """keys and `samples`, an array of `draws` numbers (none is 0), from rows of keys, term
+    (a 64-bit hash) and weight."""
     mid = (np.arange(CELLS) + 0.5) / CELLS
     r_table = _array(gamma2_quantiles(mid))
     # the lowest cell of c, where the least a comes from, is divided once more
     c_table = _array(np.log(np.concatenate([gamma2_quantiles(mid), gamma2_quantiles(mid / CELLS)])))
-    d = counts.select(*keys, "term", F.ln(F.col("weight").cast("double")).alias("lw"), *[F.xxhash64("term", F.lit(j)).alias(f"h{j}") for j in range(draws)])
+    firsts = range(0, draws, AT_ONCE)
+    d = counts.select(*keys, "term", F.ln(F.col("weight").cast("double")).alias("lw"), F.explode(F.array(*[F.lit(g) for g in firsts])).alias("first"))
+    d = d.select("*", *[F.xxhash64("term", F.col("first") + F.lit(j)).alias(f"h{j}") for j in range(AT_ONCE)])
     drawn = []
-    for j in range(draws):
+    for j in range(AT_ONCE):
         h = F.col(f"h{j}")
         r = F.get(r_table, F.shiftrightunsigned(h, 54).cast("int"))
         beta = (_bits(h, 30, 24).cast("double") + F.lit(0.5)) * F.lit(2.0**-24)
         cell = _bits(h, 20, 10)
         ln_c = F.get(c_table, F.when(cell > 0, cell).otherwise(_bits(h, 10, 10).bitwiseOR(F.lit(CELLS))).cast("int"))
         drawn.append(F.struct(r.alias("r"), beta.alias("beta"), ln_c.alias("c")))
-    d = d.select(*keys, "term", "lw", *[_bits(F.col(f"h{j}"), 0, 9).alias(f"s{j}") for j in range(draws)], *[v[f].alias(f"{f}{j}") for j, v in enumerate(drawn) for f in ("r", "beta", "c")])
-    d = d.select("*", *[F.floor(F.col("lw") / F.col(f"r{j}") + F.col(f"beta{j}")).alias(f"t{j}") for j in range(draws)])
+    d = d.select(*keys, "first", "term", "lw", *[v[f].alias(f"{f}{j}") for j, v in enumerate(drawn) for f in ("r", "beta", "c")])
+    d = d.select("*", *[F.floor(F.col("lw") / F.col(f"r{j}") + F.col(f"beta{j}")).alias(f"t{j}") for j in range(AT_ONCE)])
     packed = []
-    for j in range(draws):  # ln a in the high bits, so that a least long is a least a; word and t below
+    for j in range(AT_ONCE):  # ln a in the high bits, so that a least long is a least a; word and t below
         ln_a = F.col(f"c{j}") - F.col(f"r{j}") * (F.col(f"t{j}").cast("double") - F.col(f"beta{j}") + F.lit(1.0))
         sign = F.shiftrightunsigned("term", 40).bitwiseXOR(_bits(F.col(f"t{j}"), 0, 24))
         packed.append(F.shiftleft(F.floor((ln_a + F.lit(512.0)) * F.lit(float(2**29))), 24).bitwiseOR(sign).alias(f"p{j}"))
-    d = d.select(*keys, *packed, *[(F.col(f"s{j}") % strata).alias(f"s{j}") for j in range(draws)])
-    least = [F.min(F.when(F.col(f"s{j}") == s, F.col(f"p{j}"))).alias(f"m{j}_{s}") for j in range(draws) for s in range(strata)]
-    m = d.groupBy(*keys).agg(*least)
-    # 1 is added so that 0 stands for an empty stratum
-    return m.select(*keys, F.array(*[F.coalesce(_bits(F.col(f"m{j}_{s}"), 0, 24) + 1, F.lit(0)) for j in range(draws) for s in range(strata)]).alias("samples"))
+    m = d.select(*keys, "first", *packed).groupBy(*keys, "first").agg(*[F.min(f"p{j}").alias(f"m{j}") for j in range(AT_ONCE)])
+    places = [(g, j) for g in firsts for j in range(AT_ONCE) if g + j < draws]
+    m = m.groupBy(*keys).agg(*[F.max(F.when(F.col("first") == g, F.col(f"m{j}"))).alias(f"d{g + j}") for g, j in places])
+    # 1 is added so that 0 stands for a text without words
+    return m.select(*keys, F.array(*[_bits(F.col(f"d{k}"), 0, 24) + 1 for k in range(draws)]).alias("samples"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal samples among those of strata with words in either text."""
+    """Share of equal samples; texts without words are alike."""
     used = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != 0) | (y != 0)), lambda z: z))
     same = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x == y) & (x != 0)), lambda z: z))
     return F.when(used == 0, 1.0).otherwise(same.cast("double") / used)
@@ -117,7 +119,7 @@ def bucketed(docs: DataFrame, bucket_docs: int) -> DataFrame:
     return rows.repartition(2 * partitions_of(docs), "bucket")
 
 
-def fingerprints(docs: DataFrame, draws: int = DRAWS, strata: int = STRATA, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
+def fingerprints(docs: DataFrame, draws: int = DRAWS, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     docs = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
     order = Window.partitionBy("bucket").orderBy(F.desc("own"), F.desc("doc_id"), "text")
@@ -130,8 +132,8 @@ def fingerprints(docs: DataFrame, draws: int = DRAWS, strata: int = STRATA, buck
     words = texts.select("bucket", "rn", "x.side", F.explode(F.split("x.t", r"[\x20\x09-\x0D]+")).alias("w")).where("w <> ''")
     keys = ["bucket", "rn", "side"]
     counts = words.select(*keys, F.xxhash64("w").alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("weight"))
-    s = samples(counts, keys, draws, strata)
-    none = F.array_repeat(F.lit(0).cast("long"), draws * strata)
+    s = samples(counts, keys, draws)
+    none = F.array_repeat(F.lit(0).cast("long"), draws)
     both = s.groupBy("bucket", "rn").agg(F.max(F.when(F.col("side") == 0, F.col("samples"))).alias("a"), F.max(F.when(F.col("side") == 1, F.col("samples"))).alias("b"))
     all_ = facts.join(both, ["bucket", "rn"], "left").select("bucket", "own", "doc_id", "rn", "n_chars", "edited_sha256", F.coalesce("a", none).alias("a"), F.coalesce("b", none).alias("b"))
     out = all_.select("*", F.lead("a").over(Window.partitionBy("bucket").orderBy("rn")).alias("after")).where("own")

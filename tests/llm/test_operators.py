@@ -216,6 +216,21 @@ def test_op2_likeness(spark, sf_dir, texts):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.08
 
 
+def test_op2_heavy_words(spark):
+    """One word with most of the weight counts by its weight; each text's next one shares
+    the heavy word only, another one for each pair so that errors are independent."""
+    rows = []
+    for i in range(90):
+        for side in (1, 0):
+            n, others = [(1000, 160), (200, 100), (30, 0)][i % 3]
+            rows.append((2 * i + side, f"heavy{i} " * n + " ".join(f"w{i}_{side}_{j}" for j in range(others))))
+    got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, want in enumerate((1000 / 1320, 200 / 400, 1.0)):
+        near = [got[2 * i + 1].near_next for i in range(k, 90, 3)]
+        assert abs(np.mean(near) - want) < 0.04, (want, np.mean(near))
+    assert {len(r.fingerprint) for r in got.values()} == {7 * fingerprint.DRAWS}
+
+
 def test_op2_ids_far_apart(spark):
     ids = [-(2**62), -5, 0, 3, 10**9, 2**62]
     rows = [(i, f"text of {i} é") for i in ids]
