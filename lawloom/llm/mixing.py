@@ -14,6 +14,7 @@ together if their cells agree; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 from operator import or_
 
@@ -25,6 +26,7 @@ from .common import checkpointed
 
 DIMS = ("source", "lang", "topic")
 MAX_CELLS = 200_000  # cells raked on the driver, and broadcast; more are raked by Spark
+ROUNDS, TOLERANCE = 200, 1e-9  # raking stops when no sum is further off than this, or warns at the limit
 NULL = "\u0000null"
 
 
@@ -54,11 +56,10 @@ def topic_of(text: Column) -> Column:
     return out
 
 
-def rake(codes: np.ndarray, mass: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tol: float = 1e-9) -> np.ndarray:
+def rake(codes: np.ndarray, mass: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS, tol: float = TOLERANCE) -> np.ndarray:
     """Weights of cells (codes: dims x cells) whose sums over each dimension meet `targets`.
 
-    Marginals that no weights can meet at
-    once end at the limit of the scaling after `rounds`.
+    Marginals that no weights can meet at once, or not within `rounds`, end there with a warning.
     """
     w = mass / max(mass.sum(), 1e-300)
     for _ in range(rounds):
@@ -70,9 +71,15 @@ def rake(codes: np.ndarray, mass: np.ndarray, targets: list[np.ndarray], rounds:
             w = w * scale[code]
         if worst < tol:
             break
+    else:
+        _not_met(rounds, worst)
     return w
 
 
+def _not_met(rounds: int, worst: float) -> None:
+    warnings.warn(f"raking stopped after {rounds} rounds with a marginal scaled by {worst:.2g} in the last one", RuntimeWarning, stacklevel=3)
+
+
 def goals_of(cells: DataFrame, dim: str, alpha: float, given: dict[str, float] | None) -> DataFrame:
     """(dim, goal): the given shares, 0 for values without one, or the tempered own shares."""
     sums = cells.groupBy(dim).agg(F.sum("tokens").cast("double").alias("have"))
@@ -84,17 +91,27 @@ def goals_of(cells: DataFrame, dim: str, alpha: float, given: dict[str, float] |
     return up.select(dim, (F.col("up") / F.lit(total)).alias("goal"))
 
 
-def rake_cells(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = 30) -> DataFrame:
-    """The same in Spark, for more cells than MAX_CELLS: each step is an aggregation by one
-    dimension and a join back (skewed values split by AQE), checkpointed each round."""
-    cells = cells.withColumn("w", F.col("tokens").cast("double"))
+def rake_cells(cells: DataFrame, goals: dict[str, DataFrame], rounds: int = ROUNDS, tol: float = TOLERANCE) -> DataFrame:
+    """The same in Spark, for more cells than MAX_CELLS, and stopped by the same rule: each step
+    is an aggregation by one dimension and a join back (skewed values split by AQE); the scales
+    of each step are checkpointed, and the cells each round."""
+    cells = cells.withColumn("w", F.col("tokens").cast("double")).withColumn("off", F.lit(0.0))
+    for d in DIMS:
+        cells = cells.join(goals[d].withColumnRenamed("goal", f"goal_{d}"), d, "left")
+    cells = checkpointed(cells)
     for _ in range(rounds):
+        cells = cells.withColumn("off", F.lit(0.0))
         for d in DIMS:
-            have = cells.groupBy(d).agg(F.sum("w").alias("have")).join(goals[d], d, "left")
-            scale = have.select(d, F.when((F.col("have") > 0) & F.col("goal").isNotNull(), F.col("goal") / F.col("have")).otherwise(1.0).alias("scale"))
-            cells = cells.join(scale, d).withColumn("w", F.col("w") * F.col("scale")).drop("scale")
+            have = cells.groupBy(d).agg(F.sum("w").alias("have"), F.max(f"goal_{d}").alias("goal"))
+            scale = checkpointed(have.select(d, F.when((F.col("have") > 0) & F.col("goal").isNotNull(), F.col("goal") / F.col("have")).otherwise(1.0).alias("scale")))
+            cells = cells.join(scale, d).withColumn("w", F.col("w") * F.col("scale")).withColumn("off", F.greatest("off", F.abs(F.col("scale") - 1))).drop("scale")
         cells = checkpointed(cells)
-    return cells
+        worst = cells.agg(F.max("off")).first()[0] or 0.0
+        if worst < tol:
+            break
+    else:
+        _not_met(rounds, worst)
+    return cells.drop("off", *[f"goal_{d}" for d in DIMS])
 
 
 def calibrate(w: np.ndarray, tokens: np.ndarray, budget: float) -> np.ndarray:
@@ -121,6 +138,7 @@ def mix_to_targets(
     keep: float = 0.5,
     seed: int = 42,
     max_cells: int = MAX_CELLS,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """docs' columns plus topic, n_tokens, weight (of a token), probability and sampled.
 
@@ -145,14 +163,14 @@ def mix_to_targets(
         for d in DIMS:
             have = {r[0]: r[1] for r in goals[d].collect()}
             shares.append(np.array([have[v] for v in index[d]]))
-        w = rake(codes, tokens, shares)
+        w = rake(codes, tokens, shares, rounds)
         p = calibrate(w, tokens, keep * tokens.sum())
         out = [(*[r[d] for d in DIMS], float(a / t) if t else 0.0, float(b)) for r, a, t, b in zip(rows, w, tokens, p, strict=True)]
         plan = F.broadcast(spark.createDataFrame(out, ", ".join(f"{d} string" for d in DIMS) + ", weight double, probability double"))
     else:
-        raked = rake_cells(cells, goals)
+        raked = rake_cells(cells, goals, rounds)
         scale = _scale(raked, keep)
-        plan = raked.select(*DIMS, F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0).alias("weight"), F.when(F.col("tokens") > 0, F.least(F.lit(1.0), scale * F.col("w") / F.col("tokens"))).otherwise(1.0).alias("probability"))
+        plan = raked.select(*DIMS, F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0).alias("weight"), F.when((F.col("tokens") > 0) & (F.col("w") > 0), F.least(F.lit(1.0), scale * F.col("w") / F.col("tokens"))).when(F.col("tokens") > 0, 0.0).otherwise(1.0).alias("probability"))
     plan = plan.select(*[F.col(d).alias(tag[d]) for d in DIMS], F.col("weight").alias("_mix_weight"), F.col("probability").alias("_mix_p"))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") * F.lit(2.0**-53)
     joined = full.join(plan, [tag[d] for d in DIMS], "left")
@@ -160,12 +178,16 @@ def mix_to_targets(
     return joined.select(*[F.col(c) for c in own if c not in extra], *[v.alias(k) for k, v in extra.items()])
 
 
-def _scale(raked: DataFrame, keep: float, steps: int = 40) -> float:
-    """c of `calibrate` by bisection over aggregates, when the cells stay in Spark."""
-    t, top = raked.agg(F.sum("tokens"), F.max(F.when(F.col("w") > 0, F.col("tokens") / F.col("w")))).first()
-    low, high = 0.0, float(top or 1.0)
-    for _ in range(steps):
-        mid = (low + high) / 2
-        have = raked.agg(F.sum(F.least(F.col("tokens").cast("double"), F.lit(mid) * F.col("w")))).first()[0]
-        low, high = (mid, high) if have < keep * float(t) else (low, mid)
-    return high
+def _scale(raked: DataFrame, keep: float) -> float:
+    """c of `calibrate` when the cells stay in Spark: cells that are full at c are fixed and c is
+    found anew from the rest.  It only grows, so this ends after a few aggregates."""
+    budget, c = keep * float(raked.agg(F.sum("tokens")).first()[0] or 0), 0.0
+    while True:
+        full = F.col("w") * F.lit(c) >= F.col("tokens")
+        used, rest = raked.agg(F.sum(F.when(full, F.col("tokens").cast("double"))), F.sum(F.when(~full, F.col("w")))).first()
+        if not rest:
+            return float("inf") if (used or 0.0) < budget * (1 - 1e-12) else c
+        more = (budget - (used or 0.0)) / rest
+        if more <= c * (1 + 1e-12):
+            return c
+        c = more

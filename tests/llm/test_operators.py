@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from inspect import signature
 
 import brute
 import numpy as np
@@ -270,6 +271,36 @@ def test_op1_in_spark_as_on_the_driver(docs):
     assert all(abs(x[k] - y[k]) < 0.02 for k in x)
 
 
+def test_op1_one_stopping_rule(spark):
+    """Sparse cells on both sides of max_cells: the same limit, and the same sums missed at it."""
+    rows = []
+    for i in range(5):
+        rows.append((i, f"s{i}", f"l{i % 2}", f"t{i % 2}", "w " * (3 + 7 * i % 5)))
+        if i % 4 == 0:
+            rows.append((10 + i, f"s{i}", f"l{(i + 1) % 2}", f"t{(i + 1) % 2}", "w"))
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, text string").coalesce(1)
+    got = []
+    for n in (len(rows), len(rows) - 1):
+        with pytest.warns(RuntimeWarning, match="after 4 rounds"):
+            got.append({r.doc_id: (r.weight, r.probability) for r in mixing.mix_to_targets(df, max_cells=n, rounds=4).collect()})
+    assert all(np.allclose(got[0][k], got[1][k], rtol=1e-9, atol=0) for k in got[0])
+    default = [{k: v.default for k, v in signature(f).parameters.items()} for f in (mixing.rake, mixing.rake_cells)]
+    assert all(default[0][k] == default[1][k] for k in ("rounds", "tol"))
+
+
+def test_op1_warns_of_sums_not_met(spark):
+    cells = [("a", "x", "t", 5), ("a", "y", "t", 1), ("b", "y", "t", 3)]
+    goals = {"source": [("a", 0.3), ("b", 0.7)], "lang": [("x", 0.5), ("y", 0.5)], "topic": [("t", 1.0)]}
+    codes = np.array([[0, 0, 1], [0, 1, 1], [0, 0, 0]])
+    with pytest.warns(RuntimeWarning, match="after 3 rounds"):
+        w = mixing.rake(codes, np.array([5.0, 1.0, 3.0]), [np.array([g for _, g in goals[d]]) for d in mixing.DIMS], rounds=3)
+    frames = {d: spark.createDataFrame(g, f"{d} string, goal double") for d, g in goals.items()}
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long").coalesce(1)
+    with pytest.warns(RuntimeWarning, match="after 3 rounds"):
+        got = {(r.source, r.lang): r.w for r in mixing.rake_cells(df, frames, rounds=3).collect()}
+    assert np.allclose([got[c[:2]] for c in cells], w)
+
+
 def test_op9_base(spark, sf_dir, texts):
     got = {r[0]: tuple(r)[1:6] for r in queries.op9_personal_data(spark, sf_dir).collect()}
     assert got == brute.op9(texts)
