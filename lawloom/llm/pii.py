@@ -40,7 +40,7 @@ PATTERNS = {
 }
 KINDS = (*PATTERNS, "secret")
 # A word of letters, digits and _ / + - of eight or more with a digit and a letter.
-CANDIDATE = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]{0,80}+[0-9])(?=[0-9_/+-]{0,80}+[A-Za-z])[A-Za-z0-9_/+-]{8,}+"
+CANDIDATE = r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*+[0-9])(?=[0-9_/+-]*+[A-Za-z])[A-Za-z0-9_/+-]{8,}+"
 # Words that announce a secret.
 GAZETTEER = "password passwd passphrase pwd secret token apikey api_key access_key private_key credential credentials auth bearer".split()
 KEY_FORMS = r"^(AKIA[0-9A-Z]{12,}|gh[pousr]_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{20,}|[0-9a-f]{16,}|[0-9A-F]{16,})$"
