@@ -42,7 +42,8 @@ def link_nearly(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFr
     """The sponsors without an exact match and their nearest legislator within `most` edits.
 
     Names within k edits share one of their k + 1 equal pieces up to a shift of k, so the
-    candidates are equi-joined on pieces rather than paired with the whole roster.
+    candidates are equi-joined on pieces rather than paired with the whole roster.  Roster names
+    of k letters or fewer have no such piece; they are tried with all sponsors of a fitting length.
     """
     left = link_exactly(sponsors, roster).where("n_matches = 0").select("sponsor", _plain("sponsor").alias("a"))
     right = roster.select("legislator_id", _plain("last_name").alias("b"))
@@ -52,8 +53,10 @@ def link_nearly(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFr
     r = right.select("legislator_id", "b", F.explode(pieces).alias("x")).select("legislator_id", "b", F.col("x.p").alias("p")).where("p <> ''")
     n = F.length("a")
     grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda s: F.transform(F.sequence(F.lit(1), n - s + 1), lambda m: F.substr("a", s, m)))))
-    pairs = left.where("a <> ''").select("sponsor", "a", F.explode(grams).alias("p")).join(r, "p").select("sponsor", "a", "legislator_id", "b").distinct()
-    near = pairs.withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
+    pairs = left.where("a <> ''").select("sponsor", "a", F.explode(grams).alias("p")).join(r, "p").select("sponsor", "a", "legislator_id", "b")
+    few = right.where(F.length("b").between(1, most)).select("legislator_id", "b", F.explode(F.sequence(F.lit(1), F.length("b") + most)).alias("n"))
+    short = left.where("a <> ''").withColumn("n", F.length("a")).join(few, "n").select("sponsor", "a", "legislator_id", "b")
+    near = pairs.union(short).distinct().withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
     best = near.groupBy("sponsor").agg(F.min(F.struct("distance", "legislator_id")).alias("m"))
     return best.select("sponsor", F.col("m.legislator_id").alias("legislator_id"), F.col("m.distance").alias("distance"))
 

@@ -80,3 +80,9 @@ def test_changes(spark):
     assert {(r["field"], r["status"]) for r in rows.collect()} == {("bill_id", "✅"), ("sponsors", "—")}
     verdict = spark.createDataFrame([(1, True, "+1 metadata fields")], "id int, accepted boolean, reasoning string")
     assert "**ACCEPTED**: +1 metadata fields" in comparison_markdown(rows, verdict, "id", 1)
+
+
+def test_link_nearly_short_roster_names(spark):
+    r = spark.createDataFrame([(1, "Li"), (2, "B"), (3, "Johnson")], "legislator_id int, last_name string")
+    s = spark.createDataFrame([("OX",), ("XYZ",), ("LIAM",), ("WXYZQ",)], "sponsor string")
+    assert {tuple(x) for x in rosters.link_nearly(s, r).collect()} == {("OX", 1, 2), ("LIAM", 1, 2)}
