@@ -220,9 +220,20 @@ def first_of(key: np.ndarray, run: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def once_a_document(*by: np.ndarray) -> np.ndarray:
+    """Index of the first row of each different combination of `by` (the documents among them).
+    What recurs within a document is found there, so only its first place is held against
+    other documents."""
+    order = np.lexsort(by)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([x[order][1:] != x[order][:-1] for x in by], axis=0)
+    return np.sort(order[new])
+
+
 def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) -> DataFrame:
-    """A row for each run.  Runs that a batch itself shows to be repeated are marked at once
-    and dealt by document; the others are dealt by key, or by key and run if it is frequent."""
+    """A row for each different run of a document.  Runs that a batch itself shows to be
+    repeated are marked at once and dealt by document; the others are dealt by key, or by key
+    and run if it is frequent."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,6 +246,8 @@ def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) ->
             if not got:
                 continue
             ids, at, n, key, run = (np.concatenate(x) for x in zip(*got, strict=True))
+            some = once_a_document(run, key, ids)
+            ids, at, n, key, run = (x[some] for x in (ids, at, n, key, run))
             late = ids > first_of(key, run, ids)
             kind = np.where(late, REPEATED, np.where(np.isin(key, frequent), OFTEN, FRESH))
             key, run = np.where(late, U(0), key), np.where(late, U(0), run)
@@ -246,33 +259,50 @@ def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) ->
     return docs.mapInArrow(emit, ROW)
 
 
-def judge() -> Callable:
-    """A partition's runs become repeated, open, or nothing; other rows pass through."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        kind, doc, key, run, at, n = (t.column(x).to_numpy() for x in NAMES)
-        often = kind == OFTEN
-        fresh = np.flatnonzero((kind == FRESH) | often)
-        if len(fresh):
-            k, r, d = key[fresh], run[fresh], doc[fresh]
-            first = first_of(k, r, d)
-            by = np.argsort(k, kind="stable")
-            ks, rs = k[by], r[by]
-            edge = np.flatnonzero(np.append(True, ks[1:] != ks[:-1]))
-            least, most = np.minimum.reduceat(rs, edge), np.maximum.reduceat(rs, edge)
-            mixed = np.empty(len(k), bool)
-            mixed[by] = np.repeat(least != most, np.diff(np.append(edge, len(ks))))
-            mixed |= often[fresh]
-            kind = kind.copy()
-            kind[fresh] = np.where(d > first, REPEATED, np.where(mixed, OPEN, FRESH))
-        keep = kind != FRESH
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (kind, doc, key, at, n, often)], ["kind", "doc_id", "key", "at", "n", "often"])
-
-    return emit
+def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs in order of key, run and document become repeated, open, or nothing; other rows
+    pass through.  Between batches only the last key is remembered: its last run with the
+    least document, whether it has several runs, and, while it has one, the first copies."""
+    last: tuple[int, int, int, bool] | None = None
+    waiting: list[tuple] = []  # first copies of the last key's only run
+
+    def rows(kind: int, doc, key, at, n, often) -> pa.RecordBatch:
+        kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+        values = (np.full(len(doc), kind), doc, key, at, n, often)
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(x).astype(t.to_pandas_dtype()), t) for x, t in zip(values, kinds, strict=True)], ["kind", "doc_id", "key", "at", "n", "often"])
+
+    for batch in batches:
+        kind, doc, key, run, at, n = (batch.column(batch.schema.get_field_index(x)).to_numpy(zero_copy_only=False) for x in NAMES)
+        for k in (REPEATED, WITHIN):
+            some = kind == k
+            if some.any():
+                yield rows(k, doc[some], key[some], at[some], n[some], np.zeros(int(some.sum()), bool))
+        some = (kind == FRESH) | (kind == OFTEN)
+        if not some.any():
+            continue
+        often, doc, key, run, at, n = (x[some] for x in (kind == OFTEN, doc, key, run, at, n))
+        # the remembered run leads, so that its copies here find its first document
+        lead = last or (key[0], run[0], doc[0], False)
+        k, r, d = (np.append(np.array([x], np.int64), y) for x, y in zip(lead[:3], (key, run, doc), strict=True))
+        new_key = np.append(True, k[1:] != k[:-1])
+        new_run = new_key | np.append(True, r[1:] != r[:-1])
+        first = d[new_run][np.cumsum(new_run) - 1]
+        group = np.cumsum(new_key) - 1
+        mixed = np.bincount(group, new_run) > 1
+        mixed[0] |= lead[3]
+        late = d > first
+        open_ = ~late & (mixed[group] | np.append(False, often))
+        if waiting and mixed[0]:
+            yield rows(OPEN, *(np.array(x) for x in zip(*waiting, strict=True)))
+        if mixed[0] or group[-1] > 0:
+            waiting = []
+        yield rows(REPEATED, doc[late[1:]], key[late[1:]], at[late[1:]], n[late[1:]], often[late[1:]])
+        some = open_[1:]
+        yield rows(OPEN, doc[some], key[some], at[some], n[some], often[some])
+        if not mixed[-1]:
+            some = (~late & ~open_ & (group == group[-1]))[1:]
+            waiting += zip(*(x[some].tolist() for x in (doc, key, at, n, often)), strict=True)
+        last = (k[-1], r[-1], first[-1], bool(mixed[-1]))
 
 
 def frequent_keys(docs: DataFrame, length: int, anchor: int) -> np.ndarray:
@@ -351,7 +381,7 @@ def stretches(d: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
 def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) -> DataFrame:
     """(kind, doc_id, key, at, n, bytes) of the open runs listed with each document.  A frequent
     key's run gives its parts by subkey; a part whose subkey is in `parts` gives a row for each
-    window, keyed by the window's hash and without bytes.  Windows that a batch itself shows to
+    different window, keyed by its hash and without bytes.  Windows that a batch itself shows to
     be repeated are marked at once, adjacent ones in one row."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,6 +411,8 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
                 yield packed(np.full(len(runs), FRESH), doc, key, at, n, part)
             if wins:
                 doc, key, at = (np.concatenate(x) for x in zip(*wins, strict=True))
+                some = once_a_document(key, doc)
+                doc, key, at = doc[some], key[some], at[some]
                 late = doc > first_of(key, key, doc)
                 d, a, n = stretches(doc[late], at[late])
                 yield packed(np.full(len(d), REPEATED), d, np.zeros(len(d)), a, n, [None] * len(d))
@@ -413,32 +445,47 @@ def sorted_shard(doc: np.ndarray, at: np.ndarray, pieces: list[bytes], length: i
 
 
 def sort_shards(length: int, shard_bytes: int) -> Callable:
-    """A partition's pieces, all those of a key together, in shards of about shard_bytes."""
+    """Rows in order of their keys; those of adjacent keys in shards of about shard_bytes,
+    those of one key always together."""
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if not held:
-            return
-        t = pa.Table.from_batches(held)
-        kind, doc, key, at, n = (t.column(x).to_numpy() for x in ("kind", "doc_id", "key", "at", "n"))
+    def answer(d: np.ndarray, a: np.ndarray, k: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.asarray(a).astype(np.int32)), pa.array(np.asarray(k).astype(np.int32))], ["doc_id", "at", "n"])
+
+    def decided(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        doc, key, at, n = (t.column(x).to_numpy() for x in ("doc_id", "key", "at", "n"))
         parts = t.column("bytes").combine_chunks()
-        del held, t
-        answer = lambda d, a, k: pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(np.asarray(a).astype(np.int32)), pa.array(np.asarray(k).astype(np.int32))], ["doc_id", "at", "n"])
-        done = kind == REPEATED
-        wins = np.flatnonzero(~done & parts.is_null().to_numpy(zero_copy_only=False))
-        done[wins] = doc[wins] > first_of(key[wins], key[wins], doc[wins])
-        yield answer(doc[done], at[done], n[done])
-        runs = np.flatnonzero((kind == FRESH) & parts.is_valid().to_numpy(zero_copy_only=False))
-        runs = runs[np.argsort(key[runs], kind="stable")]
-        a = 0
-        while a < len(runs):
-            b, size = a, 0
-            while b < len(runs) and (size < shard_bytes or key[runs[b]] == key[runs[b - 1]]):
-                size += int(n[runs[b]]) + length
-                b += 1
-            some = runs[a:b]
-            yield answer(*sorted_shard(doc[some], at[some], parts.take(pa.array(some)).to_pylist(), length))
-            a = b
+        single = parts.is_null().to_numpy(zero_copy_only=False)
+        if single.any():
+            late = doc[single] > first_of(key[single], key[single], doc[single])
+            yield answer(doc[single][late], at[single][late], n[single][late])
+        if not single.all():
+            yield answer(*sorted_shard(doc[~single], at[~single], parts.drop_null().to_pylist(), length))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            kind, doc, at, n = (batch.column(batch.schema.get_field_index(x)).to_numpy() for x in ("kind", "doc_id", "at", "n"))
+            done = kind == REPEATED
+            yield answer(doc[done], at[done], n[done])
+            batch = batch.filter(pa.array(~done))
+            while batch.num_rows:
+                key = batch.column(batch.schema.get_field_index("key")).to_numpy()
+                total = size + np.cumsum(batch.column(batch.schema.get_field_index("n")).to_numpy().astype(np.int64) + length)
+                before = held[-1].column(batch.schema.get_field_index("key"))[-1].as_py() if held else key[0]
+                ends = np.flatnonzero(np.append(before, key[:-1]) != key)  # a new key begins here
+                ends = ends[np.append(size, total)[ends] >= shard_bytes]
+                stop = int(ends[0]) if len(ends) else batch.num_rows
+                if stop:
+                    held.append(batch.slice(0, stop))
+                    size = int(total[stop - 1])
+                if not len(ends):
+                    break
+                yield from decided(pa.Table.from_batches(held))
+                held, size = [], 0
+                batch = batch.slice(stop)
+        if held:
+            yield from decided(pa.Table.from_batches(held))
 
     return emit
 
@@ -484,12 +531,12 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     docs = id_and_text(docs)
     parts = partitions_of(docs)
     frequent = frequent_keys(docs, length, anchor)
-    rows = run_rows(docs, length, anchor, frequent).repartition(parts, F.expr(DEALT))
-    judged = materialised(rows.mapInArrow(judge(), "kind byte, doc_id long, key long, at int, n int, often boolean"))
+    rows = run_rows(docs, length, anchor, frequent).repartition(parts, F.expr(DEALT)).sortWithinPartitions("key", "run", "doc_id")
+    judged = materialised(rows.mapInArrow(judge, "kind byte, doc_id long, key long, at int, n int, often boolean"))
     opened = judged.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n", "often")).alias("open"))
     pieces = open_bytes(docs.join(opened.hint("shuffle_hash"), "doc_id"), length, anchor, frequent_parts(docs, length, anchor, frequent))
     # equal windows have equal keys, so all that can be equal is in one partition
-    pieces = pieces.repartition(parts, F.expr(f"CASE WHEN kind = {REPEATED} THEN doc_id ELSE key END"))
+    pieces = pieces.repartition(parts, F.expr(f"CASE WHEN kind = {REPEATED} THEN doc_id ELSE key END")).sortWithinPartitions("key")
     sorted_ = pieces.mapInArrow(sort_shards(length, shard_bytes), "doc_id long, at int, n int")
     found = judged.where(F.col("kind") == REPEATED).select("doc_id", "at", "n").union(sorted_)
     drops = found.select("doc_id", F.struct("at", "n").alias("s"), F.lit(False).alias("w"))
