@@ -98,6 +98,17 @@ m as (select d.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word
   from d left join covered using (doc_id)),
 b as (select *, n_words < 10 or n_repeat_words * 100 > n_words * 20 as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not ({_rules_sql()}) as kept from b""",
+    "op5_suffix_dedup": """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+c as (select doc_id, j, substr(h, 2 * j + 1, 1000) as h from (select doc_id, h, unnest(range(0, length(h) // 2 - 99, 401)) as j from d)),
+w as (select doc_id, j + i as i, row_number() over (partition by substr(h, 2 * i + 1, 200) order by doc_id, j + i) as r
+  from (select doc_id, j, h, unnest(range(0, length(h) // 2 - 99)) as i from c)),
+late as (select doc_id, i, coalesce(lag(i) over (partition by doc_id order by i) + 100 >= i, false) as joined from w where r > 1),
+n as (select doc_id, i, sum(case when joined then 0 else 1 end) over (partition by doc_id order by i) as k from late),
+s as (select doc_id, k, min(i) as a, max(i) + 100 as b from n group by all),
+g as (select doc_id, k, a, b, coalesce(lag(b) over (partition by doc_id order by k), 0) as p, lead(a) over (partition by doc_id order by k) is null as final from s),
+x as (select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' order by k) || max(case when final then substr(h, 2 * b + 1) else '' end) as kept from g join d using (doc_id) group by 1)
+select doc_id, length(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256 from d left join x using (doc_id)""",
     "op8_line_dedup": """
 with l as (select doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
   from (select doc_id, unnest(s) as line, unnest(range(1, len(s) + 1)) as i from (select doc_id, string_split(coalesce(text, ''), chr(10)) as s from documents))),

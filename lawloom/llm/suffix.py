@@ -220,11 +220,11 @@ def first_of(key: np.ndarray, run: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def once_a_document(*by: np.ndarray) -> np.ndarray:
-    """Index of the first row of each different combination of `by` (the documents among them).
+def once_a_document(at: np.ndarray, *by: np.ndarray) -> np.ndarray:
+    """Index of the row of the least `at` of each combination of `by` (the documents among them).
     What recurs within a document is found there, so only its first place is held against
     other documents."""
-    order = np.lexsort(by)
+    order = np.lexsort((at, *by))
     new = np.ones(len(order), bool)
     new[1:] = np.any([x[order][1:] != x[order][:-1] for x in by], axis=0)
     return np.sort(order[new])
@@ -246,7 +246,7 @@ def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) ->
             if not got:
                 continue
             ids, at, n, key, run = (np.concatenate(x) for x in zip(*got, strict=True))
-            some = once_a_document(run, key, ids)
+            some = once_a_document(at, run, key, ids)
             ids, at, n, key, run = (x[some] for x in (ids, at, n, key, run))
             late = ids > first_of(key, run, ids)
             kind = np.where(late, REPEATED, np.where(np.isin(key, frequent), OFTEN, FRESH))
@@ -411,7 +411,7 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
                 yield packed(np.full(len(runs), FRESH), doc, key, at, n, part)
             if wins:
                 doc, key, at = (np.concatenate(x) for x in zip(*wins, strict=True))
-                some = once_a_document(key, doc)
+                some = once_a_document(at, key, doc)
                 doc, key, at = doc[some], key[some], at[some]
                 late = doc > first_of(key, key, doc)
                 d, a, n = stretches(doc[late], at[late])

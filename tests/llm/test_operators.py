@@ -99,6 +99,17 @@ def test_op5_strings(mixed, monkeypatch):
     assert got == brute.op5(rows)
 
 
+def test_op5_periodic_texts(spark, monkeypatch):
+    """Windows that recur in their own document in any order of its runs, and in others."""
+    monkeypatch.setattr(suffix, "FREQUENT", 2)
+    rng = random.Random(5)
+    bits = ["Of ", "be ", "the ", "is ", "ingsh "]
+    rows = [(i, "".join(w * rng.randint(0, 70) for w in rng.sample(bits, rng.randint(1, 5)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, brute.sha(r.kept)) for r in suffix.dedup_strings(df, shard_bytes=2000).collect()}
+    assert got == brute.op5(rows)
+
+
 def test_op5_query(spark, sf_dir, texts):
     got = {r[0]: tuple(r)[1:] for r in queries.op5_suffix_dedup(spark, sf_dir).collect()}
     assert got == brute.op5(texts)
