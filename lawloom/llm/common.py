@@ -8,8 +8,10 @@ longest document and not by the Arrow batch.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -17,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
 U = np.uint64
@@ -59,6 +62,23 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def mapped(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """`df` by mapInArrow.  Python workers are kept for later tasks, so each task gives the
+    memory it has freed back to the system at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from emit(batches)
+        released()
+
+    return df.mapInArrow(run, schema)
+
+
+def released() -> None:
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # there is no such call outside glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 # --------------------------------------------------------------------------- chunks
 
 
@@ -78,8 +98,8 @@ class Chunk:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id") -> Iterator[Chunk]:
-    """Slices of a batch of about CHUNK_BYTES; a null text is an empty one."""
+def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id", rows: int | None = None) -> Iterator[Chunk]:
+    """Slices of a batch of about CHUNK_BYTES (and at most `rows` rows); a null text is an empty one."""
     if batch.num_rows == 0:
         return
     column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string())
@@ -94,7 +114,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id") -> It
     a = 0
     while a < len(ids):
         b = int(np.searchsorted(off, off[a] + CHUNK_BYTES, "right")) - 1
-        b = min(max(b, a + 1), len(ids))
+        b = min(max(b, a + 1), a + (rows or len(ids)), len(ids))
         yield Chunk(ids[a:b], buf[off[a] : off[b]], off[a : b + 1] - off[a], a)
         a = b
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, Words, among, chunks, doubled, id_and_text, materialised, mix, owner, prefix, sliding_min, span, to_long, words_of
+from .common import U, Chunk, Words, among, chunks, doubled, id_and_text, mapped, materialised, mix, owner, prefix, sliding_min, span, to_long, words_of
 
 WIDTH = 20
 
@@ -115,7 +115,7 @@ def level_keys(docs: DataFrame, width: int, level: int) -> DataFrame:
                 pick = on[distinct(w.doc[on], w.keys[level][on])]
                 yield rows(c, pick, w.doc, key=w.keys[level])
 
-    return docs.mapInArrow(emit, "doc_id long, key long")
+    return mapped(docs, emit, "doc_id long, key long")
 
 
 def level_runs(docs: DataFrame, width: int, level: int) -> DataFrame:
@@ -131,7 +131,7 @@ def level_runs(docs: DataFrame, width: int, level: int) -> DataFrame:
                 pick = on[distinct(doc[on], key[on], run[on])]
                 yield rows(c, pick, doc, key=key, run=run)
 
-    return docs.mapInArrow(emit, "doc_id long, key long, run long")
+    return mapped(docs, emit, "doc_id long, key long, run long")
 
 
 def level_windows(docs: DataFrame, width: int, level: int) -> DataFrame:
@@ -149,7 +149,7 @@ def level_windows(docs: DataFrame, width: int, level: int) -> DataFrame:
                 pick = on[distinct(w.doc[on], w.full[on])]
                 yield rows(c, pick, w.doc, win=w.full)
 
-    return docs.mapInArrow(emit, "doc_id long, win long")
+    return mapped(docs, emit, "doc_id long, win long")
 
 
 def seen_before(hits: DataFrame, key: str) -> DataFrame:
@@ -201,7 +201,7 @@ def cut(docs: DataFrame, width: int, level: int) -> DataFrame:
                     texts.append(b" ".join(compress(words, own.tolist()) if gone else words).decode())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
 
-    return docs.mapInArrow(emit, "doc_id long, n_words long, n_removed long, kept_text string")
+    return mapped(docs, emit, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def dedup_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Chunk, chunks, id_and_text, owner
+from .common import Chunk, chunks, id_and_text, mapped, owner
 
 BUCKETS = 1 << 12
 MAX_TRAIN = 4000
 AMBIGUOUS = 0.02
+CHUNK_ROWS = 512  # documents counted at a time, each in a row of BUCKETS numbers
 
 # letters to lower case, other ASCII to a blank; bytes of longer characters stay
 _CODE = np.full(256, 0x20, np.int32)
@@ -123,7 +124,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model | None:
         total = np.zeros((len(langs), BUCKETS))
         for batch in batches:
             names = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            for c in chunks(batch):
+            for c in chunks(batch, rows=CHUNK_ROWS):
                 x = trigram_counts(c).astype(float)
                 x /= np.maximum(x.sum(1, keepdims=True), 1)
                 np.add.at(total, [at[names[c.first_row + i]] for i in range(len(c))], x)
@@ -132,7 +133,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model | None:
 
     table = np.zeros((len(langs), BUCKETS))
     # rounded before the sum, so that the order of partial sums can't change the model
-    for r in rows.mapInArrow(count, "k int, b int, w double").groupBy("k", "b").agg(F.sum(F.round(F.col("w") * 1e6).cast("long")).alias("w")).collect():
+    for r in mapped(rows, count, "k int, b int, w double").groupBy("k", "b").agg(F.sum(F.round(F.col("w") * 1e6).cast("long")).alias("w")).collect():
         table[r["k"], r["b"]] = r["w"] / 1e6
     p = (table + 1e-4) / (table + 1e-4).sum(1, keepdims=True)
     weights = np.stack([np.log(p[code[:, b] > 0].mean(0)) - np.log(p[code[:, b] < 0].mean(0)) for b in range(code.shape[1])], 1)
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model | None:
         wrong, size, n = np.zeros(code.shape[1]), np.zeros(code.shape[1]), 0
         for batch in batches:
             names = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            for c in chunks(batch):
+            for c in chunks(batch, rows=CHUNK_ROWS):
                 x = trigram_counts(c)
                 some = x.sum(1) > 0
                 m = (x @ first.weights) / np.maximum(x.sum(1, keepdims=True), 1)
@@ -152,7 +153,7 @@ def fit(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model | None:
                 n += int(some.sum())
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(wrong)), pa.int32()), pa.array(wrong.astype(np.int64)), pa.array(np.round(size * 1e6).astype(np.int64)), pa.array(np.full(len(wrong), n, np.int64))], ["b", "wrong", "size", "n"])
 
-    stats = rows.mapInArrow(judge, "b int, wrong long, size long, n long").groupBy("b").agg(F.sum("wrong"), F.sum("size"), F.sum("n")).collect()
+    stats = mapped(rows, judge, "b int, wrong long, size long, n long").groupBy("b").agg(F.sum("wrong"), F.sum("size"), F.sum("n")).collect()
     scale, trust = np.ones(code.shape[1]), np.ones(code.shape[1])
     for b, wrong, size, n in stats:
         e = (wrong + 1) / (n + 2)
@@ -168,7 +169,7 @@ def predict(docs: DataFrame, model: Model | None, ambiguous: float = AMBIGUOUS)
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, best, score, second, gap = [], [], [], [], []
-            for c in chunks(batch):
+            for c in chunks(batch, rows=CHUNK_ROWS):
                 n, k = len(c), len(model.langs) if model else 0
                 lost = model.losses(trigram_counts(c)) if k else np.zeros((n, 0))
                 letters = np.array([has_letter(c.text(i)) for i in range(n)], bool)
@@ -187,7 +188,7 @@ def predict(docs: DataFrame, model: Model | None, ambiguous: float = AMBIGUOUS)
                 ["doc_id", "lang_pred", "score", "runner_up", "gap", "ambiguous"],
             )
 
-    return id_and_text(docs).mapInArrow(emit, schema)
+    return mapped(id_and_text(docs), emit, schema)
 
 
 def identified(docs: DataFrame, model: Model | None, least_gap: float = AMBIGUOUS) -> DataFrame:
@@ -197,13 +198,13 @@ def identified(docs: DataFrame, model: Model | None, least_gap: float = AMBIGUOU
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            for c in chunks(batch):
+            for c in chunks(batch, rows=CHUNK_ROWS):
                 lost = np.sort(model.losses(trigram_counts(c)), 1) if model else np.zeros((len(c), 0))
                 clear = lost[:, 1] - lost[:, 0] >= least_gap if lost.shape[1] > 1 else np.full(len(c), lost.shape[1] == 1)
                 keep[c.first_row : c.first_row + len(c)] = clear & [has_letter(c.text(i)) for i in range(len(c))]
             yield batch.filter(pa.array(keep))
 
-    return docs.where("doc_id IS NOT NULL").mapInArrow(emit, docs.schema)
+    return mapped(docs.where("doc_id IS NOT NULL"), emit, docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U, checkpointed, chunks, id_and_text, list_of, mix, partitions_of
+from .common import U, checkpointed, chunks, id_and_text, list_of, mapped, mix, partitions_of
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -127,7 +127,7 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
                     ids += [doc] * len(found)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "key"])
 
-    return docs.mapInArrow(emit, "doc_id long, key long")
+    return mapped(docs, emit, "doc_id long, key long")
 
 
 def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -152,7 +152,7 @@ def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
             columns |= {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.mapInArrow(emit, schema)
+    return mapped(docs, emit, schema)
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, checkpointed, chunks, components, id_and_text, materialised, mix, prefix, ragged, span, to_long, words_of
+from .common import U, Chunk, checkpointed, chunks, components, id_and_text, mapped, materialised, mix, prefix, ragged, span, to_long, words_of
 
 SHINGLE, PERCENT = 4, 85
 MAX_BITS = 1 << 18
@@ -98,7 +98,7 @@ def profile(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
                     ["doc_id", "n", "whole", "tokens", "bits"],
                 )
 
-    return docs.mapInArrow(emit, "doc_id long, n long, whole long, tokens array<long>, bits array<long>")
+    return mapped(docs, emit, "doc_id long, n long, whole long, tokens array<long>, bits array<long>")
 
 
 def among_sorted(x: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -117,7 +117,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
                 sets = shingles(c, width)
                 yield pa.RecordBatch.from_arrays([pa.array(to_long(np.concatenate(sets)))], ["token"])
 
-    rows = docs.where(u < SAMPLE_DOCS / max(total, 1)).mapInArrow(emit, "token long")
+    rows = mapped(docs.where(u < SAMPLE_DOCS / max(total, 1)), emit, "token long")
     top = rows.groupBy("token").count().where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "token").limit(MAX_FREQUENT)
     return np.array([r["token"] for r in top.collect()], np.int64).view(U)
 
@@ -164,7 +164,7 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
                 keep = pa.array(ok, pa.bool_())
                 yield pa.RecordBatch.from_arrays([col("a").filter(keep), col("b").filter(keep)], ["a", "b"])
 
-    return both.mapInArrow(emit, "a long, b long")
+    return mapped(both, emit, "a long, b long")
 
 
 def room(a: str, b: str, percent: int) -> Column:

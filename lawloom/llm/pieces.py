@@ -3,7 +3,7 @@
 Texts are cut into words (a run of blanks with the word after it, a run of blanks, a
 newline), and words into units between characters that stand side by side in no piece: no
 piece can cross there, so units are encoded on their own.  Documents are read in blocks; each
-block names its distinct units, and the distinct units of the corpus are encoded once:
+block numbers its distinct units, and the distinct units of the corpus are encoded once:
 
 1. explode each unit's substrings up to the longest piece's length,
 2. equi-join them with the piece table (a broadcast: its size is the vocabulary's),
@@ -14,34 +14,37 @@ block names its distinct units, and the distinct units of the corpus are encoded
 For a unigram vocabulary the fold is Viterbi's (the path of the highest sum of scores).  In
 a byte-pair vocabulary scores are merge ranks, and the highest sum isn't what the library
 gives; there the fold applies the merges the edges allow, best rank first and leftmost among
-equals, which is the library's result.  Units longer than 60 characters, and any unit that a
-block doesn't find in its answer, are encoded by the same rule in plain Python.
+equals, which is the library's result.  Units longer than 60 characters are encoded by the
+same rule in plain Python.
+
+A block numbers its units by the order of their 64-bit hashes.  A text whose ids don't decode
+to itself, as after a collision of hashes, is encoded anew in plain Python; a block of which
+the lattice has not answered every unit is an error.  A block's rows must be the same each
+time they are read, as those of files are.
 
 Defined results: a null or empty text has no ids; characters without a piece become byte
 pieces; U+2581 in a text means a blank, as in the library, so such a text decodes to blanks
-there (`round_trip` compares with that); rows of equal doc_id are each encoded; rows without
-a doc_id are left out; extra columns are ignored.
+there (`round_trip` compares with that); of edges of equal rank the leftmost is merged first;
+a very long text is a block of its own; rows of equal doc_id are each encoded; rows without a
+doc_id are left out; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions_of
+from .common import U, Chunk, chunks, id_and_text, mapped, mix, partitions_of, prefix, span
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-WORD = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 16 << 20
 NONE = (1 << 18) - 1  # stands for no piece in a packed edge
 MAX_UNIT = 60  # characters of a unit that Spark encodes; boundaries are bits of a long
 
@@ -67,6 +70,7 @@ class Vocabulary:
         for p in wide:
             for a, b in zip(p, p[1:], strict=False):
                 self.side[at[ord(a)], at[ord(b)]] = True
+        self.length = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
 
 
 def load(model: str = MODEL, merges: bool = True) -> Vocabulary:
@@ -92,7 +96,8 @@ def load(model: str = MODEL, merges: bool = True) -> Vocabulary:
 
 
 def encode_unit(unit: str, v: Vocabulary) -> list[int]:
-    """One unit by the rule of the fold; a helper for units that Spark leaves out."""
+    """One unit by the rule of the fold; a helper for units that Spark leaves out, and for a
+    whole text (with a blank in front) after a collision."""
     parts = list(unit)
     if v.merges:
         import heapq
@@ -136,77 +141,95 @@ def encode_unit(unit: str, v: Vocabulary) -> list[int]:
     return out
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(BLANK + text.replace(" ", BLANK)) if text else []
+def decode(ids: np.ndarray, v: Vocabulary) -> bytes:
+    return b"".join(map(v.texts.__getitem__, ids.tolist())).removeprefix(b" ")
 
 
-def units_of(words: list[str], v: Vocabulary) -> tuple[list[str], np.ndarray]:
-    """The units of all words in a row, and for each word the index of its first one (and the
-    number of all at the end)."""
-    text = "".join(words)
-    start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))])
-    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+# ------------------------------------------------------------ blocks of documents
+
+
+@dataclass
+class Units:
+    """The units of a chunk: its characters (blanks as U+2581, one in front of each text), the
+    boundaries of the units among them, each unit's hash, and each document's first unit."""
+
+    code: np.ndarray
+    cut: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+
+    def text(self, i: int) -> str:
+        return self.code[self.cut[i] : self.cut[i + 1]].tobytes().decode("utf-32-le")
+
+    def texts(self, some: np.ndarray) -> list[str]:
+        """The units `some`, decoded in one go."""
+        size = self.cut[some + 1] - self.cut[some]
+        ends = np.cumsum(size)
+        at = np.repeat(self.cut[some] - (ends - size), size) + np.arange(int(size.sum()))
+        whole, ends = self.code[at].tobytes().decode("utf-32-le"), ends.tolist()
+        return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def units_of(c: Chunk, v: Vocabulary) -> Units:
+    code = np.frombuffer(c.data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    begun = np.concatenate([[0], np.cumsum((c.data & 0xC0) != 0x80)])[c.offsets]  # in characters
+    full = np.diff(begun) > 0
+    code = np.insert(code, begun[:-1][full], ord(BLANK))
+    code[code == 0x20] = ord(BLANK)
+    begun += np.concatenate([[0], np.cumsum(full)])
     if len(v.alphabet):
         at = np.minimum(np.searchsorted(v.alphabet, code), len(v.alphabet) - 1)
         at[v.alphabet[at] != code] = len(v.alphabet)
         apart = ~v.side[at[:-1], at[1:]]
     else:
         apart = np.ones(max(len(code) - 1, 0), bool)
+    blank, line = code == ord(BLANK), code == 0x0A
     edge = np.ones(len(code) + 1, bool)
-    edge[1:-1] = apart
-    edge[start] = True
+    if len(code):
+        edge[1:-1] = apart | line[1:] | line[:-1] | (blank[1:] & ~blank[:-1])
+    edge[begun] = True
     cut = np.flatnonzero(edge)
-    places = cut.tolist()
-    return [text[a:b] for a, b in zip(places, places[1:], strict=False)], np.searchsorted(cut, start)
+    hashes = span(prefix(mix(code.astype(U) + U(1))), cut[:-1], cut[1:])
+    return Units(code, cut, hashes, np.searchsorted(cut, begun))
 
 
-def decode(ids: np.ndarray, v: Vocabulary) -> bytes:
-    return b"".join(map(v.texts.__getitem__, ids.tolist())).removeprefix(b" ")
-
-
-# ------------------------------------------------------------ blocks of documents
-
-
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[str]]]:
-    """(block, doc_ids, texts): consecutive rows of a partition of about BLOCK_BYTES; the same
-    rows give the same block, whoever reads them."""
-    ids: list[int] = []
-    texts: list[str] = []
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Chunk]]]:
+    """(block, chunks): consecutive rows of a partition of about BLOCK_BYTES; the same rows give
+    the same block, whoever reads them."""
+    held: list[Chunk] = []
     size = 0
 
     def name() -> int:
-        return hash((ids[0], ids[-1], len(ids), size))
+        return hash((int(held[0].ids[0]), int(held[-1].ids[-1]), sum(map(len, held)), size))
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids.append(doc)
-            texts.append(text or "")
-            size += len(texts[-1])
+        for c in chunks(batch):
+            held.append(c)
+            size += len(c.data)
             if size >= BLOCK_BYTES:
-                yield name(), ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield name(), ids, texts
-
-
-def sliced(x: list, size: int = 50_000) -> Iterator[list]:
-    for a in range(0, len(x), size):
-        yield x[a : a + size]
+                yield name(), held
+                held, size = [], 0
+    if held:
+        yield name(), held
 
 
 def name_units(v: Vocabulary) -> Callable:
+    """(block, number, unit) of each distinct unit of each block that Spark encodes."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, _, texts in blocks(batches):
-            words: set[str] = set()
-            for t in texts:
-                words.update(words_of(t))
-            units: set[str] = set()
-            for part in sliced(list(words)):
-                units.update(units_of(part, v)[0])
-            del words
-            found = [u for u in units if len(u) <= MAX_UNIT]
-            for part in sliced(found):
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], ["block", "unit"])
+        for block, held in blocks(batches):
+            known, hashes, texts = np.zeros(0, U), [], []
+            for c in held:
+                u = units_of(c, v)
+                new, at = np.unique(u.hashes, return_index=True)
+                fresh = ~np.isin(new, known, assume_unique=True)
+                known = np.union1d(known, new[fresh])
+                wide = u.cut[at + 1] - u.cut[at] <= MAX_UNIT
+                hashes.append(new[fresh & wide])
+                texts.append(pa.array(u.texts(at[fresh & wide]), pa.string()))
+            for h, t in zip(hashes, texts, strict=True):
+                number = np.searchsorted(known, h).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(number), t], ["block", "number", "unit"])
 
     return emit
 
@@ -214,34 +237,52 @@ def name_units(v: Vocabulary) -> Callable:
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A block as one compressed row, so that whole texts are shuffled once and small."""
     press = zstandard.ZstdCompressor(level=3)
-    for block, ids, texts in blocks(batches):
-        t = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.large_string())})
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, t.schema) as w:
-            w.write_table(t)
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([press.compress(sink.getvalue())], pa.binary())], ["block", "packed"])
+    for block, held in blocks(batches):
+        parts = []
+        for c in held:
+            rows = [pa.array(c.ids, pa.int64()), pa.Array.from_buffers(pa.large_binary(), len(c), [None, pa.py_buffer(c.offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(c.data))])]
+            sink = pa.BufferOutputStream()
+            batch = pa.RecordBatch.from_arrays(rows, ["doc_id", "text"])
+            with pa.ipc.new_stream(sink, batch.schema) as w:
+                w.write_batch(batch)
+            parts.append(press.compress(sink.getvalue()))
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([parts], pa.list_(pa.binary()))], ["block", "packed"])
+
+
+def unpack(parts: pa.Scalar) -> Iterator[Chunk]:
+    press = zstandard.ZstdDecompressor()
+    for part in parts.values:
+        batch = pa.ipc.open_stream(press.decompress(part.as_py())).read_next_batch()
+        text = batch.column(1)
+        off, data = (np.frombuffer(b, t) if b is not None and b.size else np.zeros(0, t) for b, t in zip(text.buffers()[1:], (np.int64, np.uint8), strict=True))
+        yield Chunk(batch.column(0).to_numpy(), data, off[: len(text) + 1], 0)
+
+
+ANSWERS = 500_000  # rows of a partition that are packed at a time
 
 
 def pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's rows of block, unit and ids as compressed rows, one for each block in each
-    million rows; in order of the units, which compress best so."""
+    """A partition's rows of block, number and ids as compressed rows, one for each block in
+    each ANSWERS rows; in order of the numbers, which compress best so."""
     press = zstandard.ZstdCompressor(level=3)
     held: list[pa.RecordBatch] = []
 
     def packed() -> pa.RecordBatch:
-        t = pa.Table.from_batches(held).sort_by([("block", "ascending"), ("unit", "ascending")])
-        block = t["block"].to_numpy()
+        t = pa.Table.from_batches(held)
+        block, number = t["block"].to_numpy(), t["number"].to_numpy()
+        by = np.lexsort((number, block))
+        block, number = block[by], number[by]
+        ids = t["ids"].combine_chunks()
+        size = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat, size = gathered(ids.flatten().to_numpy(zero_copy_only=False), size, by), size[by]
         edge = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
-        rows = t.select(["unit", "ids"]).combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(size)])
         out = []
         for a, b in zip(edge, [*edge[1:], len(block)], strict=True):
-            part = rows.slice(a, b - a)
-            sizes = part["ids"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
-            flat = part["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
-            text = "\n".join(part["unit"].to_pylist()).encode()
-            # a unit holds a newline only if it is one
-            head = np.array([b - a, len(flat)], np.int64).tobytes()
-            out.append(press.compress(head + sizes.astype(np.uint8).tobytes() + flat.view(np.uint8).reshape(-1, 4).T.tobytes() + text))
+            some = flat[ends[a] : ends[b]].astype(np.uint32)
+            steps = np.diff(number[a:b], prepend=0).astype(np.uint32)
+            planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in (steps, some)]
+            out.append(press.compress(np.array([b - a, len(some)], np.int64).tobytes() + size[a:b].astype(np.uint8).tobytes() + planes[0] + planes[1]))
         return pa.RecordBatch.from_arrays([pa.array(block[edge], pa.int64()), pa.array(out, pa.binary())], ["block", "answers"])
 
     n = 0
@@ -249,24 +290,38 @@ def pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             held.append(batch)
             n += batch.num_rows
-        if n >= 1_000_000:
+        if n >= ANSWERS:
             yield packed()
             held, n = [], 0
     if held:
         yield packed()
 
 
-def unpack_answers(blob: bytes) -> Iterator[tuple[str, np.ndarray]]:
-    """The units of a compressed row with their ids."""
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n, m = np.frombuffer(data, np.int64, 2).tolist()
-    ends = np.cumsum(np.frombuffer(data, np.uint8, n, 16).astype(np.int64)).tolist()
-    flat = np.frombuffer(data, np.uint8, 4 * m, 16 + n).reshape(4, m).T.copy().view(np.uint32).ravel().astype(np.int32)
-    units = data[16 + n + 4 * m :].decode().split("\n")
-    if len(units) > n:  # the newline itself is a unit: two empty ones stand for it
-        k = units.index("")
-        units[k : k + 2] = ["\n"]
-    return zip(units, (flat[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True)
+def gathered(flat: np.ndarray, size: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """The lists `some` one after the other, of lists of `size` that lie in `flat`."""
+    start = (np.cumsum(size) - size)[some]
+    take = size[some]
+    ends = np.cumsum(take)
+    return flat[np.repeat(start - (ends - take), take) + np.arange(int(take.sum()))]
+
+
+def unpack_answers(blobs: pa.ChunkedArray, units: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all units in order, their number for each unit; 0 without an answer)."""
+    press = zstandard.ZstdDecompressor()
+    numbers, sizes, flats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for blob in blobs:
+        data = press.decompress(blob.as_py())
+        n, m = np.frombuffer(data, np.int64, 2).tolist()
+        plane = lambda k, at: np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * k, at).reshape(4, k).T).view(np.uint32).ravel()  # noqa: E731, B023
+        sizes.append(np.frombuffer(data, np.uint8, n, 16).astype(np.int64))
+        numbers.append(np.cumsum(plane(n, 16 + n).astype(np.int64)))
+        flats.append(plane(m, 16 + 5 * n).astype(np.int32))
+    number, size, flat = np.concatenate(numbers), np.concatenate(sizes), np.concatenate(flats)
+    if len(number) and number.max() >= units:
+        raise RuntimeError("the rows of a block changed between two reads: write the input first")
+    every = np.zeros(units, np.int64)
+    every[number] = size
+    return gathered(flat, size, np.argsort(number)), every
 
 
 # ------------------------------------------------------------ the lattice
@@ -401,39 +456,76 @@ def encoded_units(units: DataFrame, v: Vocabulary) -> DataFrame:
 # ------------------------------------------------------------ documents
 
 
+def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) -> pa.Table:
+    """The rows of a block from its texts and the ids of its units."""
+    known = np.zeros(0, U)
+    wide: dict[int, list[int]] = {}  # units that Spark leaves out, by hash
+    for c in unpack(packed):
+        u = units_of(c, v)
+        known = np.union1d(known, u.hashes)
+        for i in np.flatnonzero(np.diff(u.cut) > MAX_UNIT).tolist():
+            if (h := int(u.hashes[i])) not in wide:
+                wide[h] = encode_unit(u.text(i), v)
+    flat, size = unpack_answers(answers, len(known))
+    start = np.cumsum(size) - size
+    if wide:
+        at = np.searchsorted(known, np.array(list(wide), U))
+        lengths = np.fromiter(map(len, wide.values()), np.int64, len(wide))
+        start[at] = len(flat) + np.cumsum(lengths) - lengths
+        size[at] = lengths
+        flat = np.concatenate([flat, *(np.array(x, np.int32) for x in wide.values())])
+    if not size.all():
+        raise RuntimeError("a block has units without an answer: its rows changed between two reads, write the input first")
+    out: list[pa.RecordBatch] = []
+    for c in unpack(packed):
+        u = units_of(c, v)
+        unit = np.searchsorted(known, u.hashes)
+        take = size[unit]
+        ends = np.concatenate([[0], np.cumsum(take)])
+        ids = flat[np.repeat(start[unit] - ends[:-1], take) + np.arange(int(ends[-1]))]
+        edges = ends[u.first]
+        same = decoded_as(ids, edges, u, v)
+        if not same.all():  # never seen: two units of a block with one hash
+            lists = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            for i in np.flatnonzero(~same).tolist():
+                lists[i] = np.array(encode_unit(BLANK + c.text(i).decode().replace(" ", BLANK), v), np.int32)
+                same[i] = decode(lists[i], v) == c.text(i).decode().replace(BLANK, " ").encode()
+            ids, edges = np.concatenate(lists), np.concatenate([[0], np.cumsum(list(map(len, lists)))])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids, pa.int32()))
+        out.append(pa.RecordBatch.from_arrays([pa.array(c.ids, pa.int64()), pa.array(np.diff(edges), pa.int64()), lists, pa.array(same)], ["doc_id", "n_tokens", "ids", "round_trip"]))
+    return pa.Table.from_batches(out)
+
+
+def decoded_as(ids: np.ndarray, edges: np.ndarray, u: Units, v: Vocabulary) -> np.ndarray:
+    """Whether each document's ids stand for its own text."""
+    begun = u.cut[u.first]
+    code = np.where(u.code == ord(BLANK), np.uint32(0x20), u.code)
+    wide = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+    want = np.concatenate([[0], np.cumsum(wide)])[begun]
+    have = np.concatenate([[0], np.cumsum(v.length[ids])])[edges]
+    data, text = b"".join(map(v.texts.__getitem__, ids.tolist())), code.tobytes().decode("utf-32-le").encode()
+    if np.array_equal(want, have) and data == text:
+        return np.ones(len(want) - 1, bool)
+    return np.array([data[a:b] == text[c:d] for a, b, c, d in zip(have[:-1], have[1:], want[:-1], want[1:], strict=True)], bool)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     """doc_id, n_tokens, ids and round_trip (whether the ids decode to the text) of each row."""
     v = vocabulary or load()
     docs = id_and_text(docs)
     parts = partitions_of(docs)
-    named = docs.mapInArrow(name_units(v), "block long, unit string").repartition(4 * parts, "unit")
+    named = mapped(docs, name_units(v), "block long, number int, unit string").repartition(4 * parts, "unit")
     # with the block, so that both uses read the same columns and share one shuffle
-    words = named.groupBy("unit").agg(F.min("block").alias("block")).where("block IS NOT NULL").select("unit")
-    answers = named.join(encoded_units(words, v), "unit").select("block", "unit", "ids").mapInArrow(pack_answers, "block long, answers binary")
-    packed = docs.mapInArrow(pack, "block long, packed binary")
-
-    def put(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known = {u: ids for blob in right["answers"] for u, ids in unpack_answers(blob)}
-        out: list[tuple] = []
-        for blob in left["packed"]:
-            t = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob)).read_all()
-            texts = t["text"].to_pylist()
-            index: dict[str, int] = {}
-            inside = [np.array([index.setdefault(w, len(index)) for w in words_of(x)], np.int32) for x in texts]
-            flat: list[np.ndarray] = []
-            for some in sliced(list(index)):
-                units, first = units_of(some, v)
-                parts = [known[u] if u in known else np.array(encode_unit(u, v), np.int32) for u in units]
-                edges = first.tolist()
-                flat += [parts[a] if b == a + 1 else np.concatenate(parts[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-            del index
-            for doc, text, at in zip(t["doc_id"].to_pylist(), texts, inside, strict=True):
-                ids = np.concatenate([flat[k] for k in at.tolist()]) if len(at) else np.zeros(0, np.int32)
-                out.append((doc, len(ids), ids, decode(ids, v) == text.replace(BLANK, " ").encode()))
-        return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids", "round_trip"])
+    words = named.groupBy("unit").agg(F.min("block").alias("block"), F.min("number").alias("number")).where("block IS NOT NULL AND number IS NOT NULL").select("unit")
+    answers = mapped(named.join(encoded_units(words, v).hint("shuffle_hash"), "unit").select("block", "number", "ids"), pack_answers, "block long, answers binary")
+    packed = mapped(docs, pack, "block long, packed array<binary>")
+
+    def put(left: pa.Table, right: pa.Table) -> pa.Table:
+        tables = [put_together(x, right["answers"], v) for x in left["packed"]]
+        return pa.concat_tables(tables) if tables else pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())), "round_trip": pa.array([], pa.bool_())})
 
     both = packed.groupBy("block").cogroup(answers.groupBy("block"))
-    return both.applyInPandas(put, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    return both.applyInArrow(put, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode_table(encoded: DataFrame, spark: SparkSession, vocabulary: Vocabulary | None = None) -> DataFrame:
@@ -445,4 +537,4 @@ def decode_table(encoded: DataFrame, spark: SparkSession, vocabulary: Vocabulary
             texts = [decode(np.asarray(x or [], np.int64), v).decode("utf-8", "replace") for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(emit, "doc_id long, text string")
+    return mapped(encoded.select("doc_id", "ids"), emit, "doc_id long, text string")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U, Chunk, chunks, id_and_text, materialised, mix, owner, partitions_of, prefix, sliding_min, span, to_long
+from .common import BYTE_CODE, U, Chunk, chunks, id_and_text, mapped, materialised, mix, owner, partitions_of, prefix, sliding_min, span, to_long
 
 LENGTH = 100
 ANCHOR = 32
@@ -256,7 +256,7 @@ def run_rows(docs: DataFrame, length: int, anchor: int, frequent: np.ndarray) ->
             columns = [np.concatenate(x) for x in ((kind, zero + WITHIN), (ids, own), (to_long(key), zero), (to_long(run), zero), (at, zero), (n, zero))]
             yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip(columns, (pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], NAMES)
 
-    return docs.mapInArrow(emit, ROW)
+    return mapped(docs, emit, ROW)
 
 
 def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +316,7 @@ def frequent_keys(docs: DataFrame, length: int, anchor: int) -> np.ndarray:
                 some = np.unique(key ^ mix(doc.astype(U) + U(1)), return_index=True)[1]
                 yield pa.RecordBatch.from_arrays([pa.array(to_long(key[some]))], ["key"])
 
-    return top_keys(sampled(docs).mapInArrow(emit, "key long"))
+    return top_keys(mapped(sampled(docs), emit, "key long"))
 
 
 def sampled(docs: DataFrame) -> DataFrame:
@@ -366,7 +366,7 @@ def frequent_parts(docs: DataFrame, length: int, anchor: int, frequent: np.ndarr
                     found.setdefault(int(doc[k]), set()).update(to_long(subs).tolist())
                 yield pa.RecordBatch.from_arrays([pa.array([x for v in found.values() for x in v], pa.int64())], ["key"])
 
-    return top_keys(sampled(docs).mapInArrow(emit, "key long"))
+    return top_keys(mapped(sampled(docs), emit, "key long"))
 
 
 def stretches(d: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -423,7 +423,7 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
         kinds = (pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(np.asarray(v).astype(t.to_pandas_dtype()) if t != pa.binary() else v, t) for v, t in zip(columns, kinds, strict=True)], ["kind", "doc_id", "key", "at", "n", "bytes"])
 
-    return told.mapInArrow(emit, "kind byte, doc_id long, key long, at int, n int, bytes binary")
+    return mapped(told, emit, "kind byte, doc_id long, key long, at int, n int, bytes binary")
 
 
 def sorted_shard(doc: np.ndarray, at: np.ndarray, pieces: list[bytes], length: int) -> tuple[np.ndarray, ...]:
@@ -523,7 +523,7 @@ def cut(told: DataFrame, length: int) -> DataFrame:
             x = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(x, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return told.mapInArrow(emit, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return mapped(told, emit, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def dedup_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -532,12 +532,12 @@ def dedup_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, s
     parts = partitions_of(docs)
     frequent = frequent_keys(docs, length, anchor)
     rows = run_rows(docs, length, anchor, frequent).repartition(parts, F.expr(DEALT)).sortWithinPartitions("key", "run", "doc_id")
-    judged = materialised(rows.mapInArrow(judge, "kind byte, doc_id long, key long, at int, n int, often boolean"))
+    judged = materialised(mapped(rows, judge, "kind byte, doc_id long, key long, at int, n int, often boolean"))
     opened = judged.where(F.col("kind") == OPEN).groupBy("doc_id").agg(F.collect_list(F.struct("key", "at", "n", "often")).alias("open"))
     pieces = open_bytes(docs.join(opened.hint("shuffle_hash"), "doc_id"), length, anchor, frequent_parts(docs, length, anchor, frequent))
     # equal windows have equal keys, so all that can be equal is in one partition
     pieces = pieces.repartition(parts, F.expr(f"CASE WHEN kind = {REPEATED} THEN doc_id ELSE key END")).sortWithinPartitions("key")
-    sorted_ = pieces.mapInArrow(sort_shards(length, shard_bytes), "doc_id long, at int, n int")
+    sorted_ = mapped(pieces, sort_shards(length, shard_bytes), "doc_id long, at int, n int")
     found = judged.where(F.col("kind") == REPEATED).select("doc_id", "at", "n").union(sorted_)
     drops = found.select("doc_id", F.struct("at", "n").alias("s"), F.lit(False).alias("w"))
     own = judged.where(F.col("kind") == WITHIN).select("doc_id", F.lit(None).cast("struct<at:int,n:int>").alias("s"), F.lit(True).alias("w"))
