@@ -1,49 +1,85 @@
-"""Command line: landed texts to session tables, and publishing."""
+"""Command line: sessions from a server's listings, or landed texts, to tables, and publishing."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 import sys
 from datetime import UTC, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.documents import bill_documents, bill_records
+from .operators.documents import bill_documents, bill_records, quarantined
 from .operators.selection import filename_counts, valid_filenames
 from .publish import LocalPublisher, publish_session, sync_card
-from .sources.readers import sessions
-from .sources.sinks import write_sessions
+from .sources.listing import UrlSource, listed_files
+from .sources.readers import Decoder, decoded, text_of_pages
+from .sources.sinks import write_session_files
 
 log = logging.getLogger(__name__)
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lawloom", description="Bill texts to typed tables by session")
-    p.add_argument("landed", help="Parquet of filename and raw_text")
+    p.add_argument("landed", nargs="?", help="Parquet of filename and raw_text; without it, sessions are fetched from --base-url")
+    p.add_argument("--decoder", default="lawloom.sources.readers:pdf_pages", metavar="MODULE:FUNCTION", help="bytes of a file to the texts of its pages")
     p.add_argument("--sessions", type=int, nargs="+", default=[132])
     p.add_argument("--publish", metavar="DIR", help="publish to this folder and write its card")
     p.add_argument("--repo-id", default="bills", help="name of the data set on its card")
-    p.add_argument("--base-url", default="", help="prefix of the source URLs")
+    p.add_argument("--base-url", default="", help="where <session>/<filename>.pdf lie, and prefix of the source URLs")
     p.add_argument("--local-dir", default="./data")
-    p.add_argument("--workers", type=int, default=8, help="partitions to spread the texts over")
+    p.add_argument("--workers", type=int, default=8, help="tasks that fetch files")
     return p
 
 
-def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    landed = spark.read.parquet(args.landed).repartition(args.workers)
-    n = filename_counts(landed).first()
+def decoder_named(name: str) -> Decoder:
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def counted(names: DataFrame) -> DataFrame:
+    """Names as they are, after a warning of those that are left out later."""
+    n = filename_counts(names).first()
     if n["n_skipped"]:
         log.warning("skipping %d files with unexpected names", n["n_skipped"])
+    return valid_filenames(names)
+
+
+def fetched_session(spark: SparkSession, base_url: str, session: int, decoder: Decoder, workers: int = 8) -> DataFrame:
+    """filename and raw_text of the files that a session's listing names; files that can't be
+    fetched or decoded are logged and left out.  A listing is one page, so its names are few."""
+    spark.dataSource.register(UrlSource)
+    urls = lambda x: spark.read.format("urls").option("urls", "\n".join(x)).option("workers", workers).load()
+    top = f"{base_url.rstrip('/')}/{session}/"
+    page = urls([top])
+    if (error := page.first()["error"]) is not None:
+        raise RuntimeError(f"{top}: {error}")
+    names = counted(listed_files(page.select(F.decode("content", "utf-8").alias("html"))).distinct())
+    files = urls([f"{top}{r['filename']}.pdf" for r in names.orderBy("filename").collect()])
+    files = files.withColumn("filename", F.regexp_extract("url", r"([^/]*)\.pdf$", 1))
+    good, bad = quarantined(files)
+    pages, broken = quarantined(decoded(good.drop("error"), decoder).persist())
+    for r in bad.select("filename", "error").union(broken.select("filename", "error")).toLocalIterator():
+        log.error("failed to process %r; skipping: %s", r["filename"], r["error"])
+    return pages.select("filename", text_of_pages(F.col("pages")).alias("raw_text"))
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     now = F.lit(datetime.now(UTC).isoformat())
-    records = bill_records(bill_documents(valid_filenames(landed)), args.base_url, scraped_at=now)
-    write_sessions(records.where(F.col("session").isin(args.sessions)), args.local_dir)
-    if args.publish:
-        to = LocalPublisher(args.publish)
-        for s in args.sessions:
-            rows = publish_session(sessions(spark, args.local_dir, s), s, to, f"{args.local_dir}/_publish")
-            log.info("session %d: %d records", s, rows)
+    landed = counted(spark.read.parquet(args.landed)) if args.landed else None
+    to = LocalPublisher(args.publish) if args.publish else None
+    for s in args.sessions:
+        rows = landed if landed is not None else fetched_session(spark, args.base_url, s, decoder_named(args.decoder), args.workers)
+        url = args.base_url if args.landed else f"{args.base_url.rstrip('/')}/{s}/"
+        records = bill_records(bill_documents(rows), url, scraped_at=now)
+        if to:
+            log.info("session %d: %d records", s, publish_session(records, s, to, args.local_dir))
+        else:
+            for f in write_session_files(records, s, args.local_dir):
+                log.info("saved %s", f)
+    if to:
         sync_card(to, "Bills by session", args.repo_id, args.base_url)
 
 

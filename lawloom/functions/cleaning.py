@@ -6,21 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .patterns import HEADER, HEADER_ID, LINE_NUMBER, MARGIN_NUMBER, NUMBER_PREFIX, ORDINAL_LINE
-from .text import lines, strip, u
-
-
-def starts_bill(line: Column) -> Column:
-    """The line that names the legislature, with or without a number in the margin."""
-    ordinal = u(ORDINAL_LINE, "i")
-    return strip(line).rlike(ordinal) | strip(F.regexp_replace(line, u(MARGIN_NUMBER), "")).rlike(ordinal)
+from .text import BLANKS, found, in_line, strip, u
 
 
 def without_preamble(text: Column) -> Column:
-    """From the first line that names the legislature; all of the text if none does."""
-    ls = lines(text)
-    at = F.array_position(F.transform(ls, starts_bill), F.lit(True)).cast("int")
-    # most lines can't match: the word is looked for once before any line is
-    return F.when(text.rlike("(?i)LEGISLATURE") & (at > 0), F.array_join(F.slice(ls, F.greatest(at, F.lit(1)), F.size(ls)), "\n")).otherwise(text)
+    """From the first line that names the legislature, with or without a number in its margin;
+    all of the text if none does."""
+    return F.coalesce(found(text, f"(?ims)^(?:{BLANKS}*|{in_line(MARGIN_NUMBER)}){in_line(ORDINAL_LINE)}.*", 0), text)
 
 
 def is_line_number(line: Column) -> Column:
@@ -33,8 +25,10 @@ def is_header(line: Column) -> Column:
 
 
 def clean_body(text: Column) -> Column:
-    """Lines without numbers, margins, headers and blank lines."""
-    kept = F.filter(lines(text), lambda x: ~is_line_number(x))
-    bare = F.transform(kept, lambda x: F.regexp_replace(x, u(NUMBER_PREFIX), ""))
-    body = F.filter(bare, lambda x: (strip(x) != "") & ~is_header(x))
-    return strip(F.array_join(body, "\n"))
+    """Lines without numbers, margins, headers and blank lines: three passes over the text, as
+    the margin goes after the lines of numbers alone and before headers are looked for."""
+    end = r"(?:\n|\z)"
+    kept = F.regexp_replace(text, u(f"^{in_line(LINE_NUMBER).removesuffix('$')}{end}", "m"), "")
+    bare = F.regexp_replace(kept, u(f"^{in_line(NUMBER_PREFIX)}", "m"), "")
+    header = f"(?i:{in_line(HEADER)})[^\\n]*|{in_line(HEADER_ID).removesuffix('$')}{BLANKS}*"
+    return strip(F.regexp_replace(bare, u(f"^{BLANKS}*(?:{header})?{end}", "m"), ""))

@@ -6,50 +6,55 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
-from .text import all_found, found, lines, normalised, strip, u, window
+from .text import all_found, found, let, lines, normalised, strip, u, window
 
 
 def bill_id(text: Column, fallback: bool = True) -> Column:
     direct = found(text, P.BILL_ID, 0)
     if not fallback:
         return direct
-    whole = normalised(text)
-    number = F.coalesce(found(whole, P.DOCUMENT_NUMBER), found(whole, P.BARE_NUMBER))
-    return F.coalesce(direct, F.concat(found(whole, P.SESSION_ORDINAL), F.lit("-LD-"), F.lpad(number, 4, "0")))
+    # these patterns take any white space, so the text needn't be normalised
+    number = F.coalesce(found(text, P.DOCUMENT_NUMBER), found(text, P.BARE_NUMBER))
+    return F.coalesce(direct, F.concat(found(text, P.SESSION_ORDINAL), F.lit("-LD-"), F.lpad(number, 4, "0")))
 
 
 def title(text: Column) -> Column:
     """From "An Act", else "Resolve", to the end of the first line that holds either."""
-    hit = F.get(F.filter(F.transform(lines(text), strip), lambda x: x.contains("An Act") | x.contains("Resolve")), F.lit(0))
-    start = F.when(hit.contains("An Act"), F.instr(hit, "An Act")).otherwise(F.instr(hit, "Resolve"))
-    tail = strip(F.substr(hit, start))
-    return F.regexp_replace(F.regexp_replace(tail, '^"+|"+$', ""), "^'+|'+$", "")
+
+    def cut(line: Column) -> Column:
+        tail = strip(F.substr(line, F.when(line.contains("An Act"), F.instr(line, "An Act")).otherwise(F.instr(line, "Resolve"))))
+        return F.regexp_replace(F.regexp_replace(tail, '^"+|"+$', ""), "^'+|'+$", "")
+
+    return let(found(text, r"(?m)^[^\n]*?(?:An Act|Resolve)[^\n]*", 0), cut)
 
 
 def session(text: Column, fallback: bool = True) -> Column:
     direct = found(text, P.SESSION_ID)
     if not fallback:
         return direct
-    head = normalised(window(text, 2000))
+    head = window(text, 2000)
     return F.coalesce(direct, found(head, P.SESSION_ORDINAL), found(head, P.SESSION_STATE))
 
 
 def _date(x: Column, pattern: str) -> Column:
     """The date of the first match; null if there is none or it isn't in the calendar."""
-    year, month, day = found(x, pattern, 3), found(x, pattern, 1), found(x, pattern, 2)
-    return F.when(year != "0000", F.try_to_date(F.concat_ws(" ", year, F.substring(month, 1, 3), day), "yyyy MMM d"))
+    parts = F.regexp_replace(found(x, pattern, 0), u(f"(?s)^.*?{P.DATE}$"), "$3 $1 $2")
+    return let(F.split(parts, " "), lambda p: F.when(p[0] != "0000", F.try_to_date(F.concat_ws(" ", p[0], F.substring(p[1], 1, 3), p[2]), "yyyy MMM d")))
 
 
 def introduced_date(text: Column) -> Column:
-    head = normalised(window(text, 2500))
-    return F.coalesce(_date(head, P.DATE_IN_HOUSE), _date(head, P.DATE_IN_SENATE), _date(normalised(window(text, 800)), P.DATE))
+    near = _date(normalised(window(text, 800)), P.DATE)
+    return F.coalesce(let(normalised(window(text, 2500)), lambda head: F.coalesce(_date(head, P.DATE_IN_HOUSE), _date(head, P.DATE_IN_SENATE))), near)
 
 
 def committee(text: Column) -> Column:
-    head = normalised(window(text, 2500))
-    some = lambda x: F.nullif(strip(x), F.lit(""))
-    stopped = F.regexp_replace(strip(found(head, P.COMMITTEE_STOP)), u(P.COMMITTEE_TAIL, "i"), "")
-    return F.coalesce(some(found(head, P.COMMITTEE_ACTION)), F.nullif(stopped, F.lit("")), some(found(head, P.COMMITTEE_OTHER)))
+    some = lambda x: F.get(F.filter(F.array(x), lambda v: v != ""), F.lit(0))
+
+    def first(head: Column) -> Column:
+        stopped = F.regexp_replace(strip(found(head, P.COMMITTEE_STOP)), u(P.COMMITTEE_TAIL, "i"), "")
+        return F.coalesce(some(strip(found(head, P.COMMITTEE_ACTION))), some(stopped), some(strip(found(head, P.COMMITTEE_OTHER))))
+
+    return let(normalised(window(text, 2500)), first)
 
 
 def repair_hyphens(x: Column) -> Column:
@@ -64,11 +69,15 @@ def is_name(name: Column) -> Column:
 
 
 def sponsors(text: Column) -> Column:
-    head = repair_hyphens(normalised(window(text, 2500)))
-    block = normalised(F.coalesce(found(head, P.COSPONSORS), F.lit("")))
     # the end of a match is looked at, not taken, so that the next one may begin there
     alone = P.PRESENTED_ALONE.replace("(?:\\s+(?:Cosponsored", "(?=\\s+(?:Cosponsored")
-    names = F.concat(all_found(head, P.PRESENTED_OF), all_found(head, alone), all_found(block, P.COSPONSOR_OF), all_found(block, P.COSPONSOR_ALONE))
+
+    def named(head: Column) -> Column:
+        block = normalised(F.coalesce(found(head, P.COSPONSORS), F.lit("")))
+        others = let(block, lambda b: F.concat(all_found(b, P.COSPONSOR_OF), all_found(b, P.COSPONSOR_ALONE)))
+        return F.concat(all_found(head, P.PRESENTED_OF), all_found(head, alone), others)
+
+    names = let(repair_hyphens(normalised(window(text, 2500))), named)
     tidy = F.transform(F.filter(F.transform(names, strip), is_name), lambda x: strip(F.regexp_replace(x, u(r"\s*-\s*"), "-")))
     return F.array_distinct(tidy)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .text import u
 
 
 def _some(x: Column) -> Column:
@@ -28,7 +29,7 @@ def metadata_score(d: dict[str, Column]) -> Column:
 
 def cleanliness(body: Column) -> Column:
     """100 less a penalty for each trace of page furniture, at least 0."""
-    count = lambda p: F.regexp_count(body, F.lit(p)).cast("double")
+    count = lambda p: F.regexp_count(body, F.lit(u(p))).cast("double")
     penalty = count(P.STRAY_NUMBERS) * 0.5 + count(P.PAGE_HEADERS) * 2.0 + count(P.PAGE_NUMBERS) + count(P.DISCLAIMERS) * 2.0
     return F.greatest(F.lit(0.0), F.lit(100.0) - penalty)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,20 @@ def u(pattern: str, flags: str = "") -> str:
     return f"(?Ud{flags}){pattern}"
 
 
+def in_line(pattern: str) -> str:
+    """A pattern of a line as a part of a pattern of whole texts: no anchor at the start, and
+    white space that stays in the line."""
+    return pattern.replace("^", "").replace(r"\s", BLANKS)
+
+
+BLANKS = r"[^\S\n]"  # white space but the newline
+
+
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `x`, with `x` written into the plan and evaluated once."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(x, u(r"^\s+|\s+$"), "")
@@ -31,7 +47,7 @@ def lines(x: Column) -> Column:
 
 def found(x: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match, null without one."""
-    return F.nullif(F.regexp_extract(x, u(pattern), group), F.lit(""))
+    return F.get(F.filter(F.array(F.regexp_extract(x, u(pattern), group)), lambda m: m != ""), F.lit(0))
 
 
 def all_found(x: Column, pattern: str, group: int = 1) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning, extract, filenames
+from ..functions.text import let
 from ..schemas import BILL_DOCUMENT, BILL_RECORD
 
 Extractor = Callable[[Column], Column]
@@ -23,6 +24,7 @@ STANDARD: dict[str, Extractor] = {
     "amended_code_refs": extract.code_refs,
     "body_text": cleaning.clean_body,
 }
+SCORED = ("bill_id", "title", "session", "sponsors")  # fields that the confidence depends on
 VERSIONS: dict[str, dict[str, Extractor]] = {
     "standard": {},
     "direct_only": {"bill_id": lambda t: extract.bill_id(t, fallback=False), "session": lambda t: extract.session(t, fallback=False)},
@@ -39,17 +41,22 @@ def register_version(name: str, **extractors: Extractor) -> None:
     VERSIONS[name] = extractors
 
 
-def bill_documents(raw: DataFrame, text: str = "raw_text", version: str = "standard") -> DataFrame:
-    """`raw` with the columns of a bill document.
+def bill_documents(raw: DataFrame, text: str = "raw_text", version: str = "standard", fields: tuple[str, ...] | None = None) -> DataFrame:
+    """`raw` with the columns of a bill document, or with those of `fields` alone.
 
-    The text without its preamble is a projection of its own, so that each extractor starts
-    from the stripped text and the line search runs once.
+    The fields of a text come out of one generator, `inline` of an array with one struct.  The
+    optimizer moves no filter below it and puts no field's expression in the place of its name
+    above it, so each extractor stands once in the plan, whatever uses its field.
     """
     rules = STANDARD | VERSIONS[version]
-    raw = raw.withColumn("_bill", cleaning.without_preamble(F.col(text)))
-    d = raw.select("*", *[f(F.col("_bill")).alias(k) for k, f in rules.items()])
-    score = extract.checked_confidence(extract.confidence(F.col("bill_id"), F.col("title"), F.col("session"), F.col("sponsors")))
-    return d.withColumn("extraction_confidence", score).drop("_bill")
+    scored = fields is None or "extraction_confidence" in fields
+    wanted = [k for k in rules if fields is None or k in fields or scored and k in SCORED]
+    bill = cleaning.without_preamble(F.col(text))
+    found = let(bill, lambda t: F.struct(*[rules[k](t).alias(k) for k in wanted]))
+    d = raw.select("*", F.inline(F.array(found)))
+    if scored:
+        d = d.withColumn("extraction_confidence", extract.checked_confidence(extract.confidence(*map(F.col, SCORED))))
+    return d.drop(*[k for k in wanted if fields is not None and k not in fields])
 
 
 def only_documents(docs: DataFrame, *keys: str) -> DataFrame:

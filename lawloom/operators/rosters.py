@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 SMALL = 5_000  # names up to which the roster is an array in the plan
 
 
-def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "sponsors", name: str = "last_name") -> DataFrame:
-    """Keep the sponsors whose upper-case form is known, in order and as written.
+def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "sponsors", name: str = "last_name", key: str | None = None) -> DataFrame:
+    """Keep the sponsors whose upper-case form is known, in order and as written; null stays null.
 
     No roster leaves all; an empty one removes all.  A small roster (counted, never more than
-    SMALL names) is a literal of the plan; a larger one is joined.
+    SMALL names) is a literal of the plan; a larger one is joined, for which `key` names a
+    column that tells the rows of `docs` apart.
     """
     if known is None:
         return docs
@@ -20,10 +21,12 @@ def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "s
     if len(names) <= SMALL:
         listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
         return docs.withColumn(column, F.filter(column, lambda s: F.array_contains(listed, F.upper(s))))
-    own = docs.withColumn("_row", F.monotonically_increasing_id())
-    hits = own.select("_row", F.posexplode(column).alias("_pos", "_s")).join(known.select(F.col(name).alias("_known")).distinct(), F.upper("_s") == F.col("_known"), "left_semi")
-    kept = hits.groupBy("_row").agg(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_s"))), lambda x: x["_s"]).alias("_kept"))
-    return own.join(kept, "_row", "left").withColumn(column, F.coalesce("_kept", F.array().cast("array<string>"))).drop("_row", "_kept")
+    if key is None:
+        raise ValueError(f"a roster of more than {SMALL} names needs a key")
+    hits = docs.select(key, F.posexplode(column).alias("_pos", "_s")).join(known.select(F.col(name).alias("_known")).distinct(), F.upper("_s") == F.col("_known"), "left_semi")
+    kept = hits.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_s"))), lambda x: x["_s"]).alias("_kept"))
+    some = F.when(F.col(column).isNotNull(), F.coalesce("_kept", F.array().cast("array<string>")))
+    return docs.join(kept, key, "left").select(*[some.alias(c) if c == column else F.col(c) for c in docs.columns])
 
 
 def _plain(c: str):
@@ -50,13 +53,15 @@ def link_nearly(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFr
     k = most + 1
     size = F.greatest(F.floor(F.length("b") / k), F.lit(1)).cast("int")
     pieces = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.struct(i.alias("i"), F.when(i == most, F.substr("b", i * size + 1)).otherwise(F.substr("b", i * size + 1, size)).alias("p")))
-    r = right.select("legislator_id", "b", F.explode(pieces).alias("x")).select("legislator_id", "b", F.col("x.p").alias("p")).where("p <> ''")
+    # keys of both kinds go through one join, so that the names are worked out once
+    r = right.select("legislator_id", "b", F.explode(pieces).alias("x")).where("x.p <> ''").select("legislator_id", "b", F.concat(F.lit("piece "), F.col("x.p")).alias("p"))
     n = F.length("a")
     grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda s: F.transform(F.sequence(F.lit(1), n - s + 1), lambda m: F.substr("a", s, m)))))
-    pairs = left.where("a <> ''").select("sponsor", "a", F.explode(grams).alias("p")).join(r, "p").select("sponsor", "a", "legislator_id", "b")
-    few = right.where(F.length("b").between(1, most)).select("legislator_id", "b", F.explode(F.sequence(F.lit(1), F.length("b") + most)).alias("n"))
-    short = left.where("a <> ''").withColumn("n", F.length("a")).join(few, "n").select("sponsor", "a", "legislator_id", "b")
-    near = pairs.union(short).distinct().withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
+    short = right.where(F.length("b").between(1, most)).select("legislator_id", "b", F.explode(F.sequence(F.lit(1), F.length("b") + most)).alias("n"))
+    r = r.union(short.select("legislator_id", "b", F.concat(F.lit("length "), F.col("n")).alias("p")))
+    keys = F.concat(F.transform(grams, lambda g: F.concat(F.lit("piece "), g)), F.array(F.concat(F.lit("length "), n)))
+    pairs = left.where("a <> ''").select("sponsor", "a", F.explode(keys).alias("p")).join(r, "p").select("sponsor", "a", "legislator_id", "b")
+    near = pairs.distinct().withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
     best = near.groupBy("sponsor").agg(F.min(F.struct("distance", "legislator_id")).alias("m"))
     return best.select("sponsor", F.col("m.legislator_id").alias("legislator_id"), F.col("m.distance").alias("distance"))
 

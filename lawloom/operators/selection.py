@@ -30,9 +30,9 @@ def base_bills(df: DataFrame, column: str = "filename") -> DataFrame:
 
 
 def sample(df: DataFrame, n: int, order: str, first: int | None = 100, seed: int = 0) -> DataFrame:
-    """n rows, drawn by a hash of `order` and the seed, of the first `first` by `order`."""
+    """n rows, drawn by a digest of the seed and `order`, of the first `first` by `order`."""
     head = df.orderBy(order).limit(first) if first else df
-    return head.orderBy(F.xxhash64(F.col(order), F.lit(seed)), order).limit(n)
+    return head.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string")).cast("binary")), order).limit(n)
 
 
 def previews(df: DataFrame, column: str) -> DataFrame:

@@ -16,9 +16,10 @@ from ..functions import cleaning, extract, filenames, scores
 from ..functions import patterns as P
 from ..functions.text import joined, normalised
 from ..operators import quality, rosters, selection
-from ..operators.documents import bill_documents, bill_records
+from ..operators.documents import bill_documents, bill_records, quarantined
 from ..publish import config_lines, session_numbers
 from ..reports import field_changes
+from ..sources import readers
 from ..sources.listing import hrefs, listed_files, listed_sessions
 from ..sources.sinks import document_json
 from .bills_view import FOR_DUCKDB, bills
@@ -106,8 +107,8 @@ def stripped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bills(spark, sf_dir).select("doc_id", "filename", "raw_text", cleaning.without_preamble(F.col("raw_text")).alias("t"))
 
 
-def documents(spark: SparkSession, sf_dir: str, version: str = "standard") -> DataFrame:
-    return bill_documents(bills(spark, sf_dir), version=version)
+def documents(spark: SparkSession, sf_dir: str, version: str = "standard", fields: tuple[str, ...] | None = None) -> DataFrame:
+    return bill_documents(bills(spark, sf_dir), version=version, fields=fields)
 
 
 # ------------------------------------------------------------ file names
@@ -240,7 +241,7 @@ def code_refs(spark, sf_dir):
 
 @query(FULL + "select doc_id, extraction_confidence from scored")
 def confidence(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", "extraction_confidence")
+    return documents(spark, sf_dir, fields=("extraction_confidence",)).select("doc_id", "extraction_confidence")
 
 
 _DOC_COLUMNS = "doc_id, bill_id, title, session, body_text, extraction_confidence, array_to_string(sponsors, '|') as sponsors, introduced_date, committee, array_to_string(amended_code_refs, '|') as amended_code_refs"
@@ -275,13 +276,21 @@ def roster(spark: SparkSession) -> DataFrame:
 
 @query(FULL + f"select doc_id, array_to_string(list_filter(sponsors, lambda s: list_contains([{', '.join(q(n) for _, n in ROSTER)}], upper(s))), '|') as sponsors from docs")
 def validate_sponsors(spark, sf_dir):
-    d = documents(spark, sf_dir).select("doc_id", "sponsors")
+    d = documents(spark, sf_dir, fields=("sponsors",)).select("doc_id", "sponsors")
     return rosters.validate_sponsors(d, roster(spark)).select("doc_id", joined(F.col("sponsors")).alias("sponsors"))
 
 
+@query(ORACLES["validate_sponsors"])
+def validate_sponsors_large(spark, sf_dir):
+    """The same names in a roster that is joined."""
+    more = spark.range(rosters.SMALL + 1).select(F.col("id").alias("legislator_id"), F.concat(F.lit("NAME "), F.col("id")).alias("last_name"))
+    d = documents(spark, sf_dir, fields=("sponsors",)).select("doc_id", "sponsors")
+    return rosters.validate_sponsors(d, roster(spark).union(more), key="doc_id").select("doc_id", joined(F.col("sponsors")).alias("sponsors"))
+
+
 @query(FULL + "select doc_id, array_to_string(sponsors, '|') as sponsors from docs")
 def validate_sponsors_noop(spark, sf_dir):
-    d = documents(spark, sf_dir).select("doc_id", "sponsors")
+    d = documents(spark, sf_dir, fields=("sponsors",)).select("doc_id", "sponsors")
     return rosters.validate_sponsors(d, None).select("doc_id", joined(F.col("sponsors")).alias("sponsors"))
 
 
@@ -291,7 +300,7 @@ _LINKS = f""", {ROSTER_}, s as (select distinct unnest(sponsors) as sponsor from
 
 
 def _sponsor_names(spark, sf_dir):
-    return quality.distinct_sponsors(documents(spark, sf_dir)).select("sponsor")
+    return quality.distinct_sponsors(documents(spark, sf_dir, fields=("sponsors",))).select("sponsor")
 
 
 @query(FULL + _LINKS + f" select sponsor, legislator_id, coalesce(n_matches, 0) as n_matches, coalesce(n_matches > 1, false) as ambiguous from s left join r on {_PLAIN_.format('sponsor')} = plain")
@@ -317,7 +326,7 @@ def match_rate(spark, sf_dir):
 
 @query(FULL + f"select distinct sponsor, list_has_any(string_split(sponsor, ' '), {NOT_NAMES_}) as suspicious from (select unnest(sponsors) as sponsor from docs)")
 def distinct_sponsors(spark, sf_dir):
-    return quality.distinct_sponsors(documents(spark, sf_dir))
+    return quality.distinct_sponsors(documents(spark, sf_dir, fields=("sponsors",)))
 
 
 # ------------------------------------------------------------ listings and cards
@@ -484,20 +493,56 @@ def citizen_initiatives(spark, sf_dir):
     return stripped(spark, sf_dir).select("doc_id", extract.is_citizen_initiative(F.col("t")).alias("citizen_initiative"))
 
 
-# ------------------------------------------------------------ without SQL: rows only
+@query(HEAD + "select doc_id, round(least(1::double, least(1::double, length(t) / 5000::double) + (case when contains(t, 'AMENDMENT') then 0.05 else 0 end + case when contains(t, 'SECTION') then 0.05 else 0 end + case when contains(t, 'enacted') then 0.05 else 0 end)::double + (case when " + TITLE_ + " is not null then 0.05 else 0 end)::double), 9) as early_confidence from heads")
+def early_confidence(spark, sf_dir):
+    d = stripped(spark, sf_dir)
+    return d.select("doc_id", F.round(extract.early_confidence(F.col("t"), extract.title(F.col("t"))), 9).alias("early_confidence"))
+
+
+_LOG = "concat('tests/test_', cast(doc_id as varchar(20)), case doc_id % 3 when 0 then ' PASSED' when 1 then ' FAILED and again FAILED' else ' skipped' end)"
+
 
+@query(f"select sum(len(regexp_extract_all(line, 'PASSED'))) as n_passed, sum(len(regexp_extract_all(line, 'FAILED'))) as n_failed from (select {_LOG} as line from documents)")
+def test_tokens(spark, sf_dir):
+    return quality.test_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.expr(_LOG).alias("line")))
 
-@query()
+
+@query(
+    """with d as (select doc_id, text, strlen(text) % 7 = 0 as bad from documents where text is not null)
+select doc_id, case when bad then 'ValueError: broken file' end as error, case when not bad then md5(text || chr(10)) end as pages_md5, case when not bad then md5(text) end as lines_md5 from d"""
+)
+def decoded_pages(spark, sf_dir):
+    def pages_or_error(content: bytes) -> list[str]:
+        if len(content) % 7 == 0:
+            raise ValueError("broken file")
+        return content.decode().split("\n")
+
+    files = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("content"))
+    d = readers.decoded(files, pages_or_error)
+    good, bad = quarantined(d)
+    text = lambda f: F.md5(f(F.col("pages")).cast("binary"))
+    none = F.lit(None).cast("string")
+    rows = good.select("doc_id", "error", text(readers.text_of_pages).alias("pages_md5"), text(readers.text_of_page_lines).alias("lines_md5"))
+    return rows.union(bad.select("doc_id", "error", none, none))
+
+
+@query(FULL + "select doc_id, cast(json_object('bill_id', bill_id, 'title', title, 'session', session, 'extraction_confidence', extraction_confidence, 'sponsors', sponsors, 'introduced_date', introduced_date, 'committee', committee, 'amended_code_refs', amended_code_refs) as varchar) as json from scored")
 def document_json_rows(spark, sf_dir):
     d = documents(spark, sf_dir)
     return d.select("doc_id", document_json(d, "bill_id", "title", "session", "extraction_confidence", "sponsors", "introduced_date", "committee", "amended_code_refs").alias("json"))
 
 
-@query()
+@query(PLAIN + "select doc_id, filename from (select doc_id, filename from bills order by doc_id limit 100) order by md5('0:' || doc_id), doc_id limit 20")
 def sample_bills(spark, sf_dir):
     return selection.sample(bills(spark, sf_dir).select("doc_id", "filename"), 20, "doc_id")
 
 
-@query()
+@query(
+    HEAD
+    + f""", l as (select doc_id, {TITLE_} as head, list_filter(list_transform(string_split(t, chr(10)), lambda x: {strip_('x')}), lambda x: not regexp_matches(x, '^[0-9]+$')) as ls from heads),
+  r as (select doc_id, head, ls[list_position(list_transform(ls, lambda x: contains(x, 'An Act') or contains(x, 'Resolve')), true) + 1:] as rest from l),
+  k as (select *, list_position(list_transform(rest, lambda x: not regexp_matches(x, '^[a-z(–-]') or regexp_matches(x, '^(Reference to|Presented by|Cosponsored)')), true) as stop from r)
+  select doc_id, case when head is not null then array_to_string(list_concat([head], case when stop > 0 then rest[1:stop - 1] else rest end), ' ') end as title from k"""
+)
 def long_titles(spark, sf_dir):
     return documents(spark, sf_dir, "long_titles").select("doc_id", "title")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import shutil
+import tempfile
 from pathlib import Path
 from typing import Protocol
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .schemas import BILL_RECORD
+from .sources.sinks import write_session_files
 
 log = logging.getLogger(__name__)
 
@@ -51,13 +53,15 @@ class LocalPublisher:
 
 def publish_session(records: DataFrame, session: int, publisher: Publisher, work: str | Path) -> int:
     """Write one session's records, upload its files, and return the number of rows."""
-    place = Path(work) / str(session)
-    rows = records.where(F.col("session") == session)
-    rows.write.mode("overwrite").parquet(str(place))
-    n = records.sparkSession.read.parquet(str(place)).count()
-    files = sorted(place.glob("part-*.parquet"))
-    for k, f in enumerate(files):
-        publisher.upload(f, f"data/{session}/train-{k:05d}-of-{len(files):05d}.parquet", f"Update session {session}: {n} records")
+    spark = records.sparkSession
+    files = write_session_files(records, session, str(work))
+    n = spark.read.parquet(f"{work}/{session}").count()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    with tempfile.TemporaryDirectory() as here:  # one file at a time passes through the driver
+        for f in files:
+            local, name = Path(here) / "part.parquet", f.rpartition("/")[2]
+            path(f).getFileSystem(spark._jsc.hadoopConfiguration()).copyToLocalFile(path(f), path(local.as_uri()))
+            publisher.upload(local, f"data/{session}/{name}", f"Update session {session}: {n} records")
     return n
 
 

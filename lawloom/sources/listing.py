@@ -1,4 +1,8 @@
-"""Directory listings: parsing landed pages, and fetching them with a Python data source."""
+"""Directory listings: parsing landed pages, and fetching them with a Python data source.
+
+Anchors are found by a pattern: quoted targets alone, character references left as they are,
+and anchors within comments counted.  Listings of web servers have no others.
+"""
 
 from __future__ import annotations
 
@@ -31,6 +35,11 @@ def listed_sessions(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.where(F.col("session").rlike(r"^\d+$")).distinct().orderBy(F.desc("session"))
 
 
+def timed_out(e: Exception) -> bool:
+    """A read that timed out, or a connection that did, which urllib wraps."""
+    return isinstance(e, TimeoutError) or isinstance(getattr(e, "reason", None), TimeoutError)
+
+
 def fetched(url: str, timeout: float = 10.0, attempts: int = 3, least: float = 2.0, most: float = 30.0, get=None, sleep=time.sleep) -> bytes:
     """GET with retries on timeouts alone, waiting 2 to 30 seconds, longer each time; an HTTP
     error is raised at once, unlike with Spark's own task retries."""
@@ -40,8 +49,8 @@ def fetched(url: str, timeout: float = 10.0, attempts: int = 3, least: float = 2
     for k in range(attempts):
         try:
             return get(url)
-        except TimeoutError:
-            if k + 1 == attempts:
+        except OSError as e:
+            if not timed_out(e) or k + 1 == attempts:
                 raise
             sleep(min(most, max(least, 2.0**k)))
     raise ValueError("attempts must be positive")

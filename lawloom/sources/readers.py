@@ -37,6 +37,16 @@ def decoded(files: DataFrame, decoder: Decoder) -> DataFrame:
     return d.select(*files.columns, F.col("_d.pages").alias("pages"), F.col("_d.error").alias("error"))
 
 
+def pdf_pages(content: bytes) -> list[str]:
+    """The text of each page of a PDF; needs a PDF library on the executors."""
+    try:
+        import fitz
+    except ImportError as e:
+        raise RuntimeError("no PDF library is installed; name another decoder") from e
+    with fitz.open(stream=content, filetype="pdf") as pdf:
+        return [page.get_text() for page in pdf]
+
+
 def text_of_pages(pages: Column) -> Column:
     """Pages joined by line ends, and one at the end."""
     return F.concat(F.array_join(pages, "\n"), F.lit("\n"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BILL_RECORD
@@ -36,4 +39,52 @@ def write_json(docs: DataFrame, path: str) -> None:
 
 
 def write_texts(docs: DataFrame, path: str, column: str = "body_text") -> None:
+    """Many texts to a file, as Spark writes text."""
     docs.select(column).write.mode("overwrite").text(path)
+
+
+def write_files(docs: DataFrame, root: str, name: Column, content: Column) -> int:
+    """A file of its own for each row, root/<name> with `content` as UTF-8, by the tasks that
+    hold the rows; folders are made, files replaced.  Returns the number of files.
+
+    `root` is a URI or path that the executors share and pyarrow can open.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, top = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                store.create_dir(f"{top}/{name}".rpartition("/")[0], recursive=True)
+                with store.open_output_stream(f"{top}/{name}") as out:
+                    out.write((text or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows = docs.select(name.cast("string").alias("name"), content.cast("string").alias("content")).where("name IS NOT NULL")
+    return rows.mapInArrow(emit, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def write_result(result: DataFrame, root: str, name: str) -> int:
+    """A result of one row (rates, a gate, counts of tests) as root/<name>.json."""
+    return write_files(result.limit(1), root, F.lit(f"{name}.json"), document_json(result, *result.columns))
+
+
+def write_session_files(records: DataFrame, session: int, root: str, rows_per_file: int = 1_000_000) -> list[str]:
+    """One session's records, `session` among the columns, as root/<session>/train-<k>-of-<n>.parquet."""
+    place = f"{root}/{session}"
+    rows = records.where(F.col("session") == session)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(place)
+    return named_parts(records.sparkSession, place)
+
+
+def named_parts(spark: SparkSession, place: str) -> list[str]:
+    """Rename the part files of a written folder in order, through Hadoop's file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    top = path(place)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(x.getPath().getName() for x in store.listStatus(top) if x.getPath().getName().startswith("part-"))
+    names = [f"train-{k:05d}-of-{len(parts):05d}.parquet" for k in range(len(parts))]
+    for a, b in zip(parts, names, strict=True):
+        store.rename(path(top, a), path(top, b))
+    return [f"{place}/{b}" for b in names]

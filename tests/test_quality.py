@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from lawloom.functions import scores
 from lawloom.operators import quality, rosters
-from lawloom.reports import comparison_markdown, field_changes, summary_markdown
+from lawloom.plans.catalogue import QUERIES
+from lawloom.reports import comparison_markdown, field_changes, results_markdown, summary_markdown
 
 
 @pytest.mark.parametrize(
@@ -24,6 +25,7 @@ def test_verdicts(spark, deltas, accepted, reason):
 def test_cleanliness(spark):
     text = "  42  \nSTATE OF MAINE\nPage 5\nReproduced from\nLAW AND LEGISLATIVE\nfine"
     assert spark.range(1).select(scores.cleanliness(F.lit(text))).first()[0] == 100 - 0.5 - 2 - 1 - 4
+    assert spark.range(1).select(scores.cleanliness(F.lit("12\rabc\x85\u20287"))).first()[0] == 100.0  # only \n ends a line
     assert spark.range(1).select(scores.cleanliness(F.lit("MAINE LEGISLATURE " * 80))).first()[0] == 0.0
 
 
@@ -41,15 +43,17 @@ def test_rates_and_gate(spark):
 
 
 def test_roster(spark):
-    df = spark.createDataFrame([(1, ["SMITH", "Town", "University"]), (2, ["Smith", "TALBOT-ROSS"]), (3, [])], "id int, sponsors array<string>")
+    df = spark.createDataFrame([(1, ["SMITH", "Town", "University"]), (2, ["Smith", "TALBOT-ROSS"]), (3, []), (4, None)], "id int, sponsors array<string>")
     known = spark.createDataFrame([("SMITH",), ("TALBOT-ROSS",)], "last_name string")
-    want = {1: ["SMITH"], 2: ["Smith", "TALBOT-ROSS"], 3: []}
+    want = {1: ["SMITH"], 2: ["Smith", "TALBOT-ROSS"], 3: [], 4: None}
     assert dict(map(tuple, rosters.validate_sponsors(df, known).collect())) == want
     assert rosters.validate_sponsors(df, None).collect() == df.collect()
-    assert all(r[1] == [] for r in rosters.validate_sponsors(df, known.limit(0)).collect())
+    assert all(r[1] == [] for r in rosters.validate_sponsors(df.where("id < 4"), known.limit(0)).collect())
     small, rosters.SMALL = rosters.SMALL, 1
     try:
-        assert dict(map(tuple, rosters.validate_sponsors(df, known).select("id", "sponsors").collect())) == want
+        assert dict(map(tuple, rosters.validate_sponsors(df, known, key="id").collect())) == want
+        with pytest.raises(ValueError, match="key"):
+            rosters.validate_sponsors(df, known)
     finally:
         rosters.SMALL = small
 
@@ -82,6 +86,22 @@ def test_changes(spark):
     assert "**ACCEPTED**: +1 metadata fields" in comparison_markdown(rows, verdict, "id", 1)
 
 
+def test_result_report(spark):
+    row = lambda **x: spark.createDataFrame([tuple(x.values())], ", ".join(f"{k} {'boolean' if isinstance(v, bool) else 'int' if isinstance(v, int) else 'double' if isinstance(v, float) else 'string'}" for k, v in x.items())).first()
+    a, b = row(metadata_score=3, cleanliness_score=90.0, extraction_confidence=0.7), row(metadata_score=5, cleanliness_score=97.5, extraction_confidence=0.9)
+    text = results_markdown(a, b, row(accepted=True, reasoning="+2 metadata fields", metadata_delta=2, cleanliness_delta=7.5, confidence_delta=0.2))
+    assert "**ACCEPTED**: +2 metadata fields" in text and "- metadata: +2 fields" in text and "cleanliness improved by 7.5 points" in text
+    assert "REJECTED" in results_markdown(b, a, row(accepted=False, reasoning="lost", metadata_delta=-2, cleanliness_delta=-7.5, confidence_delta=-0.2))
+
+
+def test_each_extractor_stands_once(spark, sf_dir):
+    """Whatever uses a field, its patterns are in the plan once, so they are evaluated once."""
+    for name in ("link_fuzzy", "link_exact", "quality_by_session", "bill_record", "bill_document"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Cosponsored by\\s+(") <= (2 if name == "link_fuzzy" else 1), name
+        assert plan.count("Reference to the Committee on\\s+([A-Za-z\\s&,]+?)\\s") <= 1, name
+
+
 def test_link_nearly_short_roster_names(spark):
     r = spark.createDataFrame([(1, "Li"), (2, "B"), (3, "Johnson")], "legislator_id int, last_name string")
     s = spark.createDataFrame([("OX",), ("XYZ",), ("LIAM",), ("WXYZQ",)], "sponsor string")
