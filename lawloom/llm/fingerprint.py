@@ -22,17 +22,17 @@ rows without a doc_id are left out; extra columns are ignored.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions_of
+from .common import checkpointed, id_and_text, partitions_of
 
 DRAWS = 64
 AT_ONCE = 4  # draws computed in one row; the generated code of more is too long to be compiled
 BUCKET_DOCS = 256  # documents of a bucket, on average
+CROWDED = 4  # times that many documents make a bucket worth cutting again
+LEVELS = 5
 MAX_BROADCAST = 100_000  # rows of the list of bucket heads that is broadcast; more are joined
 CELLS = 1024  # cells of the quantile tables
 
@@ -100,11 +100,27 @@ def hex_of(a: Column) -> Column:
 
 def bucketed(docs: DataFrame, bucket_docs: int) -> DataFrame:
     """Rows with `bucket` and `own`, dealt by bucket: buckets of adjacent ids, each with a
-    copy (own: false) of the document after its last one in descending order of ids."""
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = max(1, ((high or 0) - (low or 0) + 1) * bucket_docs // max(n, 1))
-    docs = docs.withColumn("bucket", F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(Decimal(low or 0))) / F.lit(Decimal(width))).cast("long"))
-    heads = docs.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).withColumn("region", F.floor(F.col("bucket") / 512))
+    copy (own: false) of the document after its last one in descending order of ids.
+
+    A bucket is a part of equal width of the range of ids.  One that holds too many documents,
+    as where some ids lie far from the others, is cut again by the range of its own ids.
+    """
+    docs, n, finer = docs.withColumn("bucket", F.lit(0).cast("long")), 0, 1
+    for level in range(LEVELS):
+        cells = docs.groupBy("bucket").agg(F.min("doc_id").cast("decimal(20,0)").alias("low"), F.max("doc_id").cast("decimal(20,0)").alias("high"), F.count("*").alias("n"))
+        cells = checkpointed(cells.where(F.col("high") > F.col("low")).where(F.col("n") > CROWDED * bucket_docs if level else F.lit(True)))
+        many, most = cells.agg(F.count("*"), F.max("n")).first()
+        n = n or most or 0
+        parts = (most or 0) // bucket_docs + 1
+        if not many or finer * parts >= 2**62 // max(n, 1):
+            break
+        width = F.greatest(F.ceil((F.col("high") - F.col("low") + 1) / (F.floor(F.col("n") / bucket_docs) + 1)), F.lit(1)).cast("decimal(20,0)")
+        cells = cells.select("bucket", "low", width.alias("width"))
+        inner = F.floor((F.col("doc_id").cast("decimal(20,0)") - F.col("low")) / F.col("width")).cast("long")
+        docs = docs.join(F.broadcast(cells) if many <= MAX_BROADCAST else cells, "bucket", "left")
+        docs = docs.withColumn("bucket", F.col("bucket") * F.lit(parts) + F.coalesce(inner, F.lit(0))).drop("low", "width")
+        finer = finer * parts if level else 1
+    heads = docs.groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).withColumn("region", F.floor(F.col("bucket") / F.lit(512 * finer)))
     # the next bucket above that isn't empty; beyond the highest comes the lowest
     regions = heads.groupBy("region").agg(F.min("bucket").alias("lowest"))
     above = regions.select("region", F.lead("lowest").over(Window.orderBy("region")).alias("above"), F.min("lowest").over(Window.partitionBy(F.lit(0))).alias("bottom"))

@@ -10,11 +10,12 @@ from inspect import signature
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lawloom.llm import doubling, fingerprint, langid, lines, mixing, ngram_join, pieces, pii, quality, queries, suffix
-from lawloom.llm.common import components
+from lawloom.llm.common import chunks, components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -194,6 +195,15 @@ def test_op4_held_out_accuracy(spark, sf_dir, docs):
     assert n > 20 and right / n > 0.97
 
 
+def test_op4_many_tiny_texts(spark):
+    """Memory follows a bounded number of rows, not those of an Arrow batch."""
+    rows = spark.range(100_000).select("id", F.when(F.col("id") % 2 == 0, "the cat").otherwise("le chat").alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("lang"))
+    got = langid.identify(rows.withColumnRenamed("id", "doc_id").coalesce(2)).groupBy("lang_pred").count().collect()
+    assert {r[0]: r[1] for r in got} == {"en": 50_000, "fr": 50_000}
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": ["ab"] * 5000})
+    assert max(len(c) for c in chunks(batch, rows=langid.CHUNK_ROWS)) == langid.CHUNK_ROWS
+
+
 def test_op4_without_letters_or_labels(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat sat", "en"), ("le chat noir", "fr"), ("1234 !!", "en"), (None, "en"), ("", None)])]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
@@ -244,8 +254,11 @@ def test_op2_heavy_words(spark):
 
 
 def test_op2_ids_far_apart(spark):
-    ids = [-(2**62), -5, 0, 3, 10**9, 2**62]
+    ids = [-(2**62), -5, *range(3000), 10**9, *range(2**40, 2**40 + 500), 2**62]
     rows = [(i, f"text of {i} é") for i in ids]
+    dealt = fingerprint.bucketed(spark.createDataFrame(rows, "doc_id long, text string"), 64)
+    sizes = [r["count"] for r in dealt.where("own").groupBy("bucket").count().collect()]
+    assert sum(sizes) == len(ids) and max(sizes) <= 64 * fingerprint.CROWDED
     got = {r.doc_id: r for r in fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     down = sorted(rows, reverse=True)
     for (i, t), (_, after) in zip(down, down[1:] + down[:1], strict=True):
