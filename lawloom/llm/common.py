@@ -57,6 +57,16 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of `materialised` tables that no later plan reads."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
+            if "/tables/" in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def partitions_of(df: DataFrame) -> int:
     """Shuffle partitions set for the session, used where an operator deals out rows itself."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, checkpointed, chunks, components, id_and_text, mapped, materialised, mix, prefix, ragged, span, to_long, words_of
+from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_text, mapped, materialised, mix, prefix, ragged, span, to_long, words_of
 
 SHINGLE, PERCENT = 4, 85
 MAX_BITS = 1 << 18
@@ -212,8 +212,10 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     # a set is in the tiles of its own band and of the one below
     held = materialised(held.select("doc_id", "token", "comp", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
     for r in range(star_rounds + 1):
+        before = held
         size = held.groupBy("token", "tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
         held = materialised(held.join(size.select("token", "tile", "low", "size"), ["token", "tile"]))
+        discard(before)
         ahead = held.agg(F.sum("size"), F.countDistinct("doc_id")).first()
         if r == star_rounds or (ahead[0] or 0) <= MANY * max(ahead[1], 1):
             break
@@ -239,6 +241,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     rest = a.join(b, meet & fits & ahead).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
+    discard(held, rest, tried, reps)  # what follows reads the profiles and the links alone
 
     comp = components(links)
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("whole", "n", F.coalesce("component", "rep").alias("component_id"))
