@@ -7,6 +7,15 @@
 5. pieces    - the texts become SentencePiece ids
 
 All but the last stage return the columns of `documents`; n_chars follows the text.
+
+Defined results: rows without a doc_id go in the first stage, and so do null and empty texts
+and those without a letter, of which no language is known; an empty table gives an empty one.
+Repeated rows and equal doc_ids stay as long as their texts do: line dedup keeps a line in
+every row of the largest doc_id that holds it, and of near-duplicate documents each row of the
+least doc_id stays.  Ties have fixed winners (the first language by name, the largest doc_id
+of a line, the least of a group, the leftmost merge).  Very long texts are read whole in every
+stage.  Columns other than those of `documents` are dropped, so none can clash; a null source
+or language is a value of its own when mixing.
 """
 
 from __future__ import annotations
@@ -17,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom.llm import langid, lines, mixing, ngram_join, pieces
-from lawloom.llm.common import table
+from lawloom.llm.common import discard, materialised, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -57,7 +66,13 @@ ORACLE_SQL: str | None = None  # learned, iterative and sampled stages have no S
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; each stage's result is written once to the shared folder, so
+    that no stage is computed again for the next ones, and deleted when the next one is written."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        before, docs = docs, stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = materialised(docs)
+            if k:
+                discard(before)
     return docs
