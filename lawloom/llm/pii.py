@@ -15,7 +15,9 @@ find the same leftmost, non-overlapping matches as the plain forms given beside
 
 Defined results: a null or empty text has no spans; spans of different kinds may overlap,
 those of a kind don't; without candidates or without votes there are no spans beyond the
-base kinds; rows without a doc_id are kept; extra columns are ignored.
+base kinds; spans that begin at one place are listed in the order of the kinds; very long
+texts are scanned whole; rows without a doc_id are kept, repeated rows are all returned; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialised
+from .common import discard, materialised
 
 # The base patterns and, in comments, their plain forms.
 PATTERNS = {
@@ -193,6 +195,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     d = base_spans(docs).select("*", candidates(F.col("text")).alias("found"))
     held = materialised(d.where(F.size("found") > 0).select("doc_id", F.explode("found").alias("c")))
     model = train(held)
+    discard(held)
     none = F.array().cast("array<struct<start:int,end:int,m:string>>")
     secret = none if model is None else F.transform(F.filter("found", lambda c: is_secret(c, model)), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["m"].alias("m")))
     d = d.select("doc_id", "text", *PATTERNS, secret.alias("secret"))
