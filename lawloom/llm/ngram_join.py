@@ -16,12 +16,19 @@ size band.
 3. Every candidate is decided by intersecting the two exact sorted arrays.
 
 The list of frequent n-grams comes from a bounded sample and has a bounded length; it only
-fixes the order and can't change the result.
+fixes the order and can't change the result.  Where the sample has missed some, so that tiles
+of over CROWDED sets are contested, their n-grams (counted exactly) join the list, and the
+prefixes are taken anew: sets that share a passage, but little else, then meet no more.  Tiles
+that stay crowded after three such rounds, of sets that hardly have other n-grams, are still
+starred and paired whole.
+
+Equality of sets and n-grams is that of 64-bit hashes.
 
 Defined results: words are compared with A-Z lower-cased; fewer than four words make one
 shingle of them all; a null text or one without words has no shingles and no links; rows of
-equal doc_id share their component; rows without a doc_id are left out; extra columns are
-ignored.
+equal doc_id share their component (of different texts under one doc_id only one is held
+against others); the least doc_id names a component; repeated rows and very long texts need no
+care; rows without a doc_id are left out; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,6 +47,8 @@ MAX_BITS = 1 << 18
 FIRST = 3  # prefix n-grams of the first star step
 SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 5_000, 10, 50_000
 MAX_BROADCAST = 500_000  # pairs whose ids are broadcast
+CROWDED = 2_000  # sets of several components that have an n-gram in their prefixes, beyond which it is put last
+ORDER_ROUNDS = 3
 MANY = 50  # pairs a class in contested tiles, beyond which another star step comes first
 
 
@@ -189,10 +198,11 @@ def room(a: str, b: str, percent: int) -> Column:
 def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, star_rounds: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of `docs`."""
     docs = id_and_text(docs)
-    seen = materialised(profile(docs, width, percent, frequent_shingles(docs, width)))
+    frequent = frequent_shingles(docs, width)
+    seen = materialised(profile(docs, width, percent, frequent))
     some = seen.where("n > 0")
     classes = some.groupBy("whole", "n").agg(F.min("doc_id").alias("rep"))
-    reps = materialised(some.join(classes.withColumnRenamed("rep", "doc_id"), ["whole", "n", "doc_id"]).dropDuplicates(["doc_id"]).select("doc_id", "n", "tokens", "bits").withColumn("band", band("n", percent)))
+    reps = materialised(some.join(classes.withColumnRenamed("rep", "doc_id"), ["whole", "n", "doc_id"]).dropDuplicates(["doc_id"]).select("doc_id", "n", "whole", "tokens", "bits").withColumn("band", band("n", percent)))
 
     # 1. star step over the first tokens
     short = reps.select("doc_id", "band", F.explode(F.slice("tokens", 1, FIRST)).alias("token"))
@@ -203,12 +213,23 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
 
     # 2. contested tiles; they only become fewer as components merge
     comp = components(links).withColumnRenamed("node", "doc_id")
-    rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), "n", F.posexplode("tokens").alias("pos", "token"))
-    # shingles of the set from this one on in the fixed order: if it is the first that two sets
-    # share, they share no more than that
-    rows = rows.withColumn("left", F.col("n") - F.col("pos"))
-    lone = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    held = rows.join(lone, "token").select("doc_id", "token", "band", "comp", "left")
+    for r in range(ORDER_ROUNDS + 1):
+        rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), "n", F.posexplode("tokens").alias("pos", "token"))
+        # shingles of the set from this one on in the fixed order: if it is the first that two sets
+        # share, they share no more than that
+        rows = rows.withColumn("left", F.col("n") - F.col("pos"))
+        contested = materialised(rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("token", "size"))
+        # n-grams of crowded tiles are put last, and prefixes taken in the new order
+        crowded = contested.where(F.col("size") > CROWDED).orderBy(F.desc("size"), "token").limit(MAX_FREQUENT)
+        late = np.setdiff1d(np.array([x["token"] for x in crowded.collect()], np.int64).view(U), frequent) if r < ORDER_ROUNDS else np.zeros(0, U)
+        if not len(late):
+            break
+        frequent = np.concatenate([frequent, late])
+        again = profile(docs.join(reps.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi"), width, percent, frequent)
+        again = materialised(reps.select("doc_id", "whole", "n", "band").join(again.dropDuplicates(["doc_id", "whole", "n"]), ["doc_id", "whole", "n"]))
+        discard(reps, contested)
+        reps = again
+    held = rows.join(contested.select("token"), "token").select("doc_id", "token", "band", "comp", "left")
     # a set is in the tiles of its own band and of the one below
     held = materialised(held.select("doc_id", "token", "comp", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
     for r in range(star_rounds + 1):
@@ -241,7 +262,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     rest = a.join(b, meet & fits & ahead).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
-    discard(held, rest, tried, reps)  # what follows reads the profiles and the links alone
+    discard(held, rest, tried, reps, contested)  # what follows reads the profiles and the links alone
 
     comp = components(links)
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("whole", "n", F.coalesce("component", "rep").alias("component_id"))

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+import struct
+from collections import Counter, defaultdict
+
+import xxhash
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -114,3 +118,78 @@ def op9(docs: list[tuple[int, str | None]]) -> dict[int, tuple]:
         base = ",".join(f"{('email', 'ip', 'card', 'phone')[i]}:{a}:{b}" for a, i, b in sorted(x for f in found for x in f))
         out[doc] = (*map(len, found), sha(base.encode()))
     return out
+
+
+def topic(text: str) -> str:
+    has = lambda *parts: any(p in text for p in parts)
+    rules = [
+        ("secrets", has("password=", "password:", "token =", "secret=", "AKIA")),
+        ("licence", has("License", "Licence", "license", "licence", "Copyright", "All rights reserved")),
+        ("contact", has("@", " +")),
+        ("tabular", has(" | ")),
+        ("markup", has("##", "**", "$$", "%%", "&&", "</")),
+        ("shouting", has("!!")),
+        ("figures", bool(re.search("[0-9]{4}", text))),
+        ("long_form", len(text) > 8000),
+    ]
+    return next((name for name, ok in rules if ok), "prose")
+
+
+def op1(docs: list[tuple], alphas=(0.5, 0.7, 0.7), keep: float = 0.5, rounds: int = 200, tol: float = 1e-9, seed: int = 42) -> dict[int, tuple]:
+    """doc_id: (topic, tokens, probability, sampled) of (doc_id, text, lang, source)."""
+    cell = {i: (source, lang, topic(text or "")) for i, text, lang, source in docs}
+    size = {i: len(WORD.findall(text or "")) for i, text, _, _ in docs}
+    tokens = Counter()
+    for i, c in cell.items():
+        tokens[c] += size[i]
+    goals = []
+    for d, alpha in enumerate(alphas):
+        have = Counter()
+        for c, n in tokens.items():
+            have[c[d]] += n
+        up = {v: n**alpha if n else 0.0 for v, n in have.items()}
+        goals.append({v: x / sum(up.values()) for v, x in up.items()})
+    total = sum(tokens.values())
+    w = {c: n / total for c, n in tokens.items()}
+    for _ in range(rounds):
+        worst = 0.0
+        for d, goal in enumerate(goals):
+            have = Counter()
+            for c, x in w.items():
+                have[c[d]] += x
+            scale = {v: goal[v] / h if h > 0 else 1.0 for v, h in have.items()}
+            worst = max([worst, *(abs(x - 1) for x in scale.values())])
+            w = {c: x * scale[c[d]] for c, x in w.items()}
+        if worst < tol:
+            break
+    p = lambda k, c: 1.0 if not tokens[c] else min(1.0, k * w[c] / tokens[c])
+    low, high = 1e-3, 1e30
+    for _ in range(400):  # by bisection on a scale of logarithms
+        mid = math.sqrt(low * high)
+        low, high = (mid, high) if sum(p(mid, c) * n for c, n in tokens.items()) < keep * total else (low, mid)
+    out = {}
+    for i, c in cell.items():
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), xxhash.xxh64_intdigest(struct.pack("<q", i), 42))
+        out[i] = (c[2], size[i], p(high, c), (h >> 11) * 2.0**-53 < p(high, c))
+    return out
+
+
+def op4(text: str, model, buckets: int) -> list[float]:
+    """Mean weighted loss of each codeword, number by number."""
+    low = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()]
+    counts = Counter()
+    for a, b, c in zip(low, low[1:], low[2:]):
+        if (a, b) != (32, 32):
+            h = (a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32
+            h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+            counts[(h >> 20) % buckets] += 1
+    n = max(sum(counts.values()), 1)
+    out = []
+    for word in model.code:
+        loss = 0.0
+        for j, bit in enumerate(word):
+            margin = sum(k * model.weights[b, j] for b, k in counts.items()) / n
+            z = min(max(margin * model.scale[j], -30), 30)
+            loss += model.trust[j] * math.log1p(math.exp(-z * bit))
+        out.append(loss / sum(model.trust))
+    return out
