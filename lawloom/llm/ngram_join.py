@@ -19,7 +19,7 @@ The list of frequent n-grams comes from a bounded sample and has a bounded lengt
 fixes the order and can't change the result.  Where the sample has missed some, so that tiles
 of over CROWDED sets are contested, their n-grams (counted exactly) join the list, and the
 prefixes are taken anew: sets that share a passage, but little else, then meet no more.  Tiles
-that stay crowded after three such rounds, of sets that hardly have other n-grams, are still
+that stay crowded after two such rounds, of sets that hardly have other n-grams, are still
 starred and paired whole.
 
 Equality of sets and n-grams is that of 64-bit hashes.
@@ -45,10 +45,11 @@ from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_
 SHINGLE, PERCENT = 4, 85
 MAX_BITS = 1 << 18
 FIRST = 3  # prefix n-grams of the first star step
-SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 5_000, 10, 50_000
+SAMPLE_DOCS, FREQUENT, MAX_FREQUENT = 20_000, 10, 200_000
 MAX_BROADCAST = 500_000  # pairs whose ids are broadcast
 CROWDED = 2_000  # sets of several components that have an n-gram in their prefixes, beyond which it is put last
-ORDER_ROUNDS = 3
+MAX_CROWDED = 500_000  # n-grams put last in a round (four megabytes), those of most sets first
+ORDER_ROUNDS = 2
 MANY = 50  # pairs a class in contested tiles, beyond which another star step comes first
 
 
@@ -131,6 +132,20 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.array([r["token"] for r in top.collect()], np.int64).view(U)
 
 
+def holders(reps: DataFrame, some: np.ndarray) -> DataFrame:
+    """doc_id of the sets that have one of `some` in their prefixes."""
+    some = np.sort(some)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            hit = np.cumsum(np.append(0, among_sorted(lists.flatten().to_numpy(zero_copy_only=False).view(U), some)))
+            ends = np.cumsum(np.append(0, lists.value_lengths().to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(hit[ends[1:]] > hit[ends[:-1]]))], ["doc_id"])
+
+    return mapped(reps.select("doc_id", "tokens"), emit, "doc_id long")
+
+
 def band(n: str, percent: int) -> Column:
     """Sizes of linked sets lie in the same band or in adjacent ones."""
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(float(np.log(100 / percent)) * 1.000001)).cast("int")
@@ -208,8 +223,8 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     short = reps.select("doc_id", "band", F.explode(F.slice("tokens", 1, FIRST)).alias("token"))
     hubs = short.groupBy("token", "band").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).where("hub < top")
     pairs = short.join(hubs, ["token", "band"]).where("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    tried = materialised(with_room(pairs, reps, percent))
-    links = materialised(linked(tried, docs, width, percent))
+    tried = materialised(pairs)
+    links = materialised(linked(materialised(with_room(tried, reps, percent)), docs, width, percent))
 
     # 2. contested tiles; they only become fewer as components merge
     comp = components(links).withColumnRenamed("node", "doc_id")
@@ -220,15 +235,18 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
         rows = rows.withColumn("left", F.col("n") - F.col("pos"))
         contested = materialised(rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("token", "size"))
         # n-grams of crowded tiles are put last, and prefixes taken in the new order
-        crowded = contested.where(F.col("size") > CROWDED).orderBy(F.desc("size"), "token").limit(MAX_FREQUENT)
+        crowded = contested.where(F.col("size") > CROWDED).orderBy(F.desc("size"), "token").limit(MAX_CROWDED)
         late = np.setdiff1d(np.array([x["token"] for x in crowded.collect()], np.int64).view(U), frequent) if r < ORDER_ROUNDS else np.zeros(0, U)
         if not len(late):
             break
         frequent = np.concatenate([frequent, late])
-        again = profile(docs.join(reps.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi"), width, percent, frequent)
-        again = materialised(reps.select("doc_id", "whole", "n", "band").join(again.dropDuplicates(["doc_id", "whole", "n"]), ["doc_id", "whole", "n"]))
-        discard(reps, contested)
-        reps = again
+        # the other prefixes hold none of these, and so are the same in the new order
+        moved = materialised(holders(reps, late))
+        moved_ = F.broadcast(moved) if moved.count() <= MAX_BROADCAST else moved.hint("shuffle_hash")
+        again = profile(docs.join(moved_, "doc_id", "left_semi"), width, percent, frequent).dropDuplicates(["doc_id", "whole", "n"])
+        again = reps.select("doc_id", "whole", "n", "band").join(again, ["doc_id", "whole", "n"]).select(*reps.columns)
+        reps = reps.join(moved_, "doc_id", "left_anti").union(materialised(again))
+        discard(contested)
     held = rows.join(contested.select("token"), "token").select("doc_id", "token", "band", "comp", "left")
     # a set is in the tiles of its own band and of the one below
     held = materialised(held.select("doc_id", "token", "comp", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
@@ -244,8 +262,8 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
         heads = held.groupBy("token", "tile", "comp").agg(F.min("doc_id").alias("doc_id"), F.min("low").alias("low"))
         hub = heads.where("comp = low").select("token", "tile", F.col("doc_id").alias("b"))
         fresh = heads.where("comp > low").join(hub, ["token", "tile"]).select(F.col("doc_id").alias("a"), "b").distinct()
-        fresh = materialised(with_room(fresh.join(tried, ["a", "b"], "left_anti"), reps, percent))
-        found = materialised(linked(fresh, docs, width, percent))
+        fresh = materialised(fresh.join(tried, ["a", "b"], "left_anti"))
+        found = materialised(linked(materialised(with_room(fresh, reps, percent)), docs, width, percent))
         tried = tried.union(fresh)
         if found.isEmpty():
             break
