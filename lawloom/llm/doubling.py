@@ -17,8 +17,9 @@ so a passage in a third of all documents is never gathered in one task.  Repeats
 document are found where its text is.  Equality is that of 64-bit hashes.
 
 Defined results: a null or empty text has no words; a text shorter than the window keeps
-all; rows of equal doc_id do not count as earlier than each other; rows without a doc_id
-are left out; extra columns are ignored.
+all; rows of equal doc_id do not count as earlier than each other, and repeated rows are
+cut alike; of windows of one document the first stays; a very long text is read whole, in a
+chunk of its own; rows without a doc_id are left out; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,8 +16,10 @@ highest document of each bucket is copied to the bucket above, which needs it as
 
 Defined results: a null or empty text, or one without words, has the empty fingerprint
 (zeros); two empty fingerprints are alike (1), an empty and another one are not (0); with a
-single document the next one is itself; rows of equal doc_id follow each other by text;
-rows without a doc_id are left out; extra columns are ignored.
+single document the next one is itself; rows of equal doc_id follow each other by text, and
+repeated rows are each returned; of words with an equal least a the one of the least hash is
+taken; a very long text is counted word by word like any other; words are told apart by 64-bit
+hashes; rows without a doc_id are left out; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ bucket.  Prediction is one map over all rows with the learned table in the closu
 
 Defined results: a null text or one without a letter is `und` with score 0; without any
 labelled rows everything is `und`; with a single language it is predicted for each text
-with a letter, score 1; equal losses go to the language that sorts first; extra columns are
+with a letter, score 1; a very long text is one row of counts however long; equal losses go to the language that sorts first; extra columns are
 ignored, repeated rows are all returned, rows without a doc_id are left out.
 """
 

@@ -12,7 +12,8 @@
 Defined results: a null or empty text is one empty line; equal lines of one document count
 once towards `min_docs`; the largest doc_id holding a key keeps all its lines; rows with
 the same doc_id are one holder but are each rewritten; rows without a doc_id are left out;
-extra columns stay as they are (n_lines and n_dropped are replaced).
+extra columns stay as they are (n_lines and n_dropped are replaced); a very long text or line
+is hashed and rewritten whole.  Keys are equal if their 64-bit hashes are.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ probability, so a rerun or a lost executor gives the same sample.
 Defined results: null sources, languages and topics are values of their own; a null or
 blank text has no tokens and its document is in its cell; a cell without tokens keeps its
 documents (nothing is gained by dropping them); rows with equal ids are kept or dropped
-together if their cells agree; an empty table gives an empty result.
+together if their cells agree, so repeated rows are; of topics that fit the first listed counts;
+very long texts are counted whole; an empty table gives an empty result; rows without a doc_id
+are all sampled by one number; columns named topic, n_tokens, weight, probability or sampled
+are replaced, others stay.
 """
 
 from __future__ import annotations

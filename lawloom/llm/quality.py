@@ -5,8 +5,9 @@ applies (ratios of very short texts say little).  Metrics are plain column expre
 the whole operator is one scan and one chain of projections without a shuffle.
 
 Defined results: a null text has no words and lines; a text without words fails the base
-rule; repeated rows are judged alike and all returned; columns other than doc_id and text
-are ignored.
+rule; a ratio that equals its threshold passes; repeated rows are judged alike and all
+returned, rows without a doc_id too; very long texts are measured whole; columns other than
+doc_id and text are ignored.
 """
 
 from __future__ import annotations

@@ -23,8 +23,11 @@ part whose shared bytes are frequent too is dealt window by window.  So no group
 with the corpus meets in one task.
 
 Defined results: a null or empty text has no bytes; strings never cross documents; rows of
-equal doc_id do not count as earlier than each other; rows without a doc_id are left out;
-extra columns are ignored; cutting may leave bytes that aren't valid UTF-8, so the kept
+equal doc_id do not count as earlier than each other (repeated rows are cut alike; of different
+texts under one doc_id each is cut at the places found in either); of equal strings within a
+document the first stays; a very long text is a chunk of its own; rows without a doc_id are left out;
+extra columns are ignored.  Whole runs and the windows of very frequent parts are compared by
+64-bit hashes, all others byte by byte.  Cutting may leave bytes that aren't valid UTF-8, so the kept
 text is binary.
 """
 

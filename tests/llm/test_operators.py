@@ -57,7 +57,7 @@ def mixed(spark):
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls in any column, repeated rows, equal ids with different texts, clashing columns."""
-    rows = [(1, "Some text here.\nmore of it", "en", "a", 5), (1, "Some text here.\nmore of it", "en", "a", 5), (1, "other", None, None, None), (None, "no id", "en", "a", 1), (2, None, "fr", None, 0), (3, "", None, "b", 0), (4, "x " * 30_000, "en", "b", 60_000)]
+    rows = [(1, "Some text here.\nmore of it", "en", "a", 5), (1, "Some text here.\nmore of it", "en", "a", 5), (1, "other", None, None, None), (None, "no id", "en", "a", 1), (2, None, "fr", None, 0), (3, "", None, "b", 0), (4, "x " * 30_000 + " ".join(f"w{i}" for i in range(30_000)), "en", "b", 60_000)]
     df = spark.createDataFrame(rows, SCHEMA)
     for c in ("key", "run", "bucket", "n", "drops", "keys", "tokens", "n_lines", "topic", "win", "block", "comp"):
         df = df.withColumn(c, F.lit("clash"))
