@@ -70,6 +70,9 @@ class Vocabulary:
         for p in wide:
             for a, b in zip(p, p[1:], strict=False):
                 self.side[at[ord(a)], at[ord(b)]] = True
+        # place of each character in the alphabet, for all that come before its last one
+        self.place = np.full(int(self.alphabet[-1]) + 2 if len(at) else 1, len(at), np.uint16)
+        self.place[self.alphabet] = np.arange(len(at))
         self.length = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
 
 
@@ -177,15 +180,11 @@ def units_of(c: Chunk, v: Vocabulary) -> Units:
     code = np.insert(code, begun[:-1][full], ord(BLANK))
     code[code == 0x20] = ord(BLANK)
     begun += np.concatenate([[0], np.cumsum(full)])
-    if len(v.alphabet):
-        at = np.minimum(np.searchsorted(v.alphabet, code), len(v.alphabet) - 1)
-        at[v.alphabet[at] != code] = len(v.alphabet)
-        apart = ~v.side[at[:-1], at[1:]]
-    else:
-        apart = np.ones(max(len(code) - 1, 0), bool)
+    at = np.take(v.place, np.minimum(code, len(v.place) - 1)).astype(np.intp)
     blank, line = code == ord(BLANK), code == 0x0A
     edge = np.ones(len(code) + 1, bool)
     if len(code):
+        apart = ~np.take(v.side, at[:-1] * len(v.side) + at[1:])
         edge[1:-1] = apart | line[1:] | line[:-1] | (blank[1:] & ~blank[:-1])
     edge[begun] = True
     cut = np.flatnonzero(edge)
@@ -213,6 +212,11 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Chunk]
         yield name(), held
 
 
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Two ascending arrays as one (a stable sort merges runs)."""
+    return np.sort(np.concatenate([a, b]), kind="stable")
+
+
 def name_units(v: Vocabulary) -> Callable:
     """(block, number, unit) of each distinct unit of each block that Spark encodes."""
 
@@ -223,7 +227,7 @@ def name_units(v: Vocabulary) -> Callable:
                 u = units_of(c, v)
                 new, at = np.unique(u.hashes, return_index=True)
                 fresh = ~np.isin(new, known, assume_unique=True)
-                known = np.union1d(known, new[fresh])
+                known = merged(known, new[fresh])
                 wide = u.cut[at + 1] - u.cut[at] <= MAX_UNIT
                 hashes.append(new[fresh & wide])
                 texts.append(pa.array(u.texts(at[fresh & wide]), pa.string()))
@@ -460,9 +464,12 @@ def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) ->
     """The rows of a block from its texts and the ids of its units."""
     known = np.zeros(0, U)
     wide: dict[int, list[int]] = {}  # units that Spark leaves out, by hash
+    inside: list[tuple[np.ndarray, ...]] = []  # for each chunk its units, which of them stands where, each document's first
     for c in unpack(packed):
         u = units_of(c, v)
-        known = np.union1d(known, u.hashes)
+        new, which = np.unique(u.hashes, return_inverse=True)
+        inside.append((new, which.astype(np.int32), u.first))
+        known = merged(known, new[~np.isin(new, known, assume_unique=True)])
         for i in np.flatnonzero(np.diff(u.cut) > MAX_UNIT).tolist():
             if (h := int(u.hashes[i])) not in wide:
                 wide[h] = encode_unit(u.text(i), v)
@@ -477,14 +484,13 @@ def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) ->
     if not size.all():
         raise RuntimeError("a block has units without an answer: its rows changed between two reads, write the input first")
     out: list[pa.RecordBatch] = []
-    for c in unpack(packed):
-        u = units_of(c, v)
-        unit = np.searchsorted(known, u.hashes)
+    for c, (new, which, first) in zip(unpack(packed), inside, strict=True):
+        unit = np.searchsorted(known, new)[which]
         take = size[unit]
         ends = np.concatenate([[0], np.cumsum(take)])
         ids = flat[np.repeat(start[unit] - ends[:-1], take) + np.arange(int(ends[-1]))]
-        edges = ends[u.first]
-        same = decoded_as(ids, edges, u, v)
+        edges = ends[first]
+        same = decoded_as(ids, edges, c, v)
         if not same.all():  # never seen: two units of a block with one hash
             lists = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
             for i in np.flatnonzero(~same).tolist():
@@ -496,17 +502,19 @@ def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) ->
     return pa.Table.from_batches(out)
 
 
-def decoded_as(ids: np.ndarray, edges: np.ndarray, u: Units, v: Vocabulary) -> np.ndarray:
-    """Whether each document's ids stand for its own text."""
-    begun = u.cut[u.first]
-    code = np.where(u.code == ord(BLANK), np.uint32(0x20), u.code)
-    wide = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-    want = np.concatenate([[0], np.cumsum(wide)])[begun]
+def decoded_as(ids: np.ndarray, edges: np.ndarray, c: Chunk, v: Vocabulary) -> np.ndarray:
+    """Whether each document's ids stand for its own text (U+2581 for a blank)."""
+    full = np.diff(c.offsets) > 0
+    text = np.insert(c.data, c.offsets[:-1][full], 0x20).tobytes()  # each text's leading blank
+    want = c.offsets + np.concatenate([[0], np.cumsum(full)])
+    if BLANK.encode() in text:
+        texts = [text[a:b].replace(BLANK.encode(), b" ") for a, b in zip(want[:-1], want[1:], strict=True)]
+        text, want = b"".join(texts), np.concatenate([[0], np.cumsum(list(map(len, texts)))])
     have = np.concatenate([[0], np.cumsum(v.length[ids])])[edges]
-    data, text = b"".join(map(v.texts.__getitem__, ids.tolist())), code.tobytes().decode("utf-32-le").encode()
+    data = b"".join(map(v.texts.__getitem__, ids.tolist()))
     if np.array_equal(want, have) and data == text:
-        return np.ones(len(want) - 1, bool)
-    return np.array([data[a:b] == text[c:d] for a, b, c, d in zip(have[:-1], have[1:], want[:-1], want[1:], strict=True)], bool)
+        return np.ones(len(c), bool)
+    return np.array([data[a:b] == text[d:e] for a, b, d, e in zip(have[:-1], have[1:], want[:-1], want[1:], strict=True)], bool)
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
