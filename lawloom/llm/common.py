@@ -227,6 +227,30 @@ def to_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def radix_order(*columns: np.ndarray) -> np.ndarray:
+    """The stable order of rows by columns of unsigned numbers, the first one foremost: a radix
+    sort by digits of 16 bits (two columns of bytes are one digit), the last digit first."""
+    columns = list(columns)
+    if columns[0].dtype == np.uint8:
+        if len(columns) % 2:
+            columns.insert(0, np.zeros(len(columns[0]), np.uint8))
+        digits = [(a.astype(np.uint16) << 8) | b for a, b in zip(columns[::2], columns[1::2], strict=True)]
+    else:
+        digits = [(c >> c.dtype.type(k) & c.dtype.type(0xFFFF)).astype(np.uint16) for c in columns for k in reversed(range(0, max(1, int(c.max(initial=0)).bit_length()), 16))]
+    order = np.argsort(digits[-1], kind="stable")
+    for d in reversed(digits[:-1]):
+        order = order[np.argsort(d[order], kind="stable")]
+    return order
+
+
+class Numbers(dict):
+    """Numbers its keys in the order of first use."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 def ragged(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from flat values and the number of values in each row."""
     off = np.zeros(len(counts) + 1, np.int32)

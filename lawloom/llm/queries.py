@@ -1,11 +1,11 @@
-"""The queries op1 to op10 over the whole table `documents`, and their SQL where there is one."""
+"""The queries op1 to op13 over the whole table `documents`, and their SQL where there is one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doubling, fingerprint, langid, lines, mixing, ngram_join, pieces, pii, quality, suffix
+from . import divergence, doubling, fingerprint, langid, lines, mixing, ngram_join, phrases, pieces, pii, quality, secrets, suffix
 from .common import table
 
 
@@ -57,7 +57,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubling.dedup_windows(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op6_sentence_pieces, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup)}
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first scan of `documents`, each row one version of the path doc_id."""
+    found = secrets.scan(documents(spark, sf_dir), secrets.own_ledger(spark))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_fingerprints, op3_quality_rules, op4_language_id, op5_suffix_dedup, op6_sentence_pieces, op7_ngram_jaccard, op8_line_dedup, op9_personal_data, op10_substring_dedup, op11_phrases, op12_secret_scan, op13_source_divergence)}
 
 
 def _quoted(words) -> str:
@@ -86,6 +100,26 @@ def _rules_sql() -> str:
     return " or ".join(broken)
 
 
+def _spans_sql(kind: str, pattern: str, check: str) -> str:
+    """List of {start, stop} of the matches m that pass `check`; matches and the gaps between them alternate."""
+    return f"""list_filter(list_transform(range(1, len({kind}_m) + 1), lambda i: {{'a': (list_sum(list_transform({kind}_g[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform({kind}_m[1:i - 1], lambda g: length(g))), 0))::bigint, 'n': length({kind}_m[i]), 'm': {kind}_m[i]}}), lambda s: {check.format("s.m")})"""
+
+
+def _secrets_sql() -> str:
+    check = {"assign": f"length(regexp_replace({{0}}, '^{secrets.ASSIGN}', '')) >= 6".replace("[\\\"']", "[\"'']"), "access": "length({0}) >= 20"}
+    pattern = lambda r: r.pattern.replace("[\\\"']", "[\"'']")
+    found = ", ".join(f"regexp_extract_all(t, '{pattern(r)}') as {r.kind}_m, regexp_split_to_array(t, '{pattern(r)}') as {r.kind}_g" for r in secrets.RULES)
+    lists = ", ".join(f"{_spans_sql(r.kind, r.pattern, check.get(r.kind, 'true'))} as {r.kind}" for r in secrets.RULES)
+    told = lambda rules: "array_to_string(list_transform(list_sort(list_concat(" + ", ".join(f"list_transform({r.kind}, lambda s: {{'a': s.a, 'k': {k}, 'v': '{r.kind}:' || s.a || ':' || (s.a + s.n)}})" for k, r in enumerate(rules)) + ")), lambda s: s.v), ',')"
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+f as (select doc_id, {found} from d),
+s as (select doc_id, {lists} from f)
+select doc_id, len(assign) as n_assign, len(access) as n_access, len(hex) as n_hex, sha256({told(secrets.BASE)}) as base_sha256, {told(secrets.RULES)} as spans from s"""
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": rf"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w,
@@ -122,4 +156,35 @@ gone as (select distinct doc_id, unnest(range(i, i + 20)) as i from win where r
 x as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d),
 y as (select doc_id, count(*) as n_words, count(g.i) as n_removed, string_agg(word, ' ' order by x.i) filter (g.i is null) as kept from x left join gone g using (doc_id, i) group by 1)
 select doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join y using (doc_id)""",
+    "op11_phrases": rf"""
+with p as (select lang, regexp_extract_all(s, '[^\x20\x09]+') as w from
+    (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as s from documents)),
+g as materialized (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase, count(*)::hugeint as f
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from p, (values (1), (2), (3)) as v(k)) group by all),
+n as (select lang, sum(f) as n from g where k = 1 group by 1),
+c as materialized (select lang, phrase, k, f as a, string_split(phrase, ' ') as w from g where k > 1 and f >= 10),
+parts as materialized (select lang, phrase, k, a, j, array_to_string(w[:j], ' ') as head, array_to_string(w[j + 1:], ' ') as tail from (select *, unnest(range(1, k)) as j from c)),
+heads as materialized (select parts.*, f as l from parts left join g on g.lang = parts.lang and g.phrase = head),
+cut as (select heads.lang, heads.phrase, heads.k, a, l, f as r, 1000000 * a * a // (l * f) as score, j from heads left join g on g.lang = heads.lang and g.phrase = tail),
+low as (select * from cut qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (select lang, phrase, max(a) as longer from (select lang, array_to_string(w[1:2], ' ') as phrase, a from c where k = 3 union all select lang, array_to_string(w[2:3], ' '), a from c where k = 3) group by all),
+kept as (select low.* from low left join inside i using (lang, phrase) where low.k = 3 or coalesce(100 * longer < 50 * a, true)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score from ranked join n using (lang) where rank <= 2000""",
+    "op12_secret_scan": _secrets_sql(),
+    "op13_source_divergence": rf"""
+with d as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+t as (select id, lang, source, unnest(w) as term from d),
+vocab as (select lang, term, count(*) as total from t group by all having count(distinct id) >= 10),
+v as (select lang, count(*) as v, sum(total)::hugeint as size from vocab group by 1),
+groups as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t semi join vocab using (lang, term) group by all),
+size as (select lang, source, sum(n)::hugeint as size from c group by all),
+cells as (select g.lang, g.source, term, coalesce(n, 0) as n, (1 + 1000000000::hugeint * (coalesce(n, 0) + 2) // (coalesce(s.size, 0) + 2 * v.v))::bigint as p, (1 + 1000000000::hugeint * (total + 2) // (v.size + 2 * v.v))::bigint as q
+  from groups g join vocab using (lang) join v using (lang) left join c using (lang, source, term) left join size s using (lang, source)),
+pairs as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value from cells a join cells b using (lang, term) where a.source <> b.source group by all),
+everyone as (select g.lang, g.source, h.source as item, coalesce(value, 0)::bigint as value from groups g join groups h on g.lang = h.lang and g.source <> h.source left join pairs p on p.lang = g.lang and p.source = g.source and p.item = h.source)
+select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from everyone
+union all
+select lang, source, 'term', term, (p - q) * (p - q) // (p + q) as value, row_number() over (partition by lang, source order by (p - q) * (p - q) // (p + q) desc, term) as rank from cells where n > 0 and p > q qualify rank <= 10""",
 }
