@@ -193,3 +193,66 @@ def op4(text: str, model, buckets: int) -> list[float]:
             loss += model.trust[j] * math.log1p(math.exp(-z * bit))
         out.append(loss / sum(model.trust))
     return out
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def op11(docs: list[tuple[str | None, str | None]], least: int = 10, top: int = 2000, share: int = 50) -> set[tuple]:
+    """docs: (lang, text).  Rows (lang, rank, phrase, a, l, r, n, score)."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                f[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = set()
+    for lang, counts in f.items():
+        found = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        inside = {q for p, a in found.items() if len(p) == 3 for q in (p[:2], p[1:]) if 100 * a >= share * counts[q]}
+        rows = []
+        for p, a in found.items():
+            cuts = [(1000000 * a * a // (counts[p[:k]] * counts[p[k:]]), k) for k in range(1, len(p))]
+            s, k = min(cuts)
+            if p not in inside:
+                rows.append((-s, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (s, a, p, left, right) in enumerate(sorted(rows)[:top], 1):
+            out.add((lang, rank, p.decode(), -a, left, right, n[lang], -s))
+    return out
+
+
+def op12_base(text: str | None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the base kinds, by start and then kind as listed."""
+    text = text or ""
+    found = [(m.start(), 0, m.end(), "assign") for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.ASCII) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [(a, b, kind) for a, _, b, kind in sorted(found)]
+
+
+def op13(docs: list[tuple[str | None, str | None, str | None]], least: int = 10, top: int = 10) -> set[tuple]:
+    """docs: (lang, source, text).  Rows (lang, source, part, item, value, rank)."""
+    df, counts, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for lang, source, text in docs:
+        lang, source = lang or "", source or ""
+        terms = [t.translate(LOWER) for t in re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text or "")]
+        groups[lang].add(source)
+        df[lang].update(set(terms))
+        counts[lang, source].update(terms)
+    gap = lambda p, q: (p - q) ** 2 // (p + q)
+    out = set()
+    for lang, sources in groups.items():
+        kept = {t for t, k in df[lang].items() if k >= least}
+        v = len(kept)
+        own = {s: {t: counts[lang, s][t] for t in kept} for s in sources}
+        whole = {t: sum(own[s][t] for s in sources) for t in kept}
+        prob = lambda c: {t: 1 + 1000000000 * (x + 2) // (sum(c.values()) + 2 * v) for t, x in c.items()}  # noqa: E731, B023
+        p, q = {s: prob(c) for s, c in own.items()}, prob(whole)
+        for s in sources:
+            pairs = sorted((-sum(gap(p[s][t], p[o][t]) for t in kept), o.encode()) for o in sources if o != s)
+            terms = sorted((-gap(p[s][t], q[t]), t.encode()) for t in kept if own[s][t] and p[s][t] > q[t])[:top]
+            for part, rows in (("pair", pairs), ("term", terms)):
+                out |= {(lang, s, part, item.decode(), -value, rank) for rank, (value, item) in enumerate(rows, 1)}
+    return out
