@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.documents import bill_documents, bill_records, quarantined
+from .operators.quality import below_gate, gate_measures
 from .operators.selection import filename_counts, valid_filenames
-from .publish import LocalPublisher, publish_session, sync_card
+from .publish import FolderPublisher, publish_session, sync_card
 from .sources.listing import UrlSource, listed_files
 from .sources.readers import Decoder, decoded, text_of_pages
 from .sources.sinks import write_session_files
@@ -66,10 +67,17 @@ def fetched_session(spark: SparkSession, base_url: str, session: int, decoder: D
     return pages.select("filename", text_of_pages(F.col("pages")).alias("raw_text"))
 
 
+def log_gate(session: int, counted: dict) -> None:
+    """Rows and rates of a session, all counted by the plan that wrote it."""
+    log.info("session %d: %d records", session, counted["rows"])
+    for k, v in below_gate(counted).items():
+        log.warning("session %d: %s is %.2f, below its gate", session, k, v)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     now = F.lit(datetime.now(UTC).isoformat())
     landed = counted(spark.read.parquet(args.landed)) if args.landed else None
-    to = LocalPublisher(args.publish) if args.publish else None
+    to = FolderPublisher(args.publish) if args.publish else None
     for s in args.sessions:
         rows = landed if landed is not None else fetched_session(spark, args.base_url, s, decoder_named(args.decoder), args.workers)
         url = args.base_url if args.landed else f"{args.base_url.rstrip('/')}/{s}/"
@@ -77,8 +85,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if to:
             log.info("session %d: %d records", s, publish_session(records, s, to, args.local_dir))
         else:
-            for f in write_session_files(records, s, args.local_dir):
+            done = write_session_files(records, s, args.local_dir, measures=gate_measures())
+            for f in done.files:
                 log.info("saved %s", f)
+            log_gate(s, done.counted)
     if to:
         sync_card(to, "Bills by session", args.repo_id, args.base_url)
 

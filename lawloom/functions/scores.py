@@ -44,6 +44,7 @@ def accepted(meta: Column, clean: Column, conf: Column) -> Column:
 
 
 def reasoning(meta: Column, clean: Column, conf: Column) -> Column:
+    # The wording of the reasons, which results must match.
     gains = F.concat_ws(
         ", ",
         F.when(meta > 0, F.format_string("+%d metadata fields", meta)),

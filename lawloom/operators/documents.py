@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning, extract, filenames
@@ -59,15 +59,44 @@ def bill_documents(raw: DataFrame, text: str = "raw_text", version: str = "stand
     return d.drop(*[k for k in wanted if fields is not None and k not in fields])
 
 
+def bill_versions(raw: DataFrame, *versions: str, text: str = "raw_text") -> DataFrame:
+    """`raw` with a struct column of the document's fields for each version, from one pass: an
+    extractor that versions share stands once in the plan."""
+    rules = {v: STANDARD | VERSIONS[v] for v in versions}
+    slots: dict[tuple[str, Extractor], str] = {}
+    for r in rules.values():
+        for field, extractor in r.items():
+            slots.setdefault((field, extractor), f"_{field}_{len(slots)}")
+    bill = cleaning.without_preamble(F.col(text))
+    found = let(bill, lambda t: F.struct(*[f(t).alias(slot) for (_, f), slot in slots.items()]))
+    d = raw.select("*", F.inline(F.array(found)))
+
+    def document(v: str) -> Column:
+        own = {field: F.col(slots[field, f]) for field, f in rules[v].items()}
+        sure = extract.checked_confidence(extract.confidence(*[own[k] for k in SCORED]))
+        return F.struct(*[c.alias(k) for k, c in own.items()], sure.alias("extraction_confidence")).alias(v)
+
+    return d.select(*raw.columns, *map(document, versions))
+
+
+def register_views(spark: SparkSession, raw: DataFrame, prefix: str = "bills_", text: str = "raw_text") -> list[str]:
+    """A temporary view <prefix><version> of `raw`'s documents for each registered version, so
+    that SQL names a version; a query that needs few fields still evaluates all of the view's."""
+    names = [f"{prefix}{v}" for v in VERSIONS]
+    for v, name in zip(VERSIONS, names, strict=True):
+        bill_documents(raw, text, v).createOrReplaceTempView(name)
+    return names
+
+
 def only_documents(docs: DataFrame, *keys: str) -> DataFrame:
     return docs.select(*keys, *BILL_DOCUMENT.fieldNames())
 
 
-def bill_records(docs: DataFrame, base_url: str, filename: str = "filename", scraped_at: Column | None = None) -> DataFrame:
+def bill_records(docs: DataFrame, base_url: str, filename: str = "filename", scraped_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Records in the order of the published schema, from documents and their file names.
 
     scraped_at: one time for the run, as ISO text in UTC; null if none is given, so that a
-    rerun gives the same rows.
+    rerun gives the same rows.  `keep` names further columns of `docs` to carry along.
     """
     parts = filenames.parsed(F.col(filename))
     parts |= {
@@ -76,7 +105,7 @@ def bill_records(docs: DataFrame, base_url: str, filename: str = "filename", scr
         "source_filename": F.col(filename),
         "scraped_at": scraped_at if scraped_at is not None else F.lit(None).cast("string"),
     }
-    return docs.where(filenames.is_valid(F.col(filename))).select(*[parts.get(n, F.col(n)).cast(t).alias(n) for n, t in ((f.name, f.dataType) for f in BILL_RECORD)])
+    return docs.where(filenames.is_valid(F.col(filename))).select(*[parts.get(n, F.col(n)).cast(t).alias(n) for n, t in ((f.name, f.dataType) for f in BILL_RECORD)], *keep)
 
 
 def quarantined(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,9 @@ from ..functions import scores
 GATES = {"sponsor_rate": 0.60, "committee_rate": 0.60, "session_rate": 0.95}
 
 
+DELTAS = ("metadata_delta", "cleanliness_delta", "confidence_delta")
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """Documents with their metadata and cleanliness scores."""
     d = {c: F.col(c) for c in docs.columns}
@@ -61,9 +66,21 @@ def compared(base: DataFrame, improved: DataFrame, key: str) -> DataFrame:
     fields = ["metadata_score", "cleanliness_score", "extraction_confidence"]
     a = base.select(key, *[F.col(c).alias(f"a_{c}") for c in fields])
     b = improved.select(key, *[F.col(c).alias(f"b_{c}") for c in fields])
-    d = a.join(b, key).select(key, *[(F.col(f"b_{c}") - F.col(f"a_{c}")).alias(n) for c, n in zip(fields, ("metadata_delta", "cleanliness_delta", "confidence_delta"), strict=True)])
-    deltas = [F.col(c) for c in ("metadata_delta", "cleanliness_delta", "confidence_delta")]
-    return d.select("*", scores.accepted(*deltas).alias("accepted"), scores.reasoning(*deltas).alias("reasoning"))
+    d = a.join(b, key).select(key, *[(F.col(f"b_{c}") - F.col(f"a_{c}")).alias(n) for c, n in zip(fields, DELTAS, strict=True)])
+    return judged(d)
+
+
+def compared_within(docs: DataFrame, before: Column, after: Column, *keys: str) -> DataFrame:
+    """The same for two documents of one row (structs such as `bill_versions` makes), no join."""
+    score = lambda d: (scores.metadata_score({c: d[c] for c in ("bill_id", "session", "title", "sponsors", "committee", "introduced_date", "amended_code_refs")}), scores.cleanliness(d["body_text"]), d["extraction_confidence"])
+    deltas = [(b - a).alias(n) for a, b, n in zip(score(before), score(after), DELTAS, strict=True)]
+    return judged(docs.select(*keys, *deltas))
+
+
+def judged(deltas: DataFrame) -> DataFrame:
+    """Rows of deltas with verdict and reason."""
+    d = [F.col(c) for c in DELTAS]
+    return deltas.select("*", scores.accepted(*d).alias("accepted"), scores.reasoning(*d).alias("reasoning"))
 
 
 def accept_summary(results: DataFrame) -> DataFrame:
@@ -103,6 +120,18 @@ def without_resolves(docs: DataFrame) -> DataFrame:
     return docs.where(~F.coalesce(F.col("title").contains("Resolve"), F.lit(False)))
 
 
+def gate_measures() -> dict[str, Column]:
+    """The gate's rates over records, as aggregates that can be observed while they are written
+    (a record's session comes from its file name, so the rate of sessions isn't among them)."""
+    share = lambda test: F.avg(F.coalesce(test, F.lit(False)).cast("double"))
+    return {"sponsor_rate": share(F.size("sponsors") > 0), "committee_rate": share(F.col("committee") != ""), "title_rate": share(scores.has_title(F.col("title"))), "avg_confidence": F.avg("extraction_confidence")}
+
+
+def below_gate(rates: Mapping[str, float | None], gates: Mapping[str, float] | None = None) -> dict[str, float]:
+    """The rates that miss their gates; absent ones (no rows) aren't judged."""
+    return {k: rates[k] for k, least in (gates or GATES).items() if rates.get(k) is not None and rates[k] < least}
+
+
 def test_tokens(lines: DataFrame, column: str = "line") -> DataFrame:
     """PASSED and FAILED tokens of a test log (a failure is printed twice and counts twice)."""
     return lines.agg(F.sum(F.regexp_count(column, F.lit("PASSED"))).alias("n_passed"), F.sum(F.regexp_count(column, F.lit("FAILED"))).alias("n_failed"))

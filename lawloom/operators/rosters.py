@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL = 5_000  # names up to which the roster is an array in the plan
@@ -41,29 +41,48 @@ def link_exactly(sponsors: DataFrame, roster: DataFrame) -> DataFrame:
     return s.join(n, "plain", "left").select("sponsor", "legislator_id", F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"), F.coalesce(F.col("n_matches") > 1, F.lit(False)).alias("ambiguous"))
 
 
-def link_nearly(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFrame:
-    """The sponsors without an exact match and their nearest legislator within `most` edits.
+def deletions(name: Column, most: int) -> Column:
+    """The name, and all it becomes by the deletion of up to `most` letters, as 64-bit hashes."""
+    forms = F.array(name)
+    without = lambda s: F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)))
+    for _ in range(most):
+        shorter = F.flatten(F.transform(F.filter(forms, lambda s: s != ""), without))
+        forms = F.array_distinct(F.concat(forms, shorter))
+    return F.transform(forms, lambda s: F.xxhash64(s))
+
 
-    Names within k edits share one of their k + 1 equal pieces up to a shift of k, so the
-    candidates are equi-joined on pieces rather than paired with the whole roster.  Roster names
-    of k letters or fewer have no such piece; they are tried with all sponsors of a fitting length.
+def near_matches(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFrame:
+    """Each sponsor without an exact match, and its nearest legislators within `most` edits:
+    legislator_id (the least of them), distance, n_matches (how many are as near), ambiguous.
+    A sponsor without any has nulls and 0.
+
+    Two names within k edits become equal by the deletion of up to k letters from each.  So the
+    hashes of these forms are equi-joined, about n^k / k! a name, and the candidates verified.
+    Sponsors that are longer than the longest name by more than `most` letters have no match
+    and take no part.
     """
-    left = link_exactly(sponsors, roster).where("n_matches = 0").select("sponsor", _plain("sponsor").alias("a"))
+    left = link_exactly(sponsors, roster).where("n_matches = 0").select("sponsor", _plain("sponsor").alias("a")).distinct()
     right = roster.select("legislator_id", _plain("last_name").alias("b"))
-    k = most + 1
-    size = F.greatest(F.floor(F.length("b") / k), F.lit(1)).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.struct(i.alias("i"), F.when(i == most, F.substr("b", i * size + 1)).otherwise(F.substr("b", i * size + 1, size)).alias("p")))
-    # keys of both kinds go through one join, so that the names are worked out once
-    r = right.select("legislator_id", "b", F.explode(pieces).alias("x")).where("x.p <> ''").select("legislator_id", "b", F.concat(F.lit("piece "), F.col("x.p")).alias("p"))
-    n = F.length("a")
-    grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda s: F.transform(F.sequence(F.lit(1), n - s + 1), lambda m: F.substr("a", s, m)))))
-    short = right.where(F.length("b").between(1, most)).select("legislator_id", "b", F.explode(F.sequence(F.lit(1), F.length("b") + most)).alias("n"))
-    r = r.union(short.select("legislator_id", "b", F.concat(F.lit("length "), F.col("n")).alias("p")))
-    keys = F.concat(F.transform(grams, lambda g: F.concat(F.lit("piece "), g)), F.array(F.concat(F.lit("length "), n)))
-    pairs = left.where("a <> ''").select("sponsor", "a", F.explode(keys).alias("p")).join(r, "p").select("sponsor", "a", "legislator_id", "b")
-    near = pairs.distinct().withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
-    best = near.groupBy("sponsor").agg(F.min(F.struct("distance", "legislator_id")).alias("m"))
-    return best.select("sponsor", F.col("m.legislator_id").alias("legislator_id"), F.col("m.distance").alias("distance"))
+    longest = roster.agg(F.coalesce(F.max(F.length("last_name")), F.lit(0)).alias("n")).first()["n"]
+    names = right.where("b <> ''").groupBy("b").agg(F.min("legislator_id").alias("legislator_id"), F.count("*").alias("n"))
+    asked = left.where((F.col("a") != "") & (F.length("a") <= longest + most)).select("a").distinct()
+    pairs = asked.select("a", F.explode(deletions(F.col("a"), most)).alias("form")).join(names.select("b", "legislator_id", "n", F.explode(deletions(F.col("b"), most)).alias("form")), "form")
+    near = pairs.select("a", "b", "legislator_id", "n").distinct().withColumn("distance", F.levenshtein("a", "b")).where(F.col("distance") <= most)
+    best = near.groupBy("a", "distance").agg(F.min("legislator_id").alias("legislator_id"), F.sum("n").alias("n"))
+    best = best.groupBy("a").agg(F.min(F.struct("distance", "legislator_id", "n")).alias("m"))
+    found = left.join(best, "a", "left")
+    n = F.coalesce("m.n", F.lit(0)).cast("long")
+    return found.select("sponsor", F.col("m.legislator_id").alias("legislator_id"), F.col("m.distance").alias("distance"), n.alias("n_matches"), (n > 1).alias("ambiguous"))
+
+
+def link_nearly(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFrame:
+    """The sponsors without an exact match that have a near one."""
+    return near_matches(sponsors, roster, most).where("n_matches > 0").select("sponsor", "legislator_id", "distance")
+
+
+def unmatched(sponsors: DataFrame, roster: DataFrame, most: int = 2) -> DataFrame:
+    """The sponsors with neither an exact nor a near match."""
+    return near_matches(sponsors, roster, most).where("n_matches = 0").select("sponsor")
 
 
 def match_rate(linked: DataFrame) -> DataFrame:

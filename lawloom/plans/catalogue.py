@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import cleaning, extract, filenames, scores
 from ..functions import patterns as P
 from ..functions.text import joined, normalised
-from ..operators import quality, rosters, selection
-from ..operators.documents import bill_documents, bill_records, quarantined
+from ..operators import changes, quality, rosters, selection
+from ..operators.documents import bill_documents, bill_records, bill_versions, quarantined, register_views
 from ..publish import config_lines, session_numbers
 from ..reports import field_changes
 from ..sources import readers
@@ -27,6 +27,8 @@ from .bills_view import FOR_DUCKDB, bills
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# What rates and flags are made of; other fields are left out of their plans.
+RATED = ("bill_id", "session", "title", "sponsors", "committee", "amended_code_refs", "extraction_confidence")
 BASE_URL = "https://bills.example.org/files/"
 
 
@@ -319,6 +321,22 @@ def link_fuzzy(spark, sf_dir):
     return rosters.link_nearly(_sponsor_names(spark, sf_dir), roster(spark))
 
 
+_NEAR_ = f""", rest as (select sponsor, {_PLAIN_.format('sponsor')} as a from s where {_PLAIN_.format('sponsor')} not in (select plain from r)),
+  pairs as (select sponsor, legislator_id, levenshtein(a, {_PLAIN_.format('last_name')}) as d from rest, roster where a <> '' and levenshtein(a, {_PLAIN_.format('last_name')}) <= 2),
+  near as (select * from pairs qualify d = min(d) over (partition by sponsor))"""
+
+
+@query(FULL + _LINKS + _NEAR_ + " select sponsor, min(legislator_id) as legislator_id, count(*) as n_matches, count(*) > 1 as ambiguous from near group by 1")
+def link_fuzzy_ambiguity(spark, sf_dir):
+    found = rosters.near_matches(_sponsor_names(spark, sf_dir), roster(spark)).where("n_matches > 0")
+    return found.select("sponsor", "legislator_id", "n_matches", "ambiguous")
+
+
+@query(FULL + _LINKS + _NEAR_ + " select sponsor from rest where sponsor not in (select sponsor from near)")
+def unmatched_sponsors(spark, sf_dir):
+    return rosters.unmatched(_sponsor_names(spark, sf_dir), roster(spark))
+
+
 @query(FULL + _LINKS + f", l as (select n_matches from s left join r on {_PLAIN_.format('sponsor')} = plain) select count(*) as n_sponsors, count(n_matches) as n_linked, count(*) filter (n_matches > 1) as n_ambiguous from l")
 def match_rate(spark, sf_dir):
     return rosters.match_rate(link_exact(spark, sf_dir))
@@ -401,11 +419,11 @@ def metrics_report(spark, sf_dir):
 
 def _two_versions(spark, sf_dir) -> DataFrame:
     """Two thirds of the comparisons gain (from weaker versions), a third loses."""
-    weak, strong = quality.scored(documents(spark, sf_dir, "direct_only")), quality.scored(documents(spark, sf_dir))
-    rough = quality.scored(documents(spark, sf_dir, "uncleaned"))
-    before = weak.where("doc_id % 3 = 0").unionByName(rough.where("doc_id % 3 = 1")).unionByName(strong.where("doc_id % 3 = 2"))
-    after = strong.where("doc_id % 3 <> 2").unionByName(weak.where("doc_id % 3 = 2 and doc_id % 2 = 0")).unionByName(rough.where("doc_id % 3 = 2 and doc_id % 2 = 1"))
-    return quality.compared(before, after, "doc_id")
+    d = bill_versions(bills(spark, sf_dir), "direct_only", "uncleaned", "standard")
+    weak, rough, strong = (F.col(v) for v in ("direct_only", "uncleaned", "standard"))
+    before = F.when(F.col("doc_id") % 3 == 0, weak).when(F.col("doc_id") % 3 == 1, rough).otherwise(strong)
+    after = F.when(F.col("doc_id") % 3 != 2, strong).when(F.col("doc_id") % 2 == 0, weak).otherwise(rough)
+    return quality.compared_within(d, before, after, "doc_id")
 
 
 _WEAK_CONF = "(extraction_confidence - (case when bill_id is not null and wid is null then 0.2::double else 0 end) - (case when session is not null and wsess is null then 0.1::double else 0 end))"
@@ -464,28 +482,28 @@ def rates_(by: str = "") -> str:
 
 @query(FULL + rates_())
 def quality_rates(spark, sf_dir):
-    return quality.quality_rates(documents(spark, sf_dir)).withColumn("avg_confidence", F.round("avg_confidence", 9))
+    return quality.quality_rates(documents(spark, sf_dir, fields=RATED)).withColumn("avg_confidence", F.round("avg_confidence", 9))
 
 
 @query(FULL + rates_("session as bill_session,") + " where session is not null group by session")
 def quality_by_session(spark, sf_dir):
-    d = documents(spark, sf_dir).where("session IS NOT NULL").withColumn("bill_session", F.col("session"))
+    d = documents(spark, sf_dir, fields=RATED).where("session IS NOT NULL").withColumn("bill_session", F.col("session"))
     return quality.quality_rates(d, "bill_session").withColumn("avg_confidence", F.round("avg_confidence", 9))
 
 
 @query(FULL + f", r as ({rates_()}) select sponsor_rate >= 0.6 as sponsor_ok, committee_rate >= 0.6 as committee_ok, session_rate >= 0.95 as session_ok, sponsor_rate >= 0.6 and committee_rate >= 0.6 and session_rate >= 0.95 as gate_passed from r")
 def gate_thresholds(spark, sf_dir):
-    return quality.gated(quality.quality_rates(documents(spark, sf_dir))).select("sponsor_ok", "committee_ok", "session_ok", "gate_passed")
+    return quality.gated(quality.quality_rates(documents(spark, sf_dir, fields=RATED))).select("sponsor_ok", "committee_ok", "session_ok", "gate_passed")
 
 
 @query(FULL + "select doc_id, extraction_confidence < 0.5 or title is null or session is null as low_quality from scored")
 def low_quality_flags(spark, sf_dir):
-    return quality.flagged(documents(spark, sf_dir)).select("doc_id", "low_quality")
+    return quality.flagged(documents(spark, sf_dir, fields=RATED)).select("doc_id", "low_quality")
 
 
 @query(FULL + "select avg(case when len(sponsors) > 0 then 1.0::double else 0 end) as sponsor_rate from scored where not coalesce(contains(title, 'Resolve'), false)")
 def sponsor_rate_without_resolves(spark, sf_dir):
-    return quality.quality_rates(quality.without_resolves(documents(spark, sf_dir))).select("sponsor_rate")
+    return quality.quality_rates(quality.without_resolves(documents(spark, sf_dir, fields=RATED))).select("sponsor_rate")
 
 
 @query(HEAD + f"select doc_id, regexp_matches(n2000, {q('(?i)' + P.INITIATIVE)}) as citizen_initiative from heads")
@@ -546,3 +564,39 @@ def sample_bills(spark, sf_dir):
 )
 def long_titles(spark, sf_dir):
     return documents(spark, sf_dir, "long_titles").select("doc_id", "title")
+
+
+# ------------------------------------------------------------ changes and versions
+
+_LANDED_ = """, earlier as (select filename, sha256(raw_text) as digest from bills where doc_id % 7 <> 0),
+  now as (select filename, sha256(raw_text || case when doc_id % 3 = 0 then ' amended' else '' end) as digest from bills where doc_id % 5 <> 0)"""
+
+
+def _landings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two scrapes: each lacks some bills of the other, and a third has other texts in the second."""
+    b = bills(spark, sf_dir)
+    text = F.concat("raw_text", F.when(F.col("doc_id") % 3 == 0, " amended").otherwise(""))
+    return b.where("doc_id % 7 <> 0").select("filename", F.sha2("raw_text", 256).alias("digest")), b.where("doc_id % 5 <> 0").select("filename", F.sha2(text, 256).alias("digest"))
+
+
+@query(PLAIN + _LANDED_ + " select filename, case when t.digest is null then 'insert' when n.digest is null then 'vanish' else 'change' end as action, t.digest as before, n.digest as after from earlier t full join now n using (filename) where t.digest is distinct from n.digest")
+def change_table(spark, sf_dir):
+    return changes.change_table(*_landings(spark, sf_dir), "filename")
+
+
+@query(PLAIN + _LANDED_ + " select filename, coalesce(n.digest, t.digest) as digest, case when t.digest is null then 'insert' when n.digest is null then 'vanish' when t.digest = n.digest then 'same' else 'change' end as action from earlier t full join now n using (filename)")
+def merged_landings(spark, sf_dir):
+    before, now = _landings(spark, sf_dir)
+    return changes.merged(before, now, "filename", complete=F.lit(True))
+
+
+@query(FULL + f", v as (select doc_id, title, bill_id, {found_('t', P.BILL_ID, 0)} as direct_id from docs) select doc_id, title, bill_id, direct_id from v")
+def versions_in_sql(spark, sf_dir):
+    """Two registered versions, named in SQL."""
+    register_views(spark, bills(spark, sf_dir))
+    return spark.sql("SELECT s.doc_id, s.title, s.bill_id, d.bill_id AS direct_id FROM bills_standard s JOIN bills_direct_only d ON s.doc_id = d.doc_id")
+
+
+@query(PLAIN + "select doc_id, filename from bills order by md5('7:' || doc_id), doc_id limit 1")
+def sample_one(spark, sf_dir):
+    return selection.sample(bills(spark, sf_dir).select("doc_id", "filename"), 1, "doc_id", first=None, seed=7)

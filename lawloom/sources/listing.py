@@ -1,16 +1,19 @@
 """Directory listings: parsing landed pages, and fetching them with a Python data source.
 
-Anchors are found by a pattern: quoted targets alone, character references left as they are,
-and anchors within comments counted.  Listings of web servers have no others.
+`anchors` reads a page tag by tag as a parser does (quotes, comments, character references);
+`hrefs` is a pattern without Python, for quoted targets outside of comments.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
@@ -21,16 +24,37 @@ def hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
 
 
+class _Anchors(HTMLParser):
+    """The targets of a page's anchors, in order."""
+
+    def __init__(self, html: str):
+        super().__init__()
+        self.found: list[str] = []
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "a":
+            self.found += [v for k, v in attrs if k == "href" and v is not None][:1]
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def anchors(html: pd.Series) -> pd.Series:
+    """The targets of all anchors as a parser finds them: unquoted ones too, none in comments or
+    scripts, character references resolved.  A page of null has none."""
+    return html.map(lambda page: _Anchors(page).found if page is not None else [])
+
+
 def listed_files(pages: DataFrame, html: str = "html", suffix: str = ".pdf") -> DataFrame:
     """Names of the files with the suffix (case counts), in order of the page, with repeats."""
-    rows = pages.select(F.explode(hrefs(F.col(html))).alias("href")).where(F.col("href").endswith(suffix))
+    rows = pages.select(F.explode(anchors(F.col(html))).alias("href")).where(F.col("href").endswith(suffix))
     name = F.element_at(F.split("href", "/"), -1)
     return rows.select(F.substr(name, F.lit(1), F.length(name) - len(suffix)).alias("filename"))
 
 
 def listed_sessions(pages: DataFrame, html: str = "html") -> DataFrame:
     """Sessions named by numeric last parts of the links, latest first (as text)."""
-    rows = pages.select(F.explode(hrefs(F.col(html))).alias("href"))
+    rows = pages.select(F.explode(anchors(F.col(html))).alias("href"))
     rows = rows.select(F.element_at(F.split(F.regexp_replace("href", "/+$", ""), "/"), -1).alias("session"))
     return rows.where(F.col("session").rlike(r"^\d+$")).distinct().orderBy(F.desc("session"))
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import TEST_RESULT
+from ..schemas import BILL_RECORD, TEST_RESULT
 
 Decoder = Callable[[bytes], list[str]]  # content to the text of each page
 
@@ -71,3 +71,42 @@ def sessions(spark: SparkSession, root: str, *only: int) -> DataFrame:
     """Written sessions, all or some; only their partitions are read."""
     df = spark.read.parquet(root)
     return df.where(F.col("session").isin(*only)) if only else df
+
+
+def session_stream(spark: SparkSession, root: str, *only: int, files_per_trigger: int = 64) -> DataFrame:
+    """Published sessions, root/<session>/train-*.parquet, as a stream: at most so many files a
+    trigger, and what the checkpoint has seen isn't read again.
+
+    A file is known by its path, so a session that is published anew under the names it had
+    isn't delivered twice; read the manifest for what holds now.
+    """
+    which = "{" + ",".join(map(str, only)) + "}" if only else "*"
+    stream = spark.readStream.schema(BILL_RECORD).option("maxFilesPerTrigger", files_per_trigger)
+    return stream.option("pathGlobFilter", "train-*.parquet").parquet(f"{root.rstrip('/')}/{which}")
+
+
+def consume(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
+    """Give all that is there to `handle`, batch by batch, and return.  A batch that failed
+    comes again under its number; finished ones don't."""
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+Position = tuple[str, int]  # a file, and the number of a row in it
+
+
+def iterate(spark: SparkSession, root: str, *only: int, after: Position | None = None) -> Iterator[tuple[Position, Row]]:
+    """Rows of published sessions one by one, with their positions, from the one after `after`.
+
+    Files come in the order of their names, rows in that of the file; the driver holds one
+    partition of one file at a time.
+    """
+    df = spark.read.schema(BILL_RECORD).option("pathGlobFilter", "train-*.parquet").option("recursiveFileLookup", True).parquet(*([f"{root.rstrip('/')}/{s}" for s in only] or [root]))
+    for path in sorted(df.inputFiles()):
+        if after and path < after[0]:
+            continue
+        rows = spark.read.schema(BILL_RECORD).parquet(path).select("*", F.col("_metadata.row_index").alias("_at"))
+        if after and path == after[0]:
+            rows = rows.where(F.col("_at") > after[1])
+        for r in rows.sortWithinPartitions("_at").toLocalIterator():
+            *values, at = r
+            yield (path, at), Row(*BILL_RECORD.fieldNames())(*values)

@@ -2,25 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
+from typing import Any, NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from ..schemas import BILL_RECORD
+from . import staging
+
+
+class Written(NamedTuple):
+    """The files of a session, and what was counted while they were written."""
+
+    files: list[str]
+    counted: dict[str, Any]
+
 
-SALTS = 16  # tasks that a session's rows may be dealt to before the writer rolls files
 
 
 def write_sessions(records: DataFrame, root: str, rows_per_file: int = 1_000_000) -> None:
     """Replace the sessions in `records` below root/session=<n>, and leave the others.
 
-    Rows are dealt by session and a salt of the file name, so that a large session isn't one
-    task's; AQE joins the small parts again.
+    Rows are rebalanced by session: from the sizes of the shuffle AQE cuts a large session into
+    several tasks and joins small ones, whatever their number.
     """
-    salt = F.pmod(F.xxhash64("source_filename"), F.lit(SALTS))
-    dealt = records.repartition(F.col("session"), salt)
+    dealt = records.hint("rebalance", "session")
     dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file).partitionBy("session").parquet(root)
 
 
@@ -43,26 +53,73 @@ def write_texts(docs: DataFrame, path: str, column: str = "body_text") -> None:
     docs.select(column).write.mode("overwrite").text(path)
 
 
-def write_files(docs: DataFrame, root: str, name: Column, content: Column) -> int:
-    """A file of its own for each row, root/<name> with `content` as UTF-8, by the tasks that
-    hold the rows; folders are made, files replaced.  Returns the number of files.
+@dataclass
+class Staged(WriterCommitMessage):
+    """What one task has written: its folder below the job's, and the names of its files."""
 
-    `root` is a URI or path that the executors share and pyarrow can open.
+    folder: str
+    names: list[str]
+
+
+class FileWriter(DataSourceArrowWriter):
+    """Rows (name, content) as files root/<name>, all of them or none; see `staging`.
+
+    Each attempt of a task has a folder of its own, and only the folders of the attempts that
+    Spark commits are moved, so that failed and speculative attempts leave no file.
     """
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
+    def __init__(self, root: str):
+        self.root, self.job = root, staging.new_job()
 
-        store, top = fs.FileSystem.from_uri(root)
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Staged:
+        store, top = staging.opened(self.root)
+        folder, names = staging.new_job(), []
+        place = f"{top}/{staging.STAGED}/{self.job}/{folder}"
+        store.create_dir(place, recursive=True)
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store.create_dir(f"{top}/{name}".rpartition("/")[0], recursive=True)
-                with store.open_output_stream(f"{top}/{name}") as out:
+                staging.checked(name)
+                with store.open_output_stream(f"{place}/{len(names)}") as out:
                     out.write((text or "").encode())
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+                names.append(name)
+        return Staged(folder, names)
+
+    def commit(self, messages: list[Staged | None]) -> None:
+        staging.commit(self.root, self.job, [(f"{m.folder}/{k}", name) for m in messages if m for k, name in enumerate(m.names)])
+
+    def abort(self, messages: list[Staged | None]) -> None:
+        staging.abort(self.root, self.job)
+
 
+class FileSink(DataSource):
+    """df.write.format("files").option("path", root): a file for each row (name, content)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "files"
+
+    def schema(self) -> str:
+        return "name string, content string"
+
+    def writer(self, schema, overwrite: bool) -> FileWriter:
+        return FileWriter(self.options["path"])
+
+
+def write_files(docs: DataFrame, root: str, name: Column, content: Column) -> int:
+    """A file of its own for each row, root/<name> with `content` as UTF-8, by the tasks that
+    hold the rows; folders are made, files replaced, and all appear together.  Returns the
+    number of files, counted while they are written.
+
+    Rows without a name are left out; names that leave root, and two rows of one name, are
+    errors.  `root` is a URI or path that the executors share and pyarrow can open.
+    """
+    spark = docs.sparkSession
+    spark.dataSource.register(FileSink)
+    staging.recover(root)
+    seen = Observation()
     rows = docs.select(name.cast("string").alias("name"), content.cast("string").alias("content")).where("name IS NOT NULL")
-    return rows.mapInArrow(emit, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows.observe(seen, F.count("*").alias("n")).write.format("files").option("path", root).mode("append").save()
+    return seen.get["n"]
 
 
 def write_result(result: DataFrame, root: str, name: str) -> int:
@@ -70,12 +127,19 @@ def write_result(result: DataFrame, root: str, name: str) -> int:
     return write_files(result.limit(1), root, F.lit(f"{name}.json"), document_json(result, *result.columns))
 
 
-def write_session_files(records: DataFrame, session: int, root: str, rows_per_file: int = 1_000_000) -> list[str]:
-    """One session's records, `session` among the columns, as root/<session>/train-<k>-of-<n>.parquet."""
+def write_session_files(records: DataFrame, session: int, root: str, rows_per_file: int = 1_000_000, measures: Mapping[str, Column] | None = None) -> Written:
+    """One session's records, `session` among the columns, as root/<session>/train-<k>-of-<n>.parquet.
+
+    Rows, and `measures` (named aggregates over the records), are counted by the writing plan
+    itself, so a session is scanned once.
+    """
     place = f"{root}/{session}"
     rows = records.where(F.col("session") == session)
+    seen = Observation()
+    told = {"rows": F.count("*"), **(measures or {})}
+    rows = rows.observe(seen, *[c.alias(k) for k, c in told.items()])
     rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(place)
-    return named_parts(records.sparkSession, place)
+    return Written(named_parts(records.sparkSession, place), seen.get)
 
 
 def named_parts(spark: SparkSession, place: str) -> list[str]:

@@ -13,8 +13,9 @@ LANDED = T.StructType([T.StructField("filename", T.StringType()), T.StructField(
 
 
 def landing(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Texts as they land; the checkpoint remembers the files already read."""
-    return spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """Texts as they land, with the time of their file; the checkpoint remembers the files already read."""
+    files = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    return files.select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 def ingest(landed: DataFrame, base_url: str, out: str, checkpoint: str, scraped_at: Column | None = None):

@@ -1,10 +1,14 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from lawloom.functions import scores
 from lawloom.operators import quality, rosters
+from lawloom.operators.documents import bill_documents, bill_versions, register_views
+from lawloom.plans.bills_view import bills
 from lawloom.plans.catalogue import QUERIES
-from lawloom.reports import comparison_markdown, field_changes, results_markdown, summary_markdown
+from lawloom.reports import comparison_reports, field_changes, score_changes, summary_report
 
 
 @pytest.mark.parametrize(
@@ -73,7 +77,10 @@ def test_summary(spark):
     s = quality.accept_summary(df).first()
     assert (s["total"], s["n_accepted"]) == (3, 2) and abs(s["success_rate"] - 200 / 3) < 1e-9
     assert quality.accept_summary(df.limit(0)).first()["success_rate"] == 0.0
-    assert "accepted: 2 of 3" in summary_markdown(df)
+    text = summary_report(df)
+    assert "| accepted | 2 of 3 (67 %) |" in text and "| mean metadata delta | +1.33 |" in text and "| best iteration | 1 (3.00) |" in text
+    with pytest.raises(ValueError, match="no iterations"):
+        summary_report(df.limit(0))
 
 
 def test_changes(spark):
@@ -82,16 +89,38 @@ def test_changes(spark):
     b = spark.createDataFrame([(1, "131-LD-0001", ["X"])], schema)
     rows = field_changes(a, b, "id", ("bill_id", "sponsors"))
     assert {(r["field"], r["status"]) for r in rows.collect()} == {("bill_id", "✅"), ("sponsors", "—")}
-    verdict = spark.createDataFrame([(1, True, "+1 metadata fields")], "id int, accepted boolean, reasoning string")
-    assert "**ACCEPTED**: +1 metadata fields" in comparison_markdown(rows, verdict, "id", 1)
 
 
-def test_result_report(spark):
-    row = lambda **x: spark.createDataFrame([tuple(x.values())], ", ".join(f"{k} {'boolean' if isinstance(v, bool) else 'int' if isinstance(v, int) else 'double' if isinstance(v, float) else 'string'}" for k, v in x.items())).first()
-    a, b = row(metadata_score=3, cleanliness_score=90.0, extraction_confidence=0.7), row(metadata_score=5, cleanliness_score=97.5, extraction_confidence=0.9)
-    text = results_markdown(a, b, row(accepted=True, reasoning="+2 metadata fields", metadata_delta=2, cleanliness_delta=7.5, confidence_delta=0.2))
-    assert "**ACCEPTED**: +2 metadata fields" in text and "- metadata: +2 fields" in text and "cleanliness improved by 7.5 points" in text
-    assert "REJECTED" in results_markdown(b, a, row(accepted=False, reasoning="lost", metadata_delta=-2, cleanliness_delta=-7.5, confidence_delta=-0.2))
+def test_comparison_reports(spark):
+    """Fields, scores and verdict of each document; what falls below its gate is marked."""
+    old = spark.createDataFrame([(1, None, 3, 90.0, 0.7), (2, "131-LD-0002", 5, 99.0, 0.9)], "id int, bill_id string, metadata_score int, cleanliness_score double, extraction_confidence double")
+    new = spark.createDataFrame([(1, "131-LD-0001", 5, 97.5, 0.9), (2, None, 4, 50.0, 0.7)], old.schema)
+    changes = score_changes(old, new, "id")
+    assert {(r["id"], r["measure"]) for r in changes.where("NOT kept").collect()} == {(2, "metadata_score"), (2, "cleanliness_score")}
+    verdicts = quality.compared(old, new, "id")
+    text = {r["id"]: r["markdown"] for r in comparison_reports(field_changes(old, new, "id", ("bill_id",)), changes, verdicts, "id").collect()}
+    assert text[1].startswith("# 1 accepted\n\n+2 metadata fields, +7.5 cleanliness, +0.20 confidence\n\n| measure |")
+    assert "| metadata_score | 3 → 5 (+2) |  |" in text[1] and "| bill_id |  | 131-LD-0001 | ✅ |" in text[1]
+    assert text[2].startswith("# 2 rejected") and "| cleanliness_score | 99.0 → 50.0 (-49.0) | lost |" in text[2]
+
+
+def test_versions_from_one_pass(spark, sf_dir):
+    raw = bills(spark, sf_dir)
+    both = bill_versions(raw, "direct_only", "uncleaned", "standard")
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Cosponsored by\\s+(") == 1
+    for v in ("direct_only", "uncleaned"):
+        got = both.select("doc_id", f"{v}.*")
+        want = bill_documents(raw, version=v).select(*got.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_versions_have_views(spark, sf_dir):
+    names = register_views(spark, bills(spark, sf_dir))
+    assert "bills_long_titles" in names
+    got = spark.sql("SELECT doc_id, title FROM bills_long_titles WHERE title IS NOT NULL")
+    want = bill_documents(bills(spark, sf_dir), version="long_titles").where("title IS NOT NULL").select("doc_id", "title")
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count() > 0
 
 
 def test_each_extractor_stands_once(spark, sf_dir):
@@ -106,3 +135,31 @@ def test_link_nearly_short_roster_names(spark):
     r = spark.createDataFrame([(1, "Li"), (2, "B"), (3, "Johnson")], "legislator_id int, last_name string")
     s = spark.createDataFrame([("OX",), ("XYZ",), ("LIAM",), ("WXYZQ",)], "sponsor string")
     assert {tuple(x) for x in rosters.link_nearly(s, r).collect()} == {("OX", 1, 2), ("LIAM", 1, 2)}
+    assert {x[0] for x in rosters.unmatched(s, r).collect()} == {"XYZ", "WXYZQ"}
+
+
+def test_near_matches_against_all_pairs(spark):
+    """Every pair within two edits, however the letters differ, and how many are as near."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    known = [(k, word(rng.randint(1, 7))) for k in range(40)]
+    asked = sorted({word(rng.randint(1, 8)) for _ in range(60)} | {"", "x" * 300, "-"})
+    r = spark.createDataFrame(known, "legislator_id long, last_name string")
+    s = spark.createDataFrame([(a,) for a in asked], "sponsor string")
+    got = {x["sponsor"]: tuple(x)[1:] for x in rosters.near_matches(s, r).collect()}
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i, *[0] * len(b)], row
+            for j, y in enumerate(b, 1):
+                row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+        return row[-1]
+
+    for a in asked:
+        if a.isalpha() and any(a == b for _, b in known):
+            assert a not in got
+            continue
+        near = sorted((edits(a, b), k) for k, b in known if a.isalpha() and edits(a, b) <= 2)
+        same = [k for d, k in near if d == near[0][0]]
+        assert got[a] == ((same[0], near[0][0], len(same), len(same) > 1) if near else (None, None, 0, False)), a
