@@ -281,6 +281,22 @@ def id_and_text(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id IS NOT NULL")
 
 
+def numbered_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """For a table (doc_id, text) in which a doc_id has several texts: the distinct texts under
+    numbers of their own, in order of doc_id and SHA-256, and (row_id, doc_id) for each row of
+    `docs`, row_id being the number of its text.  None if every doc_id has one text (the usual
+    case; it is found by an aggregate of hashes)."""
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    spread = docs.select("doc_id", h.alias("h")).groupBy("doc_id").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    if spread.where("a <> b").isEmpty():
+        return None
+    rows = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"), "text")
+    order = rows.select("doc_id", "sha").distinct().repartitionByRange("doc_id", "sha").sortWithinPartitions("doc_id", "sha")
+    numbers = materialised(order.withColumn("row_id", F.monotonically_increasing_id()))
+    texts = rows.join(numbers, ["doc_id", "sha"])
+    return materialised(texts.select(F.col("row_id").alias("doc_id"), "text").dropDuplicates(["doc_id"])), materialised(texts.select("row_id", "doc_id"))
+
+
 # --------------------------------------------------------------------------- components
 
 

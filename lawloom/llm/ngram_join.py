@@ -26,8 +26,8 @@ Equality of sets and n-grams is that of 64-bit hashes.
 
 Defined results: words are compared with A-Z lower-cased; fewer than four words make one
 shingle of them all; a null text or one without words has no shingles and no links; rows of
-equal doc_id share their component (of different texts under one doc_id only one is held
-against others); the least doc_id names a component; repeated rows and very long texts need no
+equal doc_id share their component (each of their texts is held against others, and what they
+link to is one component); the least doc_id names a component; repeated rows and very long texts need no
 care; rows without a doc_id are left out; extra columns are ignored.
 """
 
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_text, mapped, materialised, mix, prefix, ragged, span, to_long, words_of
+from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_text, mapped, materialised, mix, numbered_texts, prefix, ragged, span, to_long, words_of
 
 SHINGLE, PERCENT = 4, 85
 MAX_BITS = 1 << 18
@@ -213,6 +213,21 @@ def room(a: str, b: str, percent: int) -> Column:
 def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, star_rounds: int = 4) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of `docs`."""
     docs = id_and_text(docs)
+    apart = numbered_texts(docs)
+    if apart is None:
+        return set_components(docs, width, percent, star_rounds)
+    # every text takes part on its own; components that share a doc_id are one
+    texts, rows = apart
+    own = materialised(rows.join(set_components(texts, width, percent, star_rounds).withColumnRenamed("doc_id", "row_id"), "row_id"))
+    least = own.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    shared = components(own.join(least, "doc_id").select("a", F.col("component_id").alias("b")))
+    whole = own.join(shared.withColumnRenamed("node", "component_id"), "component_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("whole"))
+    named = whole.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    return whole.join(named, "whole").select("doc_id", "n_shingles", "component_id")
+
+
+def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int) -> DataFrame:
+    """The same for rows of which equal doc_ids have equal texts."""
     frequent = frequent_shingles(docs, width)
     seen = materialised(profile(docs, width, percent, frequent))
     some = seen.where("n > 0")

@@ -36,6 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,13 +194,18 @@ def units_of(c: Chunk, v: Vocabulary) -> Units:
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Chunk]]]:
-    """(block, chunks): consecutive rows of a partition of about BLOCK_BYTES; the same rows give
-    the same block, whoever reads them."""
+    """(block, chunks): consecutive rows of a partition of about BLOCK_BYTES.  A block is named by
+    a digest of its ids and texts, so the same rows give the same block, whoever reads them, and
+    blocks of one name are equal."""
     held: list[Chunk] = []
     size = 0
 
     def name() -> int:
-        return hash((int(held[0].ids[0]), int(held[-1].ids[-1]), sum(map(len, held)), size))
+        digest = xxhash.xxh3_128()
+        for c in held:
+            for part in (c.ids, c.offsets, c.data):
+                digest.update(np.ascontiguousarray(part))
+        return digest.intdigest() >> 65
 
     for batch in batches:
         for c in chunks(batch):
@@ -323,9 +329,10 @@ def unpack_answers(blobs: pa.ChunkedArray, units: int) -> tuple[np.ndarray, np.n
     number, size, flat = np.concatenate(numbers), np.concatenate(sizes), np.concatenate(flats)
     if len(number) and number.max() >= units:
         raise RuntimeError("the rows of a block changed between two reads: write the input first")
+    number, first = np.unique(number, return_index=True)  # equal blocks have asked for the same
     every = np.zeros(units, np.int64)
-    every[number] = size
-    return gathered(flat, size, np.argsort(number)), every
+    every[number] = size[first]
+    return gathered(flat, size, first), every
 
 
 # ------------------------------------------------------------ the lattice
@@ -460,8 +467,8 @@ def encoded_units(units: DataFrame, v: Vocabulary) -> DataFrame:
 # ------------------------------------------------------------ documents
 
 
-def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) -> pa.Table:
-    """The rows of a block from its texts and the ids of its units."""
+def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary, strict: bool = False) -> pa.Table:
+    """The rows of a block from its texts and the ids of its units; strict: see `encode`."""
     known = np.zeros(0, U)
     wide: dict[int, list[int]] = {}  # units that Spark leaves out, by hash
     inside: list[tuple[np.ndarray, ...]] = []  # for each chunk its units, which of them stands where, each document's first
@@ -492,6 +499,8 @@ def put_together(packed: pa.Scalar, answers: pa.ChunkedArray, v: Vocabulary) ->
         edges = ends[first]
         same = decoded_as(ids, edges, c, v)
         if not same.all():  # never seen: two units of a block with one hash
+            if strict:
+                raise RuntimeError(f"{int((~same).sum())} texts don't decode to themselves")
             lists = [ids[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
             for i in np.flatnonzero(~same).tolist():
                 lists[i] = np.array(encode_unit(BLANK + c.text(i).decode().replace(" ", BLANK), v), np.int32)
@@ -517,8 +526,11 @@ def decoded_as(ids: np.ndarray, edges: np.ndarray, c: Chunk, v: Vocabulary) -> n
     return np.array([data[a:b] == text[d:e] for a, b, d, e in zip(have[:-1], have[1:], want[:-1], want[1:], strict=True)], bool)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids and round_trip (whether the ids decode to the text) of each row."""
+def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, strict: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids and round_trip (whether the ids decode to the text) of each row.
+
+    strict: a text that would be encoded anew in plain Python is an error instead.
+    """
     v = vocabulary or load()
     docs = id_and_text(docs)
     parts = partitions_of(docs)
@@ -529,7 +541,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     packed = mapped(docs, pack, "block long, packed array<binary>")
 
     def put(left: pa.Table, right: pa.Table) -> pa.Table:
-        tables = [put_together(x, right["answers"], v) for x in left["packed"]]
+        tables = [put_together(x, right["answers"], v, strict) for x in left["packed"]]
         return pa.concat_tables(tables) if tables else pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())), "round_trip": pa.array([], pa.bool_())})
 
     both = packed.groupBy("block").cogroup(answers.groupBy("block"))

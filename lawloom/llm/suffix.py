@@ -23,9 +23,9 @@ part whose shared bytes are frequent too is dealt window by window.  So no group
 with the corpus meets in one task.
 
 Defined results: a null or empty text has no bytes; strings never cross documents; rows of
-equal doc_id do not count as earlier than each other (repeated rows are cut alike; of different
-texts under one doc_id each is cut at the places found in either); of equal strings within a
-document the first stays; a very long text is a chunk of its own; rows without a doc_id are left out;
+equal doc_id and text do not count as earlier than each other (they are cut alike); of different
+texts under one doc_id that of the lesser SHA-256 is the earlier document; of equal strings within
+a document the first stays; a very long text is a chunk of its own; rows without a doc_id are left out;
 extra columns are ignored.  Whole runs and the windows of very frequent parts are compared by
 64-bit hashes, all others byte by byte.  Cutting may leave bytes that aren't valid UTF-8, so the kept
 text is binary.
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, U, Chunk, chunks, id_and_text, mapped, materialised, mix, owner, partitions_of, prefix, sliding_min, span, to_long
+from .common import BYTE_CODE, U, Chunk, chunks, id_and_text, mapped, materialised, mix, numbered_texts, owner, partitions_of, prefix, sliding_min, span, to_long
 
 LENGTH = 100
 ANCHOR = 32
@@ -532,6 +532,16 @@ def cut(told: DataFrame, length: int) -> DataFrame:
 def dedup_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (bytes) of each row of `docs`."""
     docs = id_and_text(docs)
+    apart = numbered_texts(docs)
+    if apart is None:
+        return dedup_texts(docs, length, anchor, shard_bytes)
+    texts, rows = apart
+    found = dedup_texts(texts, length, anchor, shard_bytes).withColumnRenamed("doc_id", "row_id")
+    return rows.join(found, "row_id").drop("row_id")
+
+
+def dedup_texts(docs: DataFrame, length: int, anchor: int, shard_bytes: int) -> DataFrame:
+    """The same for rows of which equal doc_ids have equal texts."""
     parts = partitions_of(docs)
     frequent = frequent_keys(docs, length, anchor)
     rows = run_rows(docs, length, anchor, frequent).repartition(parts, F.expr(DEALT)).sortWithinPartitions("key", "run", "doc_id")

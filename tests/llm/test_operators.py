@@ -547,3 +547,48 @@ def test_op12_scans_what_is_unseen(spark):
     before = len(ledger.runs())
     os.makedirs(f"{folder}/run=dead")
     assert len(ledger.runs()) == before
+
+
+# ------------------------------------------------------------ several texts under one doc_id
+
+
+def test_op5_several_texts_under_one_id(spark):
+    """Every text is cut at its own places; the texts of an id come in order of their digests."""
+    rng = random.Random(12)
+    junk = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = junk(300)
+    for third in ("short", junk(900), passage[20:260]):
+        rows = [(0, passage), (1, junk(500) + passage), (1, third), (1, third), (2, passage[:150]), (2, None), (-5, junk(50))]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(r.kept)) for r in suffix.dedup_strings(df).collect())
+        apart = sorted(set(rows), key=lambda r: (r[0], brute.sha((r[1] or "").encode())))
+        want = brute.op5([(k, t) for k, (_, t) in enumerate(apart)])
+        assert got == Counter((i, *want[apart.index((i, t))]) for i, t in rows)
+
+
+def test_op7_several_texts_under_one_id(spark):
+    """Both texts of an id link; what they link to is one component."""
+    words = lambda s, n: " ".join(f"{s}{k}" for k in range(n))
+    a, b, c = words("a", 200), words("b", 200), words("c", 200)
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (4, c), (5, c + " x"), (6, None), (7, "lone text of words"), (7, None), (7, "lone text of words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.component_id) for r in ngram_join.jaccard_components(df).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 7), (7, 7), (7, 7)]
+
+
+@pytest.mark.parametrize("texts", [("hello big word there", "aaaaaaaaaaaaaaaaaaaa"), ("the same row in both", "the same row in both")])
+def test_op6_blocks_of_equal_ids(spark, tmp_path, texts):
+    """Files whose rows have one id: blocks differ by their texts, and equal blocks are one."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    assert [len(t) for t in texts] == [20, 20]
+    for t in texts:
+        spark.createDataFrame([(1, t)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    got = pieces.encode(spark.read.parquet(str(tmp_path / "docs")), strict=True).collect()
+    assert sorted(r.ids for r in got) == sorted(sp.encode(t) for t in texts) and all(r.round_trip for r in got)
+
+
+def test_op6_leaves_nothing_to_the_rescue(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert pieces.encode(docs.union(docs), strict=True).where("round_trip").count() == 2 * docs.count()
