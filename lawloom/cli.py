@@ -6,16 +6,17 @@ import argparse
 import importlib
 import logging
 import sys
+import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.documents import bill_documents, bill_records, quarantined
+from .operators.documents import bill_documents, bill_records
 from .operators.quality import below_gate, gate_measures
 from .operators.selection import filename_counts, valid_filenames
 from .publish import FolderPublisher, publish_session, sync_card
-from .sources.listing import UrlSource, listed_files
+from .sources.listing import UrlSource, crawled, land, listed_files
 from .sources.readers import Decoder, decoded, text_of_pages
 from .sources.sinks import write_session_files
 
@@ -27,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("landed", nargs="?", help="Parquet of filename and raw_text; without it, sessions are fetched from --base-url")
     p.add_argument("--decoder", default="lawloom.sources.readers:pdf_pages", metavar="MODULE:FUNCTION", help="bytes of a file to the texts of its pages")
     p.add_argument("--sessions", type=int, nargs="+", default=[132])
+    p.add_argument("--all-sessions", action="store_true", help="find the sessions and their files from the root listing")
+    p.add_argument("--resume", metavar="DIR", help="land what is fetched here, and go on there after a killed run")
     p.add_argument("--publish", metavar="DIR", help="publish to this folder and write its card")
     p.add_argument("--repo-id", default="bills", help="name of the data set on its card")
     p.add_argument("--base-url", default="", help="where <session>/<filename>.pdf lie, and prefix of the source URLs")
@@ -48,23 +51,36 @@ def counted(names: DataFrame) -> DataFrame:
     return valid_filenames(names)
 
 
-def fetched_session(spark: SparkSession, base_url: str, session: int, decoder: Decoder, workers: int = 8) -> DataFrame:
-    """filename and raw_text of the files that a session's listing names; files that can't be
-    fetched or decoded are logged and left out.  A listing is one page, so its names are few."""
+def listed_urls(spark: SparkSession, base_url: str, session: int) -> list[str]:
+    """The files with valid names that a session's listing names; a listing is one page."""
     spark.dataSource.register(UrlSource)
-    urls = lambda x: spark.read.format("urls").option("urls", "\n".join(x)).option("workers", workers).load()
     top = f"{base_url.rstrip('/')}/{session}/"
-    page = urls([top])
+    page = spark.read.format("urls").option("urls", top).load()
     if (error := page.first()["error"]) is not None:
         raise RuntimeError(f"{top}: {error}")
     names = counted(listed_files(page.select(F.decode("content", "utf-8").alias("html"))).distinct())
-    files = urls([f"{top}{r['filename']}.pdf" for r in names.orderBy("filename").collect()])
-    files = files.withColumn("filename", F.regexp_extract("url", r"([^/]*)\.pdf$", 1))
-    good, bad = quarantined(files)
-    pages, broken = quarantined(decoded(good.drop("error"), decoder).persist())
-    for r in bad.select("filename", "error").union(broken.select("filename", "error")).toLocalIterator():
+    return [f"{top}{r['filename']}.pdf" for r in names.orderBy("filename").collect()]
+
+
+def crawled_urls(files: DataFrame, session: int) -> list[str]:
+    """The same from a crawl's files."""
+    named = files.where(F.col("session") == session).select("url", F.regexp_extract("url", r"([^/]*)\.pdf$", 1).alias("filename"))
+    return [r["url"] for r in counted(named).orderBy("url").collect()]
+
+
+def fetched_files(spark: SparkSession, urls: list[str], decoder: Decoder, workers: int = 8, resume: str | None = None) -> DataFrame:
+    """filename and raw_text of a session's files; those that can't be fetched or decoded are
+    logged and left out.  With `resume` they are landed there, and not fetched again."""
+    if resume:
+        files = land(spark, urls, resume, budget=8 * workers, per_host=workers)
+    else:
+        files = spark.read.format("urls").option("urls", "\n".join(urls)).option("workers", workers).load()
+    files = files.withColumn("filename", F.regexp_extract("url", r"([^/]*)\.pdf$", 1)).withColumnRenamed("error", "missing")
+    pages = decoded(files, decoder).persist()  # one fetch and one decoding serve the log and the records
+    reason = F.coalesce("missing", "error")
+    for r in pages.select("filename", reason.alias("error")).where("error IS NOT NULL").toLocalIterator():
         log.error("failed to process %r; skipping: %s", r["filename"], r["error"])
-    return pages.select("filename", text_of_pages(F.col("pages")).alias("raw_text"))
+    return pages.where("missing IS NULL AND error IS NULL").select("filename", text_of_pages(F.col("pages")).alias("raw_text"))
 
 
 def log_gate(session: int, counted: dict) -> None:
@@ -78,8 +94,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     now = F.lit(datetime.now(UTC).isoformat())
     landed = counted(spark.read.parquet(args.landed)) if args.landed else None
     to = FolderPublisher(args.publish) if args.publish else None
-    for s in args.sessions:
-        rows = landed if landed is not None else fetched_session(spark, args.base_url, s, decoder_named(args.decoder), args.workers)
+    sessions, files = args.sessions, None
+    if landed is None and args.all_sessions:
+        folder = args.resume or f"{args.local_dir}/_crawls/{uuid.uuid4().hex}"
+        files = crawled(spark, args.base_url, f"{folder}/crawl", args.workers).persist()
+        sessions = sorted(r["session"] for r in files.select("session").distinct().collect())
+    for s in sessions:
+        rows = landed
+        if rows is None:
+            urls = listed_urls(spark, args.base_url, s) if files is None else crawled_urls(files, s)
+            rows = fetched_files(spark, urls, decoder_named(args.decoder), args.workers, args.resume and f"{args.resume}/{s}")
         url = args.base_url if args.landed else f"{args.base_url.rstrip('/')}/{s}/"
         records = bill_records(bill_documents(rows), url, scraped_at=now)
         if to:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 SMALL = 5_000  # names up to which the roster is an array in the plan
 
 
-def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "sponsors", name: str = "last_name", key: str | None = None) -> DataFrame:
+def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "sponsors", name: str = "last_name") -> DataFrame:
     """Keep the sponsors whose upper-case form is known, in order and as written; null stays null.
 
     No roster leaves all; an empty one removes all.  A small roster (counted, never more than
-    SMALL names) is a literal of the plan; a larger one is joined, for which `key` names a
-    column that tells the rows of `docs` apart.
+    SMALL names) is a literal of the plan; with a larger one each different list is judged once
+    by a join, and the answers are joined back by the list itself.
     """
     if known is None:
         return docs
@@ -21,12 +21,11 @@ def validate_sponsors(docs: DataFrame, known: DataFrame | None, column: str = "s
     if len(names) <= SMALL:
         listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
         return docs.withColumn(column, F.filter(column, lambda s: F.array_contains(listed, F.upper(s))))
-    if key is None:
-        raise ValueError(f"a roster of more than {SMALL} names needs a key")
-    hits = docs.select(key, F.posexplode(column).alias("_pos", "_s")).join(known.select(F.col(name).alias("_known")).distinct(), F.upper("_s") == F.col("_known"), "left_semi")
-    kept = hits.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_s"))), lambda x: x["_s"]).alias("_kept"))
+    lists = docs.select(F.col(column).alias("_list")).where(F.size("_list") > 0).distinct()
+    hits = lists.select("_list", F.posexplode("_list").alias("_pos", "_s")).join(known.select(F.col(name).alias("_known")).distinct(), F.upper("_s") == F.col("_known"), "left_semi")
+    kept = hits.groupBy("_list").agg(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_s"))), lambda x: x["_s"]).alias("_kept"))
     some = F.when(F.col(column).isNotNull(), F.coalesce("_kept", F.array().cast("array<string>")))
-    return docs.join(kept, key, "left").select(*[some.alias(c) if c == column else F.col(c) for c in docs.columns])
+    return docs.join(kept, F.col(column) == F.col("_list"), "left").select(*[some.alias(c) if c == column else F.col(c) for c in docs.columns])
 
 
 def _plain(c: str):

@@ -287,7 +287,7 @@ def validate_sponsors_large(spark, sf_dir):
     """The same names in a roster that is joined."""
     more = spark.range(rosters.SMALL + 1).select(F.col("id").alias("legislator_id"), F.concat(F.lit("NAME "), F.col("id")).alias("last_name"))
     d = documents(spark, sf_dir, fields=("sponsors",)).select("doc_id", "sponsors")
-    return rosters.validate_sponsors(d, roster(spark).union(more), key="doc_id").select("doc_id", joined(F.col("sponsors")).alias("sponsors"))
+    return rosters.validate_sponsors(d, roster(spark).union(more)).select("doc_id", joined(F.col("sponsors")).alias("sponsors"))
 
 
 @query(FULL + "select doc_id, array_to_string(sponsors, '|') as sponsors from docs")

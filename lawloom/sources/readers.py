@@ -27,6 +27,9 @@ def decoded(files: DataFrame, decoder: Decoder) -> DataFrame:
         for batch in content:
             out = []
             for data in batch:
+                if data is None:  # nothing was fetched; that has an error of its own
+                    out.append((None, None))
+                    continue
                 try:
                     out.append((decoder(bytes(data)), None))
                 except Exception as e:  # kept as a row, so that one bad file never fails the job

@@ -1,6 +1,8 @@
 import json
 import threading
-from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
+import time
+from contextlib import contextmanager
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.error import URLError
 
 import pytest
@@ -137,20 +139,17 @@ def test_command_line(spark, sf_dir, tmp_path):
         assert rows.columns == BILL_RECORD.fieldNames() and {r[0] for r in rows.select("session").distinct().collect()} == {s}
 
 
-def test_command_line_fetches(spark, tmp_path):
-    """Listing, files, decoder and records from a server's folder; broken items are left out."""
-    top = tmp_path / "web" / "131"
-    top.mkdir(parents=True)
-    (top / "131-LD-0001.pdf").write_bytes("131st MAINE LEGISLATURE\nAn Act to Test".encode())
-    (top / "131-LD-0002.pdf").write_bytes(b"\xff")
-    names = ["131-LD-0001.pdf", "131-LD-0002.pdf", "131-LD-0003.pdf", "notes.pdf", "131-LD-0004.html"]
-    listed = "".join(f'<a href="/Open/131/{n}">{n}</a>' for n in names)
+@contextmanager
+def served(pages: dict[str, bytes], wait: float = 0.0):
+    """A server of these pages: its address, and the paths it was asked for."""
+    asked: list[str] = []
 
-    class Handler(SimpleHTTPRequestHandler):
+    class Handler(BaseHTTPRequestHandler):
         def do_GET(self):
-            place = tmp_path / "web" / self.path.lstrip("/")
-            found = listed.encode() if self.path == "/131/" else place.read_bytes() if place.is_file() else None
-            self.send_response(200 if found is not None else 404)
+            asked.append(self.path)
+            time.sleep(wait)
+            found = pages.get(self.path)
+            self.send_response(404 if found is None else 200)
             self.end_headers()
             self.wfile.write(found or b"")
 
@@ -160,12 +159,83 @@ def test_command_line_fetches(spark, tmp_path):
     server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     try:
-        args = cli.parser().parse_args(["--sessions", "131", "--base-url", f"http://127.0.0.1:{server.server_port}", "--decoder", "codecs:decode_utf8", "--local-dir", str(tmp_path / "out")])
+        yield f"http://127.0.0.1:{server.server_port}", asked
+    finally:
+        server.shutdown()
+
+
+def anchors_to(*names: str) -> bytes:
+    return "".join(f"<a href='{n}'>{n}</a>" for n in names).encode()
+
+
+def test_lanes_share_a_budget():
+    urls = [f"http://{h}/{k}" for k in range(5) for h in ("a", "b")] + ["http://c/1"]
+    got = listing.lanes(urls, 2)
+    assert sorted(u for lane in got for u in lane) == sorted(urls)
+    hosts = [{u.split("/")[2] for u in lane} for lane in got]
+    assert all(len(h) == 1 for h in hosts) and sorted(h.pop() for h in hosts) == ["a", "a", "b", "b", "c"]
+
+
+def test_a_killed_fetch_goes_on(spark, tmp_path):
+    """Batches that were landed aren't fetched again, and each URL is a row once."""
+    names = [f"/f{k}.pdf" for k in range(12)]
+    with served({n: n.encode() for n in names if n != "/f5.pdf"}, wait=0.1) as (url, asked):
+        spark.dataSource.register(listing.UrlSource)
+        mark = f"{tmp_path}/land/checkpoint"
+        options = {"urls": "\n".join(url + n for n in names), "budget": 3, "per_host": 1, "checkpoint": mark}
+        q = spark.readStream.format("urls").options(**options).load().writeStream.format("parquet").option("checkpointLocation", mark).start(f"{tmp_path}/land/files")
+        until = time.time() + 90
+        while time.time() < until and not any(p.name == "1" for p in (tmp_path / "land" / "checkpoint" / "commits").glob("*")):
+            time.sleep(0.1)
+        q.stop()
+        early = len(asked)
+        assert early >= 6
+        assert listing.UrlStreamReader.planned(mark) >= 6
+        rows = listing.land(spark, [url + n for n in names], f"{tmp_path}/land", budget=3, per_host=2).collect()
+        assert sorted(r["url"] for r in rows) == sorted(url + n for n in names)
+        assert {r["url"].rpartition("/")[2] for r in rows if r["error"]} == {"f5.pdf"}
+        assert len(asked) <= len(names) + 3 and asked[:6] == names[:6]  # at most the batch that was under way comes again
+        n = len(asked)
+        assert listing.land(spark, [url + n for n in names], f"{tmp_path}/land", budget=3).count() == 12 and len(asked) == n
+
+
+def test_crawl_to_a_fixed_point(spark, tmp_path):
+    pages = {
+        "/LDs/": anchors_to("../", "131/", "/LDs/132", "notes/", "http://elsewhere.invalid/99/", "133/?C=N", "404/"),
+        "/LDs/131/": anchors_to("../", "131-LD-0001.pdf", "131-LD-0002.pdf#page=2", "131-LD-0001.pdf", "../132/"),
+        "/LDs/132/": anchors_to("132-LD-0001.pdf", "132-LD-0001.html", "/other/131-LD-9999.pdf", "bad name.pdf"),
+        "/LDs/133/": b"",
+        "/LDs/131/131-LD-0001.pdf": b"131st MAINE LEGISLATURE\nAn Act to Test",
+    }
+    with served(pages) as (url, asked):
+        found = {(r["session"], r["url"].removeprefix(url)) for r in listing.crawled(spark, f"{url}/LDs", str(tmp_path / "crawl")).collect()}
+        assert found == {(131, "/LDs/131/131-LD-0001.pdf"), (131, "/LDs/131/131-LD-0002.pdf"), (132, "/LDs/132/132-LD-0001.pdf"), (132, "/LDs/132/bad name.pdf")}
+        assert sorted(asked) == ["/LDs/", "/LDs/131/", "/LDs/132/", "/LDs/133/", "/LDs/404/"]
+        assert listing.crawled(spark, f"{url}/LDs", str(tmp_path / "crawl")).count() == 4 and len(asked) == 5
+        with pytest.raises(RuntimeError, match="404"):
+            listing.crawled(spark, f"{url}/none", str(tmp_path / "none"))
+        args = cli.parser().parse_args(["--all-sessions", "--base-url", f"{url}/LDs", "--resume", str(tmp_path / "land"), "--local-dir", str(tmp_path / "out")])
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(cli, "decoder_named", lambda name: lambda content: [content.decode()])
+            cli.run(spark, args)
+        assert [r["title"] for r in spark.read.parquet(str(tmp_path / "out" / "131")).collect()] == ["An Act to Test"]
+        assert spark.read.parquet(str(tmp_path / "out" / "132")).count() == 0
+
+
+def test_command_line_fetches(spark, tmp_path):
+    """Listing, files, decoder and records from a server's folder; broken items are left out."""
+    top = tmp_path / "web" / "131"
+    top.mkdir(parents=True)
+    (top / "131-LD-0001.pdf").write_bytes("131st MAINE LEGISLATURE\nAn Act to Test".encode())
+    (top / "131-LD-0002.pdf").write_bytes(b"\xff")
+    names = ["131-LD-0001.pdf", "131-LD-0002.pdf", "131-LD-0003.pdf", "notes.pdf", "131-LD-0004.html"]
+    listed = "".join(f'<a href="/Open/131/{n}">{n}</a>' for n in names)
+
+    with served({"/131/": listed.encode(), **{f"/131/{p.name}": p.read_bytes() for p in top.iterdir()}}) as (url, _):
+        args = cli.parser().parse_args(["--sessions", "131", "--base-url", url, "--decoder", "codecs:decode_utf8", "--local-dir", str(tmp_path / "out")])
         with pytest.MonkeyPatch.context() as m:
             m.setattr(cli, "decoder_named", lambda name: lambda content: [content.decode()])
             cli.run(spark, args)
-    finally:
-        server.shutdown()
     r = spark.read.parquet(str(tmp_path / "out" / "131")).collect()
     assert [(x["source_filename"], x["title"]) for x in r] == [("131-LD-0001", "An Act to Test")]
     assert r[0]["source_url"].endswith("/131/131-LD-0001.pdf")
