@@ -50,7 +50,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(documents(spark, sf_dir))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_secret")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans", "n_secret", "n_name", "n_address")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
