@@ -47,13 +47,13 @@ COSPONSORS = r"Cosponsored by\s+(.+?)(?:Be it enacted|Presented by|Introduced by
 COSPONSOR_OF = rf"{OFFICE}{PERSON}\s+of\s+[A-Za-z\s]+(?:\s+and)?"
 COSPONSOR_ALONE = rf"{OFFICE}{PERSON}\b(?:\s+(?:and|of)|,|$)"
 LOOSE_HYPHEN = r"([A-Z])\s*-\s*([A-Z])"
-# Words that no sponsor's name has.
+# Words that no sponsor's name has.
 NOT_NAMES = (
-    "President Speaker Secretary Clerk Chief Governor Mayor Attorney General Commissioner Treasurer "
-    "State States Department Senate House Bureau Office Committee Government Council Commission Administration "
-    "Session Regular Special Legislature Legislative Constitution People Law Code Rules "
-    "The Maine Number Town Houses Hall Chamber County District Districts"
-).split()
+    "President", "Speaker", "Secretary", "Clerk", "Chief", "Governor", "Mayor", "Attorney", "General", "Commissioner", "Treasurer",
+    "State", "States", "Department", "Senate", "House", "Bureau", "Office", "Committee", "Government", "Council", "Commission", "Administration",
+    "Session", "Regular", "Special", "Legislature", "Legislative", "Constitution", "People", "Law", "Code", "Rules",
+    "The", "Maine", "Number", "Town", "Houses", "Hall", "Chamber", "County", "District", "Districts",
+)
 
 TITLE_REF = r"Title\s+(\d+(?:-[A-Z])?),\s*(?:Section|§)\s+(\d+)"
 MRSA_REF = r"(\d+(?:-[A-Z])?)\s+MRSA\s+§(\d+(?:-[A-Z])?)"

@@ -16,7 +16,7 @@ from ..functions import cleaning, extract, filenames, scores
 from ..functions import patterns as P
 from ..functions.text import joined, normalised
 from ..operators import changes, quality, rosters, selection
-from ..operators.documents import bill_documents, bill_records, bill_versions, quarantined, register_views
+from ..operators.documents import bill_documents, bill_records, bill_versions, register_views
 from ..publish import config_lines, session_numbers
 from ..reports import field_changes
 from ..sources import readers
@@ -537,11 +537,9 @@ def decoded_pages(spark, sf_dir):
 
     files = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL").select("doc_id", F.col("text").cast("binary").alias("content"))
     d = readers.decoded(files, pages_or_error)
-    good, bad = quarantined(d)
     text = lambda f: F.md5(f(F.col("pages")).cast("binary"))
-    none = F.lit(None).cast("string")
-    rows = good.select("doc_id", "error", text(readers.text_of_pages).alias("pages_md5"), text(readers.text_of_page_lines).alias("lines_md5"))
-    return rows.union(bad.select("doc_id", "error", none, none))
+    # null where the decoder failed: one pass over the files serves both kinds of rows
+    return d.select("doc_id", "error", text(readers.text_of_pages).alias("pages_md5"), text(readers.text_of_page_lines).alias("lines_md5"))
 
 
 @query(FULL + "select doc_id, cast(json_object('bill_id', bill_id, 'title', title, 'session', session, 'extraction_confidence', extraction_confidence, 'sponsors', sponsors, 'introduced_date', introduced_date, 'committee', committee, 'amended_code_refs', amended_code_refs) as varchar) as json from scored")
