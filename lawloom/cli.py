@@ -18,7 +18,7 @@ from .operators.selection import filename_counts, valid_filenames
 from .publish import FolderPublisher, publish_session, sync_card
 from .sources.listing import UrlSource, crawled, land, listed_files
 from .sources.readers import Decoder, decoded, text_of_pages
-from .sources.sinks import write_session_files
+from .sources.sinks import Written, write_all_session_files, write_session_files
 
 log = logging.getLogger(__name__)
 
@@ -83,10 +83,12 @@ def fetched_files(spark: SparkSession, urls: list[str], decoder: Decoder, worker
     return pages.where("missing IS NULL AND error IS NULL").select("filename", text_of_pages(F.col("pages")).alias("raw_text"))
 
 
-def log_gate(session: int, counted: dict) -> None:
-    """Rows and rates of a session, all counted by the plan that wrote it."""
-    log.info("session %d: %d records", session, counted["rows"])
-    for k, v in below_gate(counted).items():
+def log_written(session: int, done: Written) -> None:
+    """Files, rows and rates of a session, all counted by the plan that wrote it."""
+    for f in done.files:
+        log.info("saved %s", f)
+    log.info("session %d: %d records", session, done.counted["rows"])
+    for k, v in below_gate(done.counted).items():
         log.warning("session %d: %s is %.2f, below its gate", session, k, v)
 
 
@@ -99,6 +101,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         folder = args.resume or f"{args.local_dir}/_crawls/{uuid.uuid4().hex}"
         files = crawled(spark, args.base_url, f"{folder}/crawl", args.workers).persist()
         sessions = sorted(r["session"] for r in files.select("session").distinct().collect())
+    if landed is not None and not to:  # one scan of the landed texts for all sessions
+        records = bill_records(bill_documents(landed), args.base_url, scraped_at=now)
+        for s, done in write_all_session_files(records, sessions, args.local_dir, measures=gate_measures()).items():
+            log_written(s, done)
+        return
     for s in sessions:
         rows = landed
         if rows is None:
@@ -109,10 +116,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         if to:
             log.info("session %d: %d records", s, publish_session(records, s, to, args.local_dir))
         else:
-            done = write_session_files(records, s, args.local_dir, measures=gate_measures())
-            for f in done.files:
-                log.info("saved %s", f)
-            log_gate(s, done.counted)
+            log_written(s, write_session_files(records, s, args.local_dir, measures=gate_measures()))
     if to:
         sync_card(to, "Bills by session", args.repo_id, args.base_url)
 

@@ -121,10 +121,10 @@ def without_resolves(docs: DataFrame) -> DataFrame:
 
 
 def gate_measures() -> dict[str, Column]:
-    """The gate's rates over records, as aggregates that can be observed while they are written
-    (a record's session comes from its file name, so the rate of sessions isn't among them)."""
-    share = lambda test: F.avg(F.coalesce(test, F.lit(False)).cast("double"))
-    return {"sponsor_rate": share(F.size("sponsors") > 0), "committee_rate": share(F.col("committee") != ""), "title_rate": share(scores.has_title(F.col("title"))), "avg_confidence": F.avg("extraction_confidence")}
+    """What the gate's rates over records are means of, so that they can be observed while the
+    records are written (a record's session comes from its file name; its rate isn't among them)."""
+    given = lambda test: F.coalesce(test, F.lit(False)).cast("double")
+    return {"sponsor_rate": given(F.size("sponsors") > 0), "committee_rate": given(F.col("committee") != ""), "title_rate": given(scores.has_title(F.col("title"))), "avg_confidence": F.col("extraction_confidence")}
 
 
 def below_gate(rates: Mapping[str, float | None], gates: Mapping[str, float] | None = None) -> dict[str, float]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any, NamedTuple
 
@@ -130,18 +130,45 @@ def write_result(result: DataFrame, root: str, name: str) -> int:
 def write_session_files(records: DataFrame, session: int, root: str, rows_per_file: int = 1_000_000, measures: Mapping[str, Column] | None = None) -> Written:
     """One session's records, `session` among the columns, as root/<session>/train-<k>-of-<n>.parquet.
 
-    Rows, and `measures` (named aggregates over the records), are counted by the writing plan
-    itself, so a session is scanned once.
+    Rows, and the means of `measures` (named columns), are counted by the writing plan itself,
+    so a session is scanned once.
     """
     place = f"{root}/{session}"
     rows = records.where(F.col("session") == session)
     seen = Observation()
-    told = {"rows": F.count("*"), **(measures or {})}
+    told = {"rows": F.count("*"), **{k: F.avg(c) for k, c in (measures or {}).items()}}
     rows = rows.observe(seen, *[c.alias(k) for k, c in told.items()])
     rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(place)
     return Written(named_parts(records.sparkSession, place), seen.get)
 
 
+def write_all_session_files(records: DataFrame, sessions: Sequence[int], root: str, rows_per_file: int = 1_000_000, measures: Mapping[str, Column] | None = None) -> dict[int, Written]:
+    """The same for several sessions from one scan of `records`.
+
+    They are written together below root and renamed one by one, each replacing what was there.
+    """
+    spark, place = records.sparkSession, f"{root}/_writing/{staging.new_job()}"
+    seen = Observation()
+    mine = {s: F.col("session") == s for s in sessions}
+    told = {f"rows {s}": F.count_if(own) for s, own in mine.items()}
+    told |= {f"{k} {s}": F.avg(F.when(own, c)) for s, own in mine.items() for k, c in (measures or {}).items()}
+    rows = records.where(F.col("session").isin(*sessions)).observe(seen, *[c.alias(k) for k, c in told.items()])
+    parts = rows.withColumn("part", F.col("session")).hint("rebalance", "part")
+    parts.write.option("maxRecordsPerFile", rows_per_file).partitionBy("part").parquet(place)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for s in sessions:
+        written, final = path(f"{place}/part={s}"), path(f"{root}/{s}")
+        if not store.exists(written):  # no rows: a file that has the columns
+            spark.createDataFrame([], records.schema).coalesce(1).write.parquet(f"{place}/part={s}")
+        store.delete(final, True)
+        store.rename(written, final)
+        out[s] = Written(named_parts(spark, f"{root}/{s}"), {k: seen.get[f"{k} {s}"] for k in ("rows", *(measures or {}))})
+    store.delete(path(place), True)
+    return out
+
+
 def named_parts(spark: SparkSession, place: str) -> list[str]:
     """Rename the part files of a written folder in order, through Hadoop's file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path

@@ -143,12 +143,34 @@ def test_counted_while_written(spark, records, tmp_path):
 
     counted = records.coalesce(1).mapInArrow(seen, BILL_RECORD)
     done = sinks.write_session_files(counted, 125, str(tmp_path), measures=gate_measures())
-    want = records.where("session = 125").agg(F.count("*"), *gate_measures().values()).first()
+    want = records.where("session = 125").agg(F.count("*"), *map(F.avg, gate_measures().values())).first()
     assert scanned.value == records.count()
     assert [done.counted[k] for k in ("rows", *gate_measures())] == list(want)
     assert below_gate({"sponsor_rate": 0.5, "session_rate": None}) == {"sponsor_rate": 0.5}
 
 
+def test_sessions_from_one_scan(spark, records, tmp_path):
+    scanned = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            scanned.add(b.num_rows)
+            yield b
+
+    (tmp_path / "125").mkdir()
+    (tmp_path / "125" / "train-00007-of-00009.parquet").write_text("old")
+    done = sinks.write_all_session_files(records.coalesce(1).mapInArrow(seen, BILL_RECORD), [125, 126, 999], str(tmp_path), measures=gate_measures())
+    assert scanned.value == records.count()
+    for s in (125, 126):
+        own = records.where(F.col("session") == s)
+        want = own.agg(F.count("*"), *map(F.avg, gate_measures().values())).first()
+        assert [done[s].counted[k] for k in ("rows", *gate_measures())] == list(want)
+        back = spark.read.schema(BILL_RECORD).parquet(str(tmp_path / str(s)))
+        assert back.exceptAll(own).isEmpty() and back.count() == want[0]
+        assert files_below(tmp_path / str(s)) == ["_SUCCESS", "train-00000-of-00001.parquet"] or files_below(tmp_path / str(s)) == ["train-00000-of-00001.parquet"]
+    assert done[999].counted["rows"] == 0 and spark.read.parquet(str(tmp_path / "999")).columns == BILL_RECORD.fieldNames()
+
+
 def test_a_stream_of_sessions_resumes(spark, records, tmp_path):
     for s in (124, 125, 126, 127):
         sinks.write_session_files(records, s, str(tmp_path / "data"))
