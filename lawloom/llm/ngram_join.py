@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_text, mapped, materialised, mix, numbered_texts, prefix, ragged, span, to_long, words_of
@@ -50,6 +50,8 @@ MAX_BROADCAST = 500_000  # pairs whose ids are broadcast
 CROWDED = 2_000  # sets of several components that have an n-gram in their prefixes, beyond which it is put last
 MAX_CROWDED = 500_000  # n-grams put last in a round (four megabytes), those of most sets first
 ORDER_ROUNDS = 2
+EARLIER = 8  # n-grams before a row's own that it carries: sets that share many mostly share one of these
+LARGE = 128  # rows of a tile beyond which they carry their bitmaps
 MANY = 50  # pairs a class in contested tiles, beyond which another star step comes first
 
 
@@ -286,13 +288,20 @@ def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int)
         comp = components(links).withColumnRenamed("node", "doc_id")
         held = held.select("doc_id", "token", "tile", "left").join(comp, "doc_id", "left").select("doc_id", "token", "tile", "left", F.coalesce("component", "doc_id").alias("comp"))
 
-    # 3. all remaining pairs of different components within contested tiles
-    sides = held.join(reps.select("doc_id", "n"), "doc_id").select("doc_id", "n", "token", "tile", "comp", "left")
-    a, b = sides.alias("a"), sides.alias("b")
+    # 3. all remaining pairs of different components within contested tiles.  Two sets that share
+    # several n-grams meet in the tile of the first of them only, as far as each row knows the
+    # n-grams before its own.  Rows of large tiles carry the bitmaps, so that only pairs with room
+    # are made there; in small ones a set has few partners
+    ahead_of = Window.partitionBy("doc_id", "tile").orderBy(F.desc("left")).rowsBetween(-EARLIER, -1)
+    rows = held.select("doc_id", "token", "tile", "comp", "left", "size", F.collect_list("token").over(ahead_of).alias("earlier"))
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile")) & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp"))
     fits = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
     ahead = F.least("a.left", "b.left") * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
-    rest = a.join(b, meet & fits & ahead).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    may = meet & fits & ahead & ~F.arrays_overlap("a.earlier", "b.earlier")
+    paired = lambda sides, test: sides.alias("a").join(sides.alias("b"), test).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+    small = paired(rows.where(F.col("size") <= LARGE).join(reps.select("doc_id", "n"), "doc_id"), may)
+    large = paired(rows.where(F.col("size") > LARGE).join(reps.select("doc_id", "n", "bits"), "doc_id"), may & room("a", "b", percent))
+    rest = small.union(large).distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
     discard(held, rest, tried, reps, contested)  # what follows reads the profiles and the links alone
