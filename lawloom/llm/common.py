@@ -78,6 +78,7 @@ def mapped(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(batches)
+        _powers.clear()
         released()
 
     return df.mapInArrow(run, schema)
@@ -108,8 +109,8 @@ class Chunk:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
-def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id", rows: int | None = None) -> Iterator[Chunk]:
-    """Slices of a batch of about CHUNK_BYTES (and at most `rows` rows); a null text is an empty one."""
+def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id", rows: int | None = None, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    """Slices of a batch of about `size` bytes (and at most `rows` rows); a null text is an empty one."""
     if batch.num_rows == 0:
         return
     column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_string())
@@ -123,7 +124,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", key: str = "doc_id", rows:
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     a = 0
     while a < len(ids):
-        b = int(np.searchsorted(off, off[a] + CHUNK_BYTES, "right")) - 1
+        b = int(np.searchsorted(off, off[a] + size, "right")) - 1
         b = min(max(b, a + 1), a + (rows or len(ids)), len(ids))
         yield Chunk(ids[a:b], buf[off[a] : off[b]], off[a : b + 1] - off[a], a)
         a = b
@@ -141,7 +142,7 @@ _powers: dict[str, np.ndarray] = {}
 def _pow(base: U, n: int, name: str) -> np.ndarray:
     have = _powers.get(name)
     if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES + 1024), base, U)
+        steps = np.full(n + n // 8 + 1024, base, U)  # chunks differ a little in size
         steps[0] = 1
         have = _powers[name] = np.cumprod(steps)
     return have[:n]

@@ -197,12 +197,11 @@ def identified(docs: DataFrame, model: Model | None, least_gap: float = AMBIGUOU
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
             for c in chunks(batch, rows=CHUNK_ROWS):
                 lost = np.sort(model.losses(trigram_counts(c)), 1) if model else np.zeros((len(c), 0))
                 clear = lost[:, 1] - lost[:, 0] >= least_gap if lost.shape[1] > 1 else np.full(len(c), lost.shape[1] == 1)
-                keep[c.first_row : c.first_row + len(c)] = clear & [has_letter(c.text(i)) for i in range(len(c))]
-            yield batch.filter(pa.array(keep))
+                keep = clear & [has_letter(c.text(i)) for i in range(len(c))]
+                yield batch.slice(c.first_row, len(c)).filter(pa.array(keep, pa.bool_()))
 
     return mapped(docs.where("doc_id IS NOT NULL"), emit, docs.schema)
 

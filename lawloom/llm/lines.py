@@ -120,13 +120,13 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
             for c in chunks(batch):
+                ids, keys = [], []
                 for i, doc in enumerate(c.ids):
                     found = {hash_key(k) for k in map(line_key, c.text(i).split(b"\n")) if long_enough(k, min_chars)}
                     keys += found
                     ids += [doc] * len(found)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "key"])
 
     return mapped(docs, emit, "doc_id long, key long")
 
@@ -138,8 +138,8 @@ def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, n_lines, n_dropped = [], [], []
             for c in chunks(batch):
+                texts, n_lines, n_dropped = [], [], []
                 for i in range(len(c)):
                     lines = c.text(i).split(b"\n")
                     drops = set(list_of(batch, "_drops", c.first_row + i).tolist())
@@ -149,9 +149,9 @@ def rewrite(docs: DataFrame, min_chars: int) -> DataFrame:
                     texts.append(b"\n".join(kept).decode())
                     n_lines.append(len(lines))
                     n_dropped.append(len(lines) - len(kept))
-            columns = {f.name: batch.column(batch.schema.get_field_index(f.name)) for f in own}
-            columns |= {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                columns = {f.name: batch.column(batch.schema.get_field_index(f.name)).slice(c.first_row, len(c)) for f in own}
+                columns |= {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return mapped(docs, emit, schema)
 

@@ -46,6 +46,7 @@ from .common import U, Chunk, chunks, id_and_text, mapped, mix, partitions_of, p
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 BLOCK_BYTES = 16 << 20
+SLICE_BYTES = 1 << 18  # of a block that are cut into units at a time: some thirty bytes of memory each
 NONE = (1 << 18) - 1  # stands for no piece in a packed edge
 MAX_UNIT = 60  # characters of a unit that Spark encodes; boundaries are bits of a long
 
@@ -208,7 +209,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[Chunk]
         return digest.intdigest() >> 65
 
     for batch in batches:
-        for c in chunks(batch):
+        for c in chunks(batch, size=SLICE_BYTES):
             held.append(c)
             size += len(c.data)
             if size >= BLOCK_BYTES:

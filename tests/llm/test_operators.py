@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 from collections import Counter
 from inspect import signature
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lawloom.llm import divergence, doubling, fingerprint, langid, lines, mixing, ngram_join, phrases, pieces, pii, quality, queries, secrets, suffix
+from lawloom.llm import common, divergence, doubling, fingerprint, langid, lines, mixing, ngram_join, phrases, pieces, pii, quality, queries, secrets, suffix
 from lawloom.llm.common import chunks, components, radix_order
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -659,3 +660,40 @@ def test_op6_blocks_of_equal_ids(spark, tmp_path, texts):
 def test_op6_leaves_nothing_to_the_rescue(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert pieces.encode(docs.union(docs), strict=True).where("round_trip").count() == 2 * docs.count()
+
+
+def test_op6_memory_of_a_block():
+    """Units are cut in slices: what a block needs beside its text doesn't grow with a megabyte's characters."""
+    rng = np.random.default_rng(3)
+    some = ["".join(chr(97 + k) for k in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array([" ".join(some[k] for k in rng.integers(0, len(some), 2500)) for _ in range(200)])], ["doc_id", "text"])
+    v = pieces.load()
+    common._powers.clear()
+    tracemalloc.start()
+    try:
+        for f in (pieces.name_units(v), pieces.pack):
+            rows = sum(b.num_rows for b in f(iter([batch])))
+            assert rows > 0
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_stages_emit_by_chunk(spark, monkeypatch):
+    """A stage gives its rows chunk by chunk, not a whole Arrow batch at a time."""
+    emits = []
+    for module in (lines, langid):
+        monkeypatch.setattr(module, "mapped", lambda df, emit, schema: emits.append((emit, df.columns)) or df)
+    df = spark.createDataFrame([(1, "a b c", "en", "x", 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    lines.rewrite(df.withColumn("_drops", F.lit(None).cast("array<long>")), 20)
+    lines.line_keys(df, 20)
+    langid.identified(df, langid.Model(["en"], langid.codewords(1), np.zeros((langid.BUCKETS, 0)), np.zeros(0), np.zeros(0)))
+    text = "\n".join(f"some words of line {k} in this text" for k in range(1500))
+    n = 100
+    columns = {"doc_id": pa.array(range(n)), "text": pa.array([f"{text} {k}" for k in range(n)]), "lang": pa.array(["en"] * n), "source": pa.array(["x"] * n), "n_chars": pa.array([len(text)] * n), "_drops": pa.array([None] * n, pa.list_(pa.int64()))}
+    for emit, names in emits:
+        out = list(emit(iter([pa.RecordBatch.from_arrays([columns[k] for k in names], names)])))
+        assert len(out) > 3
+        assert len({x for b in out for x in b.column(0).to_pylist()}) == n
+        if "text" in out[0].schema.names:
+            assert pa.Table.from_batches(out)["text"].to_pylist() == columns["text"].to_pylist()
