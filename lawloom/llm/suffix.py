@@ -14,7 +14,8 @@ what can be equal:
    buckets in order; then adjacent common prefixes are computed, and windows that share
    100 bytes or more with their neighbours form classes, which keep their first document.
 4. Each document's removed stretches meet its text.  Repeats within a document are found
-   there, by the same two-stage suffix array.
+   there, by the same two-stage suffix array over what lies around the short strings that
+   recur in the document, many documents at a time.
 
 Very frequent keys (a list of bounded length, from a bounded sample of documents; it only
 steers the work) are dealt by key and run.  Their open runs are split by where the short
@@ -139,17 +140,16 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH, word: np.ndarray | None
 def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int = LENGTH, word: np.ndarray | None = None) -> np.ndarray:
     """Common prefix of each suffix with the one before it in `sa`, up to `most` bytes."""
     n, out = len(text), np.zeros(len(sa), np.int64)
-    padded = np.concatenate([text, np.zeros(most + 9, np.uint8)])
+    raw = np.append(words8(text), U(0))
     word = np.append(word_ranks(text) if word is None else word, -1)
     alive = np.arange(1, len(sa))
     k = 0
     while k < most and len(alive):
-        same = word[np.minimum(sa[alive] + k, n)] == word[np.minimum(sa[alive - 1] + k, n)]
-        ends = alive[~same]
-        left = np.full(len(ends), True)
-        for j in range(8):  # the last, partial step byte by byte
-            left &= padded[sa[ends] + k + j] == padded[sa[ends - 1] + k + j]
-            out[ends] += left
+        here, there = np.minimum(sa[alive] + k, n), np.minimum(sa[alive - 1] + k, n)
+        same = word[here] == word[there]
+        apart = raw[here[~same]] ^ raw[there[~same]]
+        for j in range(8):  # the last, partial step: leading bytes that are equal
+            out[alive[~same]] += apart < U(1) << U(56 - 8 * j)
         alive = alive[same]
         out[alive] += 8
         k += 8
@@ -168,21 +168,59 @@ def repeat_classes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
 # ------------------------------------------------------------ runs
 
 
+def found_twice(x: np.ndarray) -> np.ndarray:
+    """Which values are also found elsewhere in `x`."""
+    order = np.argsort(x)
+    same = x[order][1:] == x[order][:-1]
+    out = np.zeros(len(x), bool)
+    out[order] = np.append(False, same) | np.append(same, False)
+    return out
+
+
+def window_keys(c: Chunk, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """(sums, h, key, valid): the hashes of the short strings, the least of them in each window,
+    and which windows end within their document."""
+    sums = prefix(BYTE_CODE[c.data])
+    i = np.arange(len(c.data) - anchor + 1)
+    h = span(sums, i, i + anchor)
+    key = sliding_min(h, length - anchor + 1)
+    valid = np.arange(len(key)) + length <= np.repeat(c.offsets[1:], np.diff(c.offsets))[: len(key)]
+    return sums, h, key, valid
+
+
+def recurring(c: Chunk, length: int, anchor: int, sums: np.ndarray, h: np.ndarray, key: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, doc) of the short strings around which a window may recur in its own document.
+
+    Such a string is the least one of some window that holds it, and lies at the same place in
+    the other copy; so one of a few strings of about 84 bytes around it (`segments` has the
+    same) recurs with it."""
+    wide = length - anchor + 1
+    held = ~sliding_min(~np.concatenate([np.zeros(wide - 1, U), np.where(valid, key, U(0)), np.zeros(len(h) - len(key), U)]), wide)
+    place = np.flatnonzero(held == h)
+    doc = np.searchsorted(c.offsets, place, "right") - 1
+    twice = found_twice(h[place] ^ mix(doc.astype(U) + U(1)))
+    place, doc = place[twice], doc[twice]
+    free = length - anchor
+    step = max(free // 4, 1)
+    keep = np.zeros(len(place), bool)
+    for left in range(0, free + 1, step):
+        a, b = place - left, place + anchor + max(free - left - step + 1, 0)
+        inside = np.flatnonzero((a >= c.offsets[doc]) & (b <= c.offsets[doc + 1]))
+        both = span(sums, a[inside], b[inside]) ^ mix(doc[inside].astype(U) + U(1))
+        keep[inside] |= found_twice(both)
+    return place[keep], doc[keep]
+
+
 def runs_of(c: Chunk, length: int, anchor: int) -> tuple[np.ndarray, ...]:
     """(doc, at, n, key, run, within) of each run: first window, number of windows, key and
     hash of the bytes; `at` counts from the chunk's first byte.  within: the documents in
-    which some short string speaks for windows from two places, as it must if a window
-    recurs in its own document."""
+    which a window may recur."""
     z = np.zeros(0, np.int64)
     sizes = np.diff(c.offsets)
     if not (sizes >= length).any():
         return z, z, z, z.view(U), z.view(U), z
-    sums = prefix(BYTE_CODE[c.data])
-    i = np.arange(len(c.data) - anchor + 1)
-    h = span(sums, i, i + anchor)
-    key = sliding_min(h, length - anchor + 1)
+    sums, h, key, valid = window_keys(c, length, anchor)
     last = np.repeat(c.offsets[1:], sizes)[: len(key)]
-    valid = np.arange(len(key)) + length <= last
     new = np.empty(len(key), bool)
     new[0] = True
     np.not_equal(key[1:], key[:-1], out=new[1:])
@@ -194,14 +232,7 @@ def runs_of(c: Chunk, length: int, anchor: int) -> tuple[np.ndarray, ...]:
     stop = np.append(at[1:], len(key))
     end = np.minimum(stop, last[at] - length + 1)  # windows end with the document
     doc = np.searchsorted(c.offsets, at, "right") - 1
-    # places whose short string is the least of some window that holds it
-    wide = length - anchor + 1
-    held = ~sliding_min(~np.concatenate([np.zeros(wide - 1, U), np.where(valid, key, U(0)), np.zeros(len(h) - len(key), U)]), wide)
-    place = np.flatnonzero(held == h)
-    where = np.searchsorted(c.offsets, place, "right") - 1
-    mark = np.sort(h[place] ^ mix(where.astype(U) + U(1)))
-    twice = mark[1:][mark[1:] == mark[:-1]]
-    within = np.unique(where[np.isin(h[place] ^ mix(where.astype(U) + U(1)), twice)]) if len(twice) else z
+    within = np.unique(recurring(c, length, anchor, sums, h, key, valid)[1])
     return doc, at, end - at, key[at], span(sums, at, end + length - 1), within
 
 
@@ -387,6 +418,8 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
     different window, keyed by its hash and without bytes.  Windows that a batch itself shows to
     be repeated are marked at once, adjacent ones in one row."""
 
+    parts = np.append(np.sort(parts), U(0))  # the last is looked at beyond the others and equals none
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
@@ -403,7 +436,7 @@ def open_bytes(told: DataFrame, length: int, anchor: int, parts: np.ndarray) ->
                         runs.append((doc, o["key"], a, n, part))
                         continue
                     first, stop, sub = segments(part, n, np.array([o["key"]]).view(U)[0], length, anchor)
-                    for x, y, key, hot in zip(first.tolist(), stop.tolist(), to_long(sub).tolist(), np.isin(sub, parts).tolist(), strict=True):
+                    for x, y, key, hot in zip(first.tolist(), stop.tolist(), to_long(sub).tolist(), (parts[np.searchsorted(parts[:-1], sub)] == sub).tolist(), strict=True):
                         if hot:
                             k = np.arange(x, y)
                             wins.append((np.full(y - x, doc), to_long(span(prefix(BYTE_CODE[np.frombuffer(part, np.uint8)]), k, k + length)), a + k))
@@ -493,38 +526,61 @@ def sort_shards(length: int, shard_bytes: int) -> Callable:
     return emit
 
 
-def cut(told: DataFrame, length: int) -> DataFrame:
+def own_repeats(c: Chunk, length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """(doc, at, n) of the stretches of windows that start earlier in their own document, too.
+    Only what lies around recurring places is sorted, all documents of the chunk together."""
+    z = np.zeros(0, np.int64)
+    if not (np.diff(c.offsets) >= length).any():
+        return z, z, z
+    place, doc = recurring(c, length, anchor, *window_keys(c, length, anchor))
+    if not len(place):
+        return z, z, z
+    a = np.maximum(place - (length - anchor), c.offsets[doc])
+    b = np.minimum(place + length, c.offsets[doc + 1])
+    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (a[1:] > b[:-1])))  # overlapping ones are one
+    a, b, doc = a[new], b[np.append(new[1:], len(b)) - 1], doc[new]
+    text = np.frombuffer(b"\xff".join(c.data[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)) + b"\xff", np.uint8)
+    start = np.concatenate([[0], np.cumsum(b - a + 1)[:-1]])
+    sa, cls = repeat_classes(text, length)
+    piece = np.searchsorted(start, sa, "right") - 1
+    off = sa - start[piece]
+    ok = off + length <= (b - a)[piece]
+    cls, at, own = cls[ok], (a[piece] + off)[ok], doc[piece[ok]]
+    late = at > first_of(cls, own, at)
+    own, at, n = stretches(own[late], at[late])
+    return own, at - c.offsets[own], n
+
+
+def cut(told: DataFrame, length: int, anchor: int) -> DataFrame:
     """Remove each document's listed stretches and the repeats within it."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = lambda name: batch.column(batch.schema.get_field_index(name))
-            texts, drops, within = column("text"), column("drops"), column("within")
-            out: list[tuple] = []
-            for i, doc in enumerate(column("doc_id").to_pylist()):
-                data = (texts[i].as_py() or "").encode()
-                gone = drops[i].values
-                step = np.zeros(len(data) + 1, np.int32)
-                if gone is not None and len(gone):
-                    a, n = gone.field(0).to_numpy(zero_copy_only=False), gone.field(1).to_numpy(zero_copy_only=False)
-                    np.add.at(step, a, 1)
-                    np.add.at(step, a + n + length - 1, -1)
-                if within[i].as_py():
-                    text = np.frombuffer(data, np.uint8)
-                    sa, cls = repeat_classes(text, length)
-                    ok = sa + length <= len(text)
-                    sa, cls = sa[ok], cls[ok]
-                    edge = np.flatnonzero(np.append(True, cls[1:] != cls[:-1])) if len(sa) else sa
-                    first = np.repeat(np.minimum.reduceat(sa, edge), np.diff(np.append(edge, len(sa)))) if len(sa) else sa
-                    late = sa[sa > first]
-                    np.add.at(step, late, 1)
-                    np.add.at(step, late + length, -1)
+            drops = batch.column(batch.schema.get_field_index("drops"))
+            within = batch.column(batch.schema.get_field_index("within")).fill_null(False).to_numpy(zero_copy_only=False)
+            for c in chunks(batch):
+                listed = drops.slice(c.first_row, len(c))
+                gone = listed.flatten()
+                doc = np.repeat(np.arange(len(c)), listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                at, n = (gone.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+                some = np.flatnonzero(within[c.first_row : c.first_row + len(c)])
+                if len(some):
+                    ends = np.concatenate([[0], np.cumsum(np.diff(c.offsets)[some])])
+                    part = np.concatenate([c.data[c.offsets[i] : c.offsets[i + 1]] for i in some])
+                    own, a, m = own_repeats(Chunk(c.ids[some], part, ends, 0), length, anchor)
+                    doc, at, n = np.append(doc, some[own]), np.append(at, a), np.append(n, m)
+                size = len(c.data)
+                at += c.offsets[doc]
+                step = np.bincount(at, minlength=size + 1) - np.bincount(at + n + length - 1, minlength=size + 1)
                 bad = np.cumsum(step[:-1]) > 0
-                removed = int(bad.sum())
-                spans = int((bad & ~np.append(False, bad[:-1])).sum()) if removed else 0
-                out.append((doc, len(data), removed, spans, np.frombuffer(data, np.uint8)[~bad].tobytes() if removed else data))
-            x = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(x, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                begins = bad.copy()
+                begins[1:] &= ~bad[:-1]
+                heads = c.offsets[:-1][np.diff(c.offsets) > 0]
+                begins[heads] = bad[heads]
+                told_ = lambda x: np.append(0, np.cumsum(x))[c.offsets]  # noqa: E731, B023
+                lost, spans = told_(bad), np.diff(told_(begins))
+                kept = pa.Array.from_buffers(pa.binary(), len(c), [None, pa.py_buffer((c.offsets - lost).astype(np.int32)), pa.py_buffer(c.data[~bad])])
+                yield pa.RecordBatch.from_arrays([pa.array(c.ids, pa.int64()), *(pa.array(x, pa.int64()) for x in (np.diff(c.offsets), np.diff(lost), spans)), kept], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return mapped(told, emit, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
@@ -556,4 +612,4 @@ def dedup_texts(docs: DataFrame, length: int, anchor: int, shard_bytes: int) ->
     own = judged.where(F.col("kind") == WITHIN).select("doc_id", F.lit(None).cast("struct<at:int,n:int>").alias("s"), F.lit(True).alias("w"))
     drops = drops.union(own).groupBy("doc_id").agg(F.collect_list("s").alias("drops"), F.max("w").alias("within"))
     told = docs.join(drops.hint("shuffle_hash"), "doc_id", "left")
-    return cut(told, length)
+    return cut(told, length, anchor)

@@ -697,3 +697,17 @@ def test_stages_emit_by_chunk(spark, monkeypatch):
         assert len({x for b in out for x in b.column(0).to_pylist()}) == n
         if "text" in out[0].schema.names:
             assert pa.Table.from_batches(out)["text"].to_pylist() == columns["text"].to_pylist()
+
+
+def test_op5_documents_that_repeat_within():
+    """Only documents in which some 84 bytes recur are looked at again, many at a time."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(chr(97 + k) for k in rng.integers(0, 26, n))
+    short, long = word(40), word(180)
+    texts = [short + word(90) + short + word(90), long + word(50) + long, word(300), "", "ab" * 120, long + word(30)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    c = next(chunks(batch))
+    assert suffix.runs_of(c, 100, 32)[5].tolist() == [1, 4]
+    doc, at, n = suffix.own_repeats(c, 100, 32)
+    got = {(d, a + k) for d, a, m in zip(doc.tolist(), at.tolist(), n.tolist(), strict=True) for k in range(m)}
+    assert got == {(d, a) for d, t in enumerate(texts) for a in range(len(t) - 99) if t.find(t[a : a + 100]) < a}
