@@ -109,7 +109,7 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH, word: np.ndarray | None
     sign = np.sign(nxt - text.astype(np.int16))
     sign[-1] = -1
     change = np.flatnonzero(sign)
-    small = sign[change[np.searchsorted(change, np.arange(n))]] > 0
+    small = np.repeat(sign[change], np.diff(change, prepend=-1)) > 0
     ordered = sort_directly(np.flatnonzero(small), word_ranks(text) if word is None else word, depth + 8)
     head = text[ordered]
     cut = np.searchsorted(head, np.arange(257))
@@ -468,7 +468,7 @@ def sorted_shard(doc: np.ndarray, at: np.ndarray, pieces: list[bytes], length: i
     size = np.array([len(b) for b in pieces])
     start = np.concatenate([[0], np.cumsum(size + 1)[:-1]])
     sa, cls = repeat_classes(text, length)
-    piece = np.searchsorted(start, sa, "right") - 1
+    piece = np.repeat(np.arange(len(size)), size + 1)[sa]
     off = sa - start[piece]
     ok = off + length <= size[piece]
     cls, piece, off = cls[ok], piece[ok], off[ok]
