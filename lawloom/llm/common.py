@@ -302,28 +302,33 @@ def numbered_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for each node of `links` (a, b): the smallest node reachable.
+    """(node, component) for each node of `links` (a, b): the smallest node reachable."""
+    below = rooted(links, rounds)
+    return below.union(below.select(F.col("component").alias("node"), "component").distinct())
+
+
+def rooted(links: DataFrame, rounds: int = 60) -> DataFrame:
+    """The same without the smallest nodes themselves, which a left join doesn't need.
 
     Alternating large-star and small-star steps: each node links its larger, then its
-    smaller neighbours to its smallest one.  The number of links never grows, a hub's
+    smaller neighbours to its smallest one, until there are only stars around smallest nodes
+    (links that are stars already take no step).  The number of links never grows, a hub's
     links are aggregated by partial minima, and each round is checkpointed.
     """
     edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
     for _ in range(rounds):
-        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ways = F.array(F.struct(F.col("u"), F.col("v")), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(ways))
+        per = both.groupBy("u").agg(F.count_if(F.col("v") < F.col("u")).alias("smaller"), F.count("*").alias("n"))
+        if per.where("smaller > 0 AND n > 1").isEmpty():
+            break
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # large star: a larger neighbour v of u goes to u's smallest neighbour or u itself
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # large star: a larger neighbour u of v goes to v's smallest neighbour or v itself
+        large = edges.join(low.withColumnRenamed("u", "v"), "v").select("u", F.col("m").alias("v"))
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+        small = large.join(least, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).where("u <> v").distinct()
         edges = checkpointed(small)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

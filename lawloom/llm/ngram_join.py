@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, checkpointed, chunks, components, discard, id_and_text, mapped, materialised, mix, numbered_texts, prefix, ragged, span, to_long, words_of
+from .common import U, Chunk, checkpointed, chunks, discard, id_and_text, mapped, materialised, mix, numbered_texts, prefix, ragged, rooted, span, to_long, words_of
 
 SHINGLE, PERCENT = 4, 85
 MAX_BITS = 1 << 18
@@ -222,7 +222,7 @@ def jaccard_components(docs: DataFrame, width: int = SHINGLE, percent: int = PER
     texts, rows = apart
     own = materialised(rows.join(set_components(texts, width, percent, star_rounds).withColumnRenamed("doc_id", "row_id"), "row_id"))
     least = own.groupBy("doc_id").agg(F.min("component_id").alias("a"))
-    shared = components(own.join(least, "doc_id").select("a", F.col("component_id").alias("b")))
+    shared = rooted(own.join(least, "doc_id").select("a", F.col("component_id").alias("b")))
     whole = own.join(shared.withColumnRenamed("node", "component_id"), "component_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "component_id").alias("whole"))
     named = whole.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
     return whole.join(named, "whole").select("doc_id", "n_shingles", "component_id")
@@ -244,7 +244,7 @@ def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int)
     links = materialised(linked(materialised(with_room(tried, reps, percent)), docs, width, percent))
 
     # 2. contested tiles; they only become fewer as components merge
-    comp = components(links).withColumnRenamed("node", "doc_id")
+    comp = rooted(links).withColumnRenamed("node", "doc_id")
     for r in range(ORDER_ROUNDS + 1):
         rows = reps.join(comp, "doc_id", "left").select("doc_id", "band", F.coalesce("component", "doc_id").alias("comp"), "n", F.posexplode("tokens").alias("pos", "token"))
         # shingles of the set from this one on in the fixed order: if it is the first that two sets
@@ -264,9 +264,9 @@ def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int)
         again = reps.select("doc_id", "whole", "n", "band").join(again, ["doc_id", "whole", "n"]).select(*reps.columns)
         reps = reps.join(moved_, "doc_id", "left_anti").union(materialised(again))
         discard(contested)
-    held = rows.join(contested.select("token"), "token").select("doc_id", "token", "band", "comp", "left")
+    held = rows.join(contested.select("token"), "token").select("doc_id", "token", "band", "comp", "n", "left")
     # a set is in the tiles of its own band and of the one below
-    held = materialised(held.select("doc_id", "token", "comp", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
+    held = materialised(held.select("doc_id", "token", "comp", "n", "left", F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("tile")))
     for r in range(star_rounds + 1):
         before = held
         size = held.groupBy("token", "tile").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
@@ -285,28 +285,28 @@ def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int)
         if found.isEmpty():
             break
         links = materialised(links.union(found))
-        comp = components(links).withColumnRenamed("node", "doc_id")
-        held = held.select("doc_id", "token", "tile", "left").join(comp, "doc_id", "left").select("doc_id", "token", "tile", "left", F.coalesce("component", "doc_id").alias("comp"))
+        comp = rooted(links).withColumnRenamed("node", "doc_id")
+        held = held.select("doc_id", "token", "tile", "n", "left").join(comp, "doc_id", "left").select("doc_id", "token", "tile", "n", "left", F.coalesce("component", "doc_id").alias("comp"))
 
     # 3. all remaining pairs of different components within contested tiles.  Two sets that share
     # several n-grams meet in the tile of the first of them only, as far as each row knows the
     # n-grams before its own.  Rows of large tiles carry the bitmaps, so that only pairs with room
     # are made there; in small ones a set has few partners
     ahead_of = Window.partitionBy("doc_id", "tile").orderBy(F.desc("left")).rowsBetween(-EARLIER, -1)
-    rows = held.select("doc_id", "token", "tile", "comp", "left", "size", F.collect_list("token").over(ahead_of).alias("earlier"))
+    rows = held.repartition("doc_id").select("doc_id", "token", "tile", "comp", "n", "left", "size", F.collect_list("token").over(ahead_of).alias("earlier"))
+    # without `size`, both sides of the join read the same columns, so that one shuffle can serve both
+    rows = rows.join(reps.select("doc_id", "bits"), "doc_id").withColumn("bits", F.when(F.col("size") > LARGE, F.col("bits")))
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile")) & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp"))
     fits = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
     ahead = F.least("a.left", "b.left") * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
-    may = meet & fits & ahead & ~F.arrays_overlap("a.earlier", "b.earlier")
-    paired = lambda sides, test: sides.alias("a").join(sides.alias("b"), test).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
-    small = paired(rows.where(F.col("size") <= LARGE).join(reps.select("doc_id", "n"), "doc_id"), may)
-    large = paired(rows.where(F.col("size") > LARGE).join(reps.select("doc_id", "n", "bits"), "doc_id"), may & room("a", "b", percent))
-    rest = small.union(large).distinct().join(tried, ["a", "b"], "left_anti")
+    may = meet & fits & ahead & ~F.arrays_overlap("a.earlier", "b.earlier") & (F.col("a.bits").isNull() | room("a", "b", percent))
+    rest = rows.alias("a").join(rows.alias("b"), may).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+    rest = rest.distinct().join(tried, ["a", "b"], "left_anti")
     rest = materialised(with_room(rest, reps, percent))
     links = checkpointed(links.union(linked(rest, docs, width, percent)))
     discard(held, rest, tried, reps, contested)  # what follows reads the profiles and the links alone
 
-    comp = components(links)
+    comp = rooted(links)
     named = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("whole", "n", F.coalesce("component", "rep").alias("component_id"))
     out = seen.select("doc_id", "n", "whole").join(named, ["whole", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

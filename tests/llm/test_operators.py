@@ -161,6 +161,37 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4, **{100 + i: 100 for i in range(41)}}
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    cuts = []
+    monkeypatch.setattr(common, "checkpointed", lambda df, f=common.checkpointed: cuts.append(1) or f(df))
+    edges = [(1, 5), (6, 1), (1, 6), (7, 2), (8, 8)]
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 7: 2} and len(cuts) == 1
+
+
+def test_op7_tasks_of_large_groups(spark):
+    """Groups of copies and of near copies over many partitions take few tasks for each of these."""
+    near = [" ".join(f"w{j}" for j in range(200) if j % 97 != i) for i in range(60)]
+    rows = [*enumerate(near), *[(100 + i, near[0]) for i in range(60)], *[(200 + i, " ".join(f"x{i}_{j // 2}" for j in range(60))) for i in range(60)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sc, conf = spark.sparkContext, {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("op7 tasks", "")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == brute.op7(rows)
+    of = sc.statusTracker()
+    stages = {s for j in of.getJobIdsForGroup("op7 tasks") for s in of.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for s in stages if (i := of.getStageInfo(s)))
+    assert tasks < 850
+
+
 def test_op8_lines(mixed):
     df, rows = mixed
     rows = [(i, (t or "") + "\n  A line that Many documents share \n" if i % 2 else t) for i, t in rows]
