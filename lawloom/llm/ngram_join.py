@@ -294,7 +294,6 @@ def set_components(docs: DataFrame, width: int, percent: int, star_rounds: int)
     # are made there; in small ones a set has few partners
     ahead_of = Window.partitionBy("doc_id", "tile").orderBy(F.desc("left")).rowsBetween(-EARLIER, -1)
     rows = held.repartition("doc_id").select("doc_id", "token", "tile", "comp", "n", "left", "size", F.collect_list("token").over(ahead_of).alias("earlier"))
-    # without `size`, both sides of the join read the same columns, so that one shuffle can serve both
     rows = rows.join(reps.select("doc_id", "bits"), "doc_id").withColumn("bits", F.when(F.col("size") > LARGE, F.col("bits")))
     meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.tile") == F.col("b.tile")) & (F.col("a.doc_id") > F.col("b.doc_id")) & (F.col("a.comp") != F.col("b.comp"))
     fits = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
