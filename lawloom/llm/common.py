@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 1 << 20
+ARROW_BYTES = 4 << 20  # of rows that are sent to a Python worker at a time
 U = np.uint64
 
 
@@ -72,6 +73,22 @@ def partitions_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def arrow_bounded(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes, unless it names a bound itself: Spark's own
+    is 64 MB, which both sides hold for each task (slices of a batch keep all of it).  No row is
+    left out; a longer row is a batch of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(ARROW_BYTES))
+
+
+def driver_rows(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A small table of rows on the driver, handed over by Arrow: a list of tuples would go through
+    Python workers on the executors, with a daemon of their own that stays."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+
+
 def mapped(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`df` by mapInArrow.  Python workers are kept for later tasks, so each task gives the
     memory it has freed back to the system at its end."""
@@ -81,6 +98,7 @@ def mapped(df: DataFrame, emit: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         _powers.clear()
         released()
 
+    arrow_bounded(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -22,10 +22,11 @@ from functools import reduce
 from operator import or_
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, driver_rows
 
 DIMS = ("source", "lang", "topic")
 MAX_CELLS = 200_000  # cells raked on the driver, and broadcast; more are raked by Spark
@@ -169,7 +170,7 @@ def mix_to_targets(
         w = rake(codes, tokens, shares, rounds)
         p = calibrate(w, tokens, keep * tokens.sum())
         out = [(*[r[d] for d in DIMS], float(a / t) if t else 0.0, float(b)) for r, a, t, b in zip(rows, w, tokens, p, strict=True)]
-        plan = F.broadcast(spark.createDataFrame(out, ", ".join(f"{d} string" for d in DIMS) + ", weight double, probability double"))
+        plan = F.broadcast(driver_rows(spark, out, pa.schema([(d, pa.string()) for d in DIMS] + [("weight", pa.float64()), ("probability", pa.float64())])))
     else:
         raked = rake_cells(cells, goals, rounds)
         scale = _scale(raked, keep)

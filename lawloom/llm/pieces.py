@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, Chunk, chunks, id_and_text, mapped, mix, partitions_of, prefix, released, span
+from .common import U, Chunk, chunks, driver_rows, id_and_text, mapped, mix, partitions_of, prefix, released, span
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -374,7 +374,7 @@ def lattice(units: DataFrame, v: Vocabulary) -> DataFrame:
     if len(v.texts) >= NONE or len(v.rank) >= NONE:
         raise ValueError(f"a vocabulary of {NONE} pieces or more needs wider edges")
     spark = units.sparkSession
-    table = spark.createDataFrame([(p, v.rank[p] << 30 | i) for p, i in v.ids.items()], "piece string, code long")
+    table = driver_rows(spark, [(p, v.rank[p] << 30 | i) for p, i in v.ids.items()], pa.schema([("piece", pa.string()), ("code", pa.int64())]))
     # two plain generators rather than nested lambdas, which Spark would interpret
     at = units.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("s"))
     at = at.select("unit", "s", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + v.longest, F.length("unit")))).alias("e"))

@@ -710,6 +710,31 @@ def test_op6_memory_of_a_block():
         tracemalloc.stop()
 
 
+def test_batches_to_python_are_bounded(spark):
+    """Batches for Python workers have few megabytes, longer rows one of their own; no row is lost."""
+    texts = [*(str(k) * 4000 for k in range(1000, 3000)), "x" * (10 << 20)]
+    docs = spark.createDataFrame(pa.table({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    got = common.mapped(docs, sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == len(texts)
+    assert sorted(r["size"] for r in got)[-2] < 2 * common.ARROW_BYTES
+    assert max(r["size"] for r in got) < (10 << 20) + 2 * common.ARROW_BYTES
+
+
+def test_driver_rows_need_no_workers(spark, docs):
+    """Small tables of the driver are no RDD that Python workers of the executors unpickle."""
+    units = spark.range(1).select(F.lit("\u2581a").alias("unit"))
+    made = [pieces.lattice(units, pieces.load()), mixing.mix_to_targets(docs, alphas={"source": 0.9, "lang": 0.9, "topic": 0.9}, keep=0.8)]
+    assert [d for d in made if "ExistingRDD" in d._jdf.queryExecution().toString()] == []
+    schema = pa.schema([("a", pa.string()), ("b", pa.float64())])
+    assert common.driver_rows(spark, [("x", 1.5), (None, 0.0)], schema).collect() == [("x", 1.5), (None, 0.0)]
+    assert common.driver_rows(spark, [], schema).collect() == []
+
+
 def test_stages_emit_by_chunk(spark, monkeypatch):
     """A stage gives its rows chunk by chunk, not a whole Arrow batch at a time."""
     emits = []
